@@ -43,6 +43,11 @@ def ts_literal(value: dt.datetime, dtype: T.DataType, time_zone: str) -> Column:
     raise TypeError(f"no timestamp literal for column type {dtype.simpleString()}")
 
 
+def _parsed(col: Column) -> Column:
+    """A text timestamp (ISO-8601 with an offset, as a CRM returns it)."""
+    return F.coalesce(F.try_to_timestamp(col, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSZ")), col.cast(T.TimestampType()))
+
+
 def at_least(df: DataFrame, name: str, bound: dt.datetime, time_zone: str) -> Column:
     """``name >= bound`` with the bound typed to the column.
 
@@ -51,6 +56,8 @@ def at_least(df: DataFrame, name: str, bound: dt.datetime, time_zone: str) -> Co
     """
     dtype = column_type(df, name)
     col = df[name]
+    if isinstance(dtype, T.StringType):
+        return _parsed(col) >= ts_literal(bound, T.TimestampType(), time_zone)
     if isinstance(dtype, T.DateType):
         first = bound.date() if bound.time() == dt.time(0) else bound.date() + dt.timedelta(days=1)
         return col >= F.lit(first.isoformat()).cast(T.DateType())
@@ -61,6 +68,8 @@ def at_most(df: DataFrame, name: str, bound: dt.datetime, time_zone: str) -> Col
     """``name <= bound`` with the bound typed to the column."""
     dtype = column_type(df, name)
     col = df[name]
+    if isinstance(dtype, T.StringType):
+        return _parsed(col) <= ts_literal(bound, T.TimestampType(), time_zone)
     if isinstance(dtype, T.DateType):
         return col <= F.lit(bound.date().isoformat()).cast(T.DateType())
     return col <= ts_literal(bound, dtype, time_zone)

@@ -223,6 +223,171 @@ def q_csv_roundtrip(spark, sf_dir):
     return csv_sink.read_csv(spark, path, docs.schema)
 
 
+
+# --------------------------------------------------------------------------
+# job runs: a manifest over the test tables; the report is the result
+
+
+def _report_frame(spark, results) -> DataFrame:
+    from .plans.report import report_frame
+    return report_frame(spark, results).select("table_name", "layout", "rows", "status")
+
+
+def _loader(spark, ctx, sources, name):
+    from .plans.jobs import Loader
+    out = scratch_path(spark, "jobs", name)
+    return Loader(spark, RunContext(ctx.as_of, ctx.time_zone, out), sources)
+
+
+def _lake(sf_dir: str):
+    from .sources import SourceConfig, SourceRegistry
+    return SourceRegistry([SourceConfig("tpch", "parquet", root=sf_dir.rstrip("/"))])
+
+
+def q_load_report(spark, sf_dir):
+    from .plans.manifest import Extract, TableSpec
+    from .sinks.paths import Layout
+    specs = [TableSpec("full", "tpch", "tpch", t, Extract.SNAPSHOT, Layout.SNAPSHOT)
+             for t in ("customer", "orders", "lineitem", "missing_table")]
+    return _report_frame(spark, _loader(spark, ctx_at(AS_OF), _lake(sf_dir), "load_report").run(specs))
+
+
+def job_full_specs():
+    """G1 over the test tables: snapshots, J1 semi join, P4 derived column,
+    a table written without clean-up and one missing from the catalog."""
+    from .plans.manifest import Extract, TableSpec, Window
+    from .sinks.paths import Layout
+    snap = lambda t, **kw: TableSpec("full", "tpch", "tpch", t, Extract.SNAPSHOT, Layout.SNAPSHOT, **kw)
+    return [
+        *[snap(t) for t in ("region", "nation", "customer", "supplier", "part")],
+        TableSpec("full", "tpch", "tpch", "lineitem", Extract.SEMI_STATIC, Layout.SNAPSHOT, parent="orders",
+                  child_key="l_orderkey", key="o_orderkey", output_name="lineitem_recent",
+                  parent_window=Window("created_since", column="o_orderdate", floor=KEYS_FLOOR)),
+        snap("lineitem", derived=(("net_impact", "l_extendedprice * (1 - l_discount)"),)),
+        snap("events", sanitize=False),
+        snap("missing_table"),
+    ]
+
+
+def q_job_full(spark, sf_dir):
+    return _report_frame(spark, _loader(spark, ctx_at(AS_OF), _lake(sf_dir), "full").run(job_full_specs()))
+
+
+def register_standins(spark: SparkSession, sf_dir: str, prefix: str = "src_") -> None:
+    """Temp views of the stand-in tables, derived by Spark from the given
+    ones: ``orders`` with change columns, its warehouse copy, events with an
+    epoch column and lineitem."""
+    tracked_orders(spark, sf_dir).createOrReplaceTempView(f"{prefix}orders")
+    events_epoch(spark, sf_dir).createOrReplaceTempView(f"{prefix}events")
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView(f"{prefix}lineitem")
+    target_copy(spark, sf_dir).createOrReplaceTempView("wh_orders")
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("wh_lineitem")
+
+
+def _views():
+    from .sources import SourceConfig, SourceRegistry
+    return SourceRegistry([SourceConfig("lake", "table", prefix="src_"),
+                           SourceConfig("warehouse", "table", prefix="wh_")])
+
+
+def job_insert_update_specs():
+    """G2 over the stand-ins (run date ``AS_OF`` for orders)."""
+    from .plans.manifest import Extract, TableSpec, Window
+    from .sinks.paths import Layout
+    iu = "insert_update"
+    mtd = Window("month_to_date", column="created_at")
+    return [
+        TableSpec(iu, "lake", "smc", "orders", Extract.WINDOW, Layout.INSERT, window=mtd),
+        TableSpec(iu, "lake", "smc", "orders", Extract.WINDOW, Layout.UPDATE,
+                  window=Window("rolling_update", column="updated_at", floor=FIXED_FLOOR)),
+        TableSpec(iu, "lake", "smc", "orders", Extract.DISTINCT_KEYS, Layout.DISTINCT, key="o_custkey",
+                  window=Window("created_since", column="created_at", floor=KEYS_FLOOR)),
+        TableSpec(iu, "lake", "smc", "orders", Extract.WINDOW, Layout.UPDATE, output_name="orders_months",
+                  window=Window("rolling_update", column="updated_at", floor=None, floor_months=7)),
+        TableSpec(iu, "lake", "smc", "orders", Extract.WINDOW, Layout.INSERT, output_name="orders_cols",
+                  window=mtd, columns=("o_orderkey", "o_orderstatus", "created_at", "updated_at")),
+    ]
+
+
+def job_insert_update_event_specs():
+    """G2 extracts on ``events`` (run date ``EVENTS_AS_OF``)."""
+    from .plans.manifest import Extract, TableSpec, Window
+    from .sinks.paths import Layout
+    iu = "insert_update"
+    return [
+        TableSpec(iu, "lake", "vcoloburst", "events", Extract.WINDOW, Layout.SNAPSHOT, sanitize=False,
+                  output_name="poll_data", window=Window("month_to_date", column="ts", cutoff=fn.POLL_CUTOFF)),
+        TableSpec(iu, "lake", "sslvpn", "events", Extract.WINDOW, Layout.SNAPSHOT, sanitize=False,
+                  output_name="tblTransactions", window=Window("month_to_date_epoch", column="unixdate")),
+    ]
+
+
+def q_job_insert_update(spark, sf_dir):
+    register_standins(spark, sf_dir)
+    first = _loader(spark, ctx_at(AS_OF), _views(), "insert_update").run(job_insert_update_specs())
+    second = _loader(spark, ctx_at(EVENTS_AS_OF), _views(), "insert_update").run(job_insert_update_event_specs())
+    return _report_frame(spark, first + second)
+
+
+def job_incremental_specs():
+    """G3 over the stand-ins: an F7 parent with J2 and J3 children and an F8
+    parent with a J4 child; marks come from the warehouse copy."""
+    from .plans.manifest import Extract, TableSpec
+    from .sinks.paths import Layout
+    inc = "incremental"
+    parent = lambda **kw: TableSpec(inc, "lake", "smc", "orders", Extract.INCREMENT, Layout.DAILY_INCR,
+                                    key="o_orderkey", target_source="warehouse", target_table="ORDERS", **kw)
+    child = lambda p, **kw: TableSpec(inc, "lake", "smc", "lineitem", Extract.CASCADE, Layout.DAILY_INCR,
+                                      parent=p, child_key="l_orderkey", distinct=True,
+                                      target_source="warehouse", target_table="LINEITEM", **kw)
+    return [
+        parent(distinct=True),
+        child("orders"),
+        child("orders", own_delta=True, created="l_shipdate", updated="l_shipdate", output_name="lineitem_own"),
+        parent(distinct=False, update_floor=UPDATE_FLOOR, output_name="orders_floor"),
+        child("orders_floor", output_name="lineitem_floor"),
+    ]
+
+
+def q_job_incremental(spark, sf_dir):
+    register_standins(spark, sf_dir)
+    return _report_frame(spark, _loader(spark, ctx_at(AS_OF), _views(), "incremental").run(job_incremental_specs()))
+
+
+def land_records(spark: SparkSession, sf_dir: str) -> str:
+    """Land ``customer`` as ``Account`` and ``orders`` as ``Opportunity``
+    records (JSON lines with an ``attributes`` envelope); returns the root."""
+    root = scratch_path(spark, "landed")
+    cust = table(spark, sf_dir, "customer")
+    records.to_records(cust, "Account", "/records/Account/", "c_custkey").write.json(f"{root}/Account")
+    o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "CreatedDate")
+    records.to_records(o, "Opportunity", "/records/Opportunity/", "o_orderkey").write.json(f"{root}/Opportunity")
+    return root
+
+
+def job_records_specs():
+    from .plans.manifest import Extract, TableSpec, Window
+    from .sinks.paths import Layout
+    opp_fields = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "CreatedDate", "o_orderpriority")
+    return [
+        TableSpec("records", "crm", "crm", "Opportunity", Extract.RECORDS, Layout.RECORDS, columns=opp_fields,
+                  record_schema=("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                                 "CreatedDate timestamp_ntz, o_orderpriority string"),
+                  window=Window("last_n_years", column="CreatedDate", floor=None, years=3)),
+        TableSpec("records", "crm", "crm", "Account", Extract.RECORDS, Layout.RECORDS,
+                  columns=tuple(CUSTOMER_FIELDS),
+                  record_schema="c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        TableSpec("records", "crm", "crm", "Related_Partners__c", Extract.RECORDS, Layout.RECORDS,
+                  columns=("Id",), output_name="RelatedPartner"),
+    ]
+
+
+def q_job_records(spark, sf_dir):
+    from .sources import SourceConfig, SourceRegistry
+    root = land_records(spark, sf_dir)
+    sources = SourceRegistry([SourceConfig("crm", "records", root=root, path_template="{root}/{table}")])
+    return _report_frame(spark, _loader(spark, ctx_at(YEARS_AS_OF), sources, "records").run(job_records_specs()))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_full": q_snapshot_full,
     "project_columns": q_project_columns,
@@ -247,6 +412,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_lower": q_catalog_lower,
     "records_scan": q_records_scan,
     "csv_roundtrip": q_csv_roundtrip,
+    "load_report": q_load_report,
+    "job_full": q_job_full,
+    "job_insert_update": q_job_insert_update,
+    "job_incremental": q_job_incremental,
+    "job_records": q_job_records,
 }
 
 
@@ -347,3 +517,66 @@ ORACLES: dict[str, str] = {
     "records_scan": f"SELECT {_CUST_COLS} FROM customer",
     "csv_roundtrip": f"SELECT {_DOC_COLS} FROM documents",
 }
+
+
+def _count_row(name: str, layout: str, source: str, where: str = "", prefix: str = "") -> str:
+    cond = f" WHERE {where}" if where else ""
+    return (f"SELECT '{name}' AS table_name, '{layout}' AS layout, CAST(count(*) AS BIGINT) AS rows, "
+            f"'ok' AS status FROM {source}{cond}")
+
+
+def _missing_row(name: str, layout: str, status: str = "missing") -> str:
+    return (f"SELECT '{name}' AS table_name, '{layout}' AS layout, CAST(NULL AS BIGINT) AS rows, "
+            f"'{status}' AS status")
+
+
+_SEMI = "l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00')"
+_EPOCH = "(SELECT CAST(floor(epoch(ts)) AS BIGINT) AS unixdate FROM events) e"
+
+ORACLES.update({
+    "load_report": " UNION ALL ".join([
+        _count_row("customer", "snapshot", "customer"),
+        _count_row("orders", "snapshot", "orders"),
+        _count_row("lineitem", "snapshot", "lineitem"),
+        _missing_row("missing_table", "snapshot"),
+    ]),
+    "job_full": " UNION ALL ".join([
+        *[_count_row(t, "snapshot", t) for t in ("region", "nation", "customer", "supplier", "part")],
+        _count_row("lineitem_recent", "snapshot", "lineitem", _SEMI),
+        _count_row("lineitem", "snapshot", "lineitem"),
+        _count_row("events", "snapshot", "events"),
+        _missing_row("missing_table", "snapshot"),
+    ]),
+    "job_insert_update": _T + " " + " UNION ALL ".join([
+        _count_row("orders", "insert", "t", _mtd("created_at", "2000-06-15", "05:00:00")),
+        _count_row("orders", "update", "t", "updated_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 3 DAY "
+                   "AND updated_at <= CAST(DATE '2000-06-15' AS TIMESTAMP) + INTERVAL 5 HOUR "
+                   "AND created_at >= TIMESTAMP '1999-09-01 00:00:00'"),
+        _count_row("orders", "distinct", "(SELECT DISTINCT o_custkey FROM t "
+                   "WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00') k"),
+        _count_row("orders_months", "update", "t", "updated_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 3 DAY "
+                   "AND updated_at <= CAST(DATE '2000-06-15' AS TIMESTAMP) + INTERVAL 5 HOUR "
+                   "AND created_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 7 MONTH"),
+        _count_row("orders_cols", "insert", "t", _mtd("created_at", "2000-06-15", "05:00:00")),
+        _count_row("poll_data", "snapshot", "events", _mtd("ts", "2024-01-15", "04:40:00")),
+        _count_row("tblTransactions", "snapshot", _EPOCH,
+                   _mtd("make_timestamp(unixdate * 1000000)", "2024-01-15", "05:00:00")),
+    ]),
+    "job_incremental": _T + _W + " " + " UNION ALL ".join([
+        _count_row("orders", "daily_incr", f"(SELECT DISTINCT * FROM t, m WHERE {_DELTA}) d"),
+        _count_row("lineitem", "daily_incr", "(SELECT DISTINCT * FROM lineitem WHERE l_orderkey IN "
+                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA})) c"),
+        _count_row("lineitem_own", "daily_incr", "(SELECT DISTINCT lineitem.* FROM lineitem, m WHERE l_orderkey IN "
+                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA}) "
+                   "AND (l_shipdate >= m.ca OR l_shipdate >= m.ua)) c"),
+        _count_row("orders_floor", "daily_incr", f"(SELECT t.* FROM t, m WHERE {_DELTA_FLOOR}) d"),
+        _count_row("lineitem_floor", "daily_incr", "(SELECT DISTINCT * FROM lineitem WHERE l_orderkey IN "
+                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA_FLOOR})) c"),
+    ]),
+    "job_records": " UNION ALL ".join([
+        _count_row("Opportunity", "records", "orders",
+                   "o_orderdate >= CAST(make_date(year(DATE '2001-06-15') - 3, 1, 1) AS TIMESTAMP)"),
+        _count_row("Account", "records", "customer"),
+        _missing_row("RelatedPartner", "records"),
+    ]),
+})

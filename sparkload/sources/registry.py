@@ -1,8 +1,9 @@
 """Named source registry (S3) and table reads.
 
 A source is a name bound to how its tables are read: ``parquet`` (a folder
-of ``<table>.parquet`` datasets), ``table`` (a catalog database) or
-``jdbc`` (a connection).  Connection options are supplied at run time by
+of ``<table>.parquet`` datasets), ``table`` (a catalog database, with an
+optional name prefix), ``records`` (landed CRM JSON, one folder per object)
+or ``jdbc`` (a connection).  Connection options are supplied at run time by
 the caller; nothing secret lives in code.
 """
 
@@ -24,9 +25,10 @@ from .catalog import jdbc_catalog_frame, spark_catalog_frame
 @dataclass(frozen=True)
 class SourceConfig:
     name: str
-    format: str  # "parquet" | "table" | "jdbc"
-    root: str = ""  # parquet folder, or catalog database for "table"
+    format: str  # "parquet" | "table" | "records" | "jdbc"
+    root: str = ""  # data folder, or catalog database for "table"
     path_template: str = "{root}/{table}.parquet"
+    prefix: str = ""  # "table": catalog name = prefix + table
     options: Mapping[str, str] = field(default_factory=dict)  # jdbc url, driver, user, ...
     partitioning: Mapping[str, jdbc.JdbcPartitioning] = field(default_factory=dict)
     quote: str = "`"
@@ -65,11 +67,12 @@ class SourceRegistry:
         if cfg.format == "jdbc":
             return jdbc.read_table(spark, cfg.options, table, cfg.partitioning.get(table), derived, cfg.quote)
         if derived:
-            raise ValueError("source-side derived columns need a jdbc source; use TableSpec.derived_spark")
+            raise ValueError("source-side derived columns need a jdbc source")
         if cfg.format == "parquet":
             return spark.read.parquet(self.path(source, table))
         if cfg.format == "table":
-            return spark.table(f"{cfg.root}.{table}" if cfg.root else table)
+            name = cfg.prefix + table
+            return spark.table(f"{cfg.root}.{name}" if cfg.root else name)
         raise ValueError(f"unsupported source format {cfg.format!r}")
 
     def catalog(self, spark: SparkSession, source: str, schema: str | None = None,
@@ -79,17 +82,23 @@ class SourceRegistry:
         if cfg.format == "jdbc":
             return jdbc_catalog_frame(spark, cfg.options, schema or "", names)
         if cfg.format == "table":
-            return spark_catalog_frame(spark, cfg.root or None)
-        return self._parquet_catalog(spark, source, names or [])
-
-    def _parquet_catalog(self, spark: SparkSession, source: str, names: list[str]) -> DataFrame:
+            cat = spark_catalog_frame(spark, cfg.root or None)
+            if cfg.prefix:
+                plen = len(cfg.prefix)
+                cat = cat.where(F.lower("table_name").startswith(cfg.prefix.lower())).select(
+                    "table_schema", F.expr(f"substring(table_name, {plen + 1})").alias("table_name"))
+            return cat
+        return self._path_catalog(spark, source, names or [])
+
+    def _path_catalog(self, spark: SparkSession, source: str, names: list[str]) -> DataFrame:
         """A folder of datasets has no catalog; a name exists when its path
-        can be opened.  Checked only for allow-listed names (bounded)."""
+        does (the ``text`` source lists files without reading them).
+        Checked only for allow-listed names (bounded)."""
         cfg = self.get(source)
         found = []
         for n in names:
             try:
-                spark.read.parquet(self.path(source, n)).schema
+                spark.read.format("text").load(self.path(source, n))
             except AnalysisException:
                 continue
             found.append((cfg.root, n))
