@@ -1,0 +1,38 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from sparkload.context import SCALE_CONF
+
+    builder = (SparkSession.builder.master("local[*]").appName("sparkload-tests")
+               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.session.timeZone", "UTC"))
+    for k, v in SCALE_CONF.items():
+        builder = builder.config(k, v)
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    if not session.sparkContext.getCheckpointDir() and not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkload-test-ckpt-"))
+    yield session
+
+
+@pytest.fixture()
+def outdir():
+    """A fresh output folder per test (never reused)."""
+    return tempfile.mkdtemp(prefix="sparkload-test-out-")

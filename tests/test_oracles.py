@@ -1,0 +1,32 @@
+"""Every registered query against its DuckDB oracle (the driver's gate)."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_CHECK
+from oracle_harness import compare, duck
+
+import __spark_entry__ as entry
+
+NAMES = sorted(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_CHECK)
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SF_CHECK)
+    ok, msg = compare(df, con, entry.oracle_sql()[name])
+    assert ok, msg
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.count() >= 0 and df.columns[0] == "l_orderkey"

@@ -1,0 +1,150 @@
+"""Boundary tests of the window predicates F1-F9 on hand-made fixtures."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from sparkload import functions as fn
+from sparkload.context import RunContext
+from sparkload.functions.windows import Marks
+
+D = dt.datetime
+
+
+def ctx(as_of, tz="UTC"):
+    return RunContext(as_of=as_of, time_zone=tz)
+
+
+def frame(spark, rows, ddl):
+    return spark.createDataFrame(rows, ddl)
+
+
+def ids(df, cond):
+    return sorted(r["id"] for r in df.where(cond).select("id").collect())
+
+
+def test_month_start_is_last_day_of_previous_month():
+    assert fn.month_start_bound(ctx(D(2024, 3, 15, 6))) == D(2024, 2, 29)
+    assert fn.month_start_bound(ctx(D(2024, 3, 1, 6))) == D(2024, 2, 29)
+    assert fn.month_start_bound(ctx(D(2023, 3, 1, 6))) == D(2023, 2, 28)
+    assert fn.month_start_bound(ctx(D(2024, 1, 10))) == D(2023, 12, 31)
+
+
+def test_add_months_clamps():
+    assert fn.add_months(D(2024, 1, 31, 10), -7) == D(2023, 6, 30, 10)
+    assert fn.add_months(D(2024, 3, 31), -1) == D(2024, 2, 29)
+    assert fn.add_months(D(2023, 3, 31), -1) == D(2023, 2, 28)
+    assert fn.add_months(D(2024, 7, 15), -7) == D(2023, 12, 15)
+
+
+def test_month_to_date_bounds_inclusive(spark):
+    rows = [
+        (1, D(2024, 2, 28, 23, 59, 59)),  # before the last day of previous month
+        (2, D(2024, 2, 29, 0, 0, 0)),     # exactly the lower bound
+        (3, D(2024, 3, 10, 12)),
+        (4, D(2024, 3, 15, 5, 0, 0)),     # exactly 05:00:00
+        (5, D(2024, 3, 15, 5, 0, 1)),     # one second late
+        (6, None),
+    ]
+    df = frame(spark, rows, "id int, created_at timestamp_ntz")
+    assert ids(df, fn.month_to_date(df, "created_at", ctx(D(2024, 3, 15, 6)))) == [2, 3, 4]
+
+
+def test_month_to_date_poll_cutoff(spark):
+    rows = [(1, D(2024, 1, 15, 4, 40, 0)), (2, D(2024, 1, 15, 4, 40, 1)), (3, D(2023, 12, 31))]
+    df = frame(spark, rows, "id int, poll_timestamp timestamp_ntz")
+    cond = fn.month_to_date(df, "poll_timestamp", ctx(D(2024, 1, 15, 6)), cutoff=fn.POLL_CUTOFF)
+    assert ids(df, cond) == [1, 3]
+
+
+def test_month_to_date_on_ltz_column_respects_zone(spark):
+    # 05:00 wall clock in New York is 09:00 UTC (summer: 09:00, winter: 10:00).
+    rows = [(1, D(2024, 3, 15, 8, 59)), (2, D(2024, 3, 15, 9, 0)), (3, D(2024, 3, 15, 9, 0, 1))]
+    df = frame(spark, [(i, t.strftime("%Y-%m-%d %H:%M:%S")) for i, t in rows], "id int, s string")
+    df = df.selectExpr("id", "to_utc_timestamp(s, 'UTC') as created_at")  # instants in UTC
+    c = ctx(D(2024, 3, 15, 6), tz="America/New_York")
+    assert ids(df, fn.month_to_date(df, "created_at", c)) == [1, 2]
+
+
+def test_month_to_date_on_date_column(spark):
+    rows = [(1, dt.date(2024, 2, 28)), (2, dt.date(2024, 2, 29)), (3, dt.date(2024, 3, 15)), (4, dt.date(2024, 3, 16))]
+    df = frame(spark, rows, "id int, created_at date")
+    assert ids(df, fn.month_to_date(df, "created_at", ctx(D(2024, 3, 15, 6)))) == [2, 3]
+
+
+def test_epoch_window_matches_timestamp_window(spark):
+    c = ctx(D(2024, 1, 15, 6))
+    low = fn.epoch_seconds(D(2023, 12, 31), "UTC")
+    high = fn.epoch_seconds(D(2024, 1, 15, 5), "UTC")
+    rows = [(1, low - 1), (2, low), (3, high), (4, high + 1)]
+    df = frame(spark, rows, "id int, unixdate long")
+    assert ids(df, fn.month_to_date_epoch(df, "unixdate", c)) == [2, 3]
+
+
+def test_epoch_window_in_session_zone_of_source():
+    # from_unixtime in a New York session: 2024-01-15 05:00 local = 10:00 UTC.
+    assert fn.epoch_seconds(D(2024, 1, 15, 5), "America/New_York") == fn.epoch_seconds(D(2024, 1, 15, 10), "UTC")
+
+
+def test_rolling_update_fixed_floor(spark):
+    as_of = D(2024, 3, 15, 6, 30)
+    rows = [
+        (1, D(2024, 3, 12, 6, 30), D(2021, 1, 1)),      # exactly as_of - 3 days, floor exactly
+        (2, D(2024, 3, 12, 6, 29, 59), D(2022, 1, 1)),  # just before the lookback
+        (3, D(2024, 3, 15, 5, 0), D(2020, 12, 31, 23, 59, 59)),  # below floor
+        (4, D(2024, 3, 15, 5, 0, 1), D(2022, 1, 1)),    # after cutoff
+        (5, None, D(2022, 1, 1)),                       # null updated_at never matches
+    ]
+    df = frame(spark, rows, "id int, updated_at timestamp_ntz, created_at timestamp_ntz")
+    cond = fn.rolling_update(df, "updated_at", "created_at", ctx(as_of))
+    assert ids(df, cond) == [1]
+
+
+def test_rolling_update_month_floor(spark):
+    as_of = D(2024, 1, 31, 10)
+    rows = [(1, D(2024, 1, 30), D(2023, 6, 30, 10)), (2, D(2024, 1, 30), D(2023, 6, 30, 9, 59, 59))]
+    df = frame(spark, rows, "id int, updated_at timestamp_ntz, created_at timestamp_ntz")
+    cond = fn.rolling_update(df, "updated_at", "created_at", ctx(as_of), floor=None, floor_months=7)
+    assert ids(df, cond) == [1]
+
+
+def test_last_n_years(spark):
+    rows = [(1, D(2021, 1, 1)), (2, D(2020, 12, 31, 23, 59, 59)), (3, D(2024, 6, 1))]
+    df = frame(spark, rows, "id int, CreatedDate timestamp_ntz")
+    assert ids(df, fn.last_n_years(df, "CreatedDate", ctx(D(2024, 6, 15)), 3)) == [1, 3]
+
+
+def test_last_n_years_on_crm_text(spark):
+    rows = [(1, "2021-01-01T00:00:00.000+0000"), (2, "2020-12-31T23:59:59.000+0000")]
+    df = frame(spark, rows, "id int, CreatedDate string")
+    assert ids(df, fn.last_n_years(df, "CreatedDate", ctx(D(2024, 6, 15)), 3)) == [1]
+
+
+@pytest.mark.parametrize(
+    "marks,floor,expected",
+    [
+        (Marks(D(2024, 1, 10), D(2024, 1, 12)), None, [2, 3, 4]),
+        (Marks(D(2024, 1, 10), D(2024, 1, 12)), D(2021, 1, 1), [2, 3]),
+        (Marks(None, D(2024, 1, 12)), None, [1, 2, 3, 4, 5]),   # null created mark: created not null
+        (Marks(None, None), None, [1, 2, 3, 4, 5, 6]),          # first load: everything
+    ],
+)
+def test_watermark_delta(spark, marks, floor, expected):
+    rows = [
+        (1, D(2024, 1, 9), D(2024, 1, 11)),
+        (2, D(2024, 1, 10), None),                 # created exactly on the mark
+        (3, D(2022, 1, 1), D(2024, 1, 12)),        # updated exactly on the mark
+        (4, D(2020, 1, 1), D(2024, 1, 13)),        # updated, but created below the floor
+        (5, D(2020, 1, 1), None),
+        (6, None, None),
+    ]
+    df = frame(spark, rows, "id int, created_at timestamp_ntz, updated_at timestamp_ntz")
+    assert ids(df, fn.watermark_delta(df, marks, ctx(D(2024, 1, 15)), update_floor=floor)) == expected
+
+
+def test_unsupported_column_type_raises(spark):
+    df = frame(spark, [(1, 5)], "id int, created_at int")
+    with pytest.raises(TypeError):
+        fn.month_to_date(df, "created_at", ctx(D(2024, 1, 15)))
