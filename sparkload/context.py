@@ -12,7 +12,9 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Session settings the jobs rely on at scale.  ``forceOptimizeSkewedJoin``
 # lets AQE split a hot semi-join key even when the split needs one extra
@@ -113,3 +115,16 @@ def join_path(root: str, *parts: str) -> str:
     pieces = [root.rstrip("/")] if root else []
     pieces += [p.strip("/") for p in parts if p]
     return "/".join(pieces)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A small driver-side table (catalog names, report rows) as literals in
+    the plan: ``inline(array(struct(...)))``.  Unlike ``createDataFrame`` on
+    a Python list it needs no Python worker.  Only for data bounded by the
+    manifest, never for table data."""
+    struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in struct.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, struct.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -6,6 +6,8 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..context import local_frame
+
 REPORT_SCHEMA = (
     "job string, schema_name string, table_name string, layout string, path string, "
     "rows long, status string, error string, seconds double"
@@ -32,4 +34,4 @@ class LoadResult:
 
 def report_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     """The report as a frame (one row per manifest entry; bounded)."""
-    return spark.createDataFrame([astuple(r) for r in results], REPORT_SCHEMA)
+    return local_frame(spark, [astuple(r) for r in results], REPORT_SCHEMA)

@@ -136,8 +136,9 @@ def q_last_n_years(spark, sf_dir):
 def q_semi_static(spark, sf_dir):
     t = tracked_orders(spark, sf_dir)
     parent_keys = op.distinct_keys(t.where(fn.created_since(t, "created_at", KEYS_FLOOR, ctx_at(AS_OF))), "o_orderkey")
+    keys, n = op.materialize(spark, parent_keys, "semi_static_keys")
     li = table(spark, sf_dir, "lineitem")
-    return fn.sanitize(op.cascade(li, parent_keys, "l_orderkey", "o_orderkey", distinct=False))
+    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", key_count=n, distinct=False))
 
 
 def q_watermark(spark, sf_dir):
@@ -160,10 +161,13 @@ def q_incr_delta_floor(spark, sf_dir):
 
 def _cascade(spark, sf_dir, update_floor=None, parent_distinct=True, own=False):
     parent, marks = _delta(spark, sf_dir, update_floor, parent_distinct)
-    keys = op.delta_keys(parent, "o_orderkey")
+    # Keys are computed once into the checkpoint folder; the count comes
+    # from the write and decides the join strategy.
+    keys, n = op.materialize(spark, op.delta_keys(parent, "o_orderkey"), "delta_keys")
     li = table(spark, sf_dir, "lineitem")
     own_delta = fn.watermark_delta(li, marks, ctx_at(AS_OF), "l_shipdate", "l_shipdate") if own else None
-    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", own_delta=own_delta, distinct=True))
+    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", key_count=n, own_delta=own_delta,
+                                  distinct=True))
 
 
 def q_cascade_delta(spark, sf_dir):
@@ -184,23 +188,24 @@ def q_sanitize_text(spark, sf_dir):
     return fn.sanitize(with_slash)
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every provided table as a temporary view of its name."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+def lake_catalog(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """S4 on a folder source: the listed names whose dataset exists."""
+    from .sources import SourceConfig, SourceRegistry
+    reg = SourceRegistry([SourceConfig("tpch", "parquet", root=sf_dir.rstrip("/"))])
+    return reg.catalog(spark, "tpch", names=names)
 
 
 def q_catalog_allowlist(spark, sf_dir):
-    register_views(spark, sf_dir)
-    cat = catalog.spark_catalog_frame(spark)
-    return catalog.allowlisted(spark, cat, ["orders", "customer", "missing"])
+    names = ["orders", "customer", "missing"]
+    return catalog.allowlisted(spark, lake_catalog(spark, sf_dir, names), names)
 
 
 def q_catalog_lower(spark, sf_dir):
-    register_views(spark, sf_dir)
-    cat = catalog.spark_catalog_frame(spark)
-    warehouse = cat.select(F.upper("table_schema").alias("table_schema"), F.upper("table_name").alias("table_name"))
-    return catalog.allowlisted(spark, warehouse, ["ORDERS", "LINEITEM", "MISSING"], fold_case=True)
+    # The warehouse spells names upper case; they are folded to lower.
+    names = ["ORDERS", "LINEITEM", "MISSING"]
+    found = lake_catalog(spark, sf_dir, [n.lower() for n in names])
+    warehouse = found.select(F.upper("table_schema").alias("table_schema"), F.upper("table_name").alias("table_name"))
+    return catalog.allowlisted(spark, warehouse, names, fold_case=True)
 
 
 # Field list of the customer-as-CRM-object stand-in, spelled as a SOQL

@@ -2,8 +2,9 @@
 
 The manifest names a schema and the tables wanted from it; only those that
 exist in the source catalog are extracted, and missing ones are skipped.
-The catalog is a frame ``(table_schema, table_name)``; the allow-list is a
-small frame built from the manifest and applied with a left semi join.
+The catalog is a frame ``(table_schema, table_name)``; the allow-list is
+bounded by the manifest, so it is applied as an ``IN`` filter (which a JDBC
+catalog query evaluates at the source).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..context import local_frame
 from . import jdbc
 
 CATALOG_SCHEMA = "table_schema string, table_name string"
@@ -33,7 +35,7 @@ def jdbc_catalog_frame(spark: SparkSession, options: Mapping[str, str], schema:
 
 def allowlist_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """The manifest's names as a one-column frame (bounded by the manifest)."""
-    return spark.createDataFrame([(n,) for n in names], "table_name string")
+    return local_frame(spark, [(n,) for n in names], "table_name string")
 
 
 def allowlisted(
@@ -53,9 +55,8 @@ def allowlisted(
         cond = F.lower(cat["table_schema"]) == schema.lower() if fold_case else cat["table_schema"] == schema
         cat = cat.where(cond)
     name_col = F.lower(cat["table_name"]) if fold_case else cat["table_name"]
-    cat = cat.select(name_col.alias("table_name"))
-    wanted = allowlist_frame(spark, [n.lower() for n in names] if fold_case else list(names))
-    return cat.join(F.broadcast(wanted), "table_name", "left_semi")
+    wanted = list(dict.fromkeys(n.lower() for n in names)) if fold_case else list(dict.fromkeys(names))
+    return cat.select(name_col.alias("table_name")).where(F.col("table_name").isin(wanted))
 
 
 def existing_tables(

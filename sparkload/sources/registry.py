@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from ..context import local_frame
 from ..functions.windows import Marks
 from ..operators.incremental import read_marks
 from . import jdbc
@@ -102,7 +103,7 @@ class SourceRegistry:
             except AnalysisException:
                 continue
             found.append((cfg.root, n))
-        return spark.createDataFrame(found, "table_schema string, table_name string")
+        return local_frame(spark, found, "table_schema string, table_name string")
 
     def marks(self, spark: SparkSession, source: str, table: str,
               created: str = "created_at", updated: str = "updated_at") -> Marks:

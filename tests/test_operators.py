@@ -132,3 +132,30 @@ def test_increment_properties(spark, parents, children):
     kids = op.cascade(cdf, op.delta_keys(op.delta(pdf, marks, ctx), "id"), "parent_id", "id").collect()
     assert all(k["parent_id"] in keys for k in kids)  # every child's parent is in the delta
     assert len(kids) == len({(p, v) for p, v in children if p in keys})
+
+
+def test_hot_parent_key_is_split_by_aqe(spark):
+    """A parent key owning about half the child rows, shuffle path: AQE
+    splits the hot partition (needs several map tasks, as any large input
+    has), also when the child's distinct follows the join."""
+    from pyspark.sql import functions as F
+    tiny = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in tiny.items():
+        spark.conf.set(k, v)
+    try:
+        li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").repartition(8)
+        child = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 2, F.lit(7)).otherwise(F.col("l_orderkey")))
+        keys = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey")
+        out = op.cascade(child, keys, "l_orderkey", "o_orderkey", key_count=10**9, max_broadcast_keys=0)
+        rows = out.collect()
+        assert len(rows) == child.distinct().count()
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in tiny:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
