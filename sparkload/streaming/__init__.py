@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload has no stream source, event-time window or streaming state:
+every load is a batch job, and the increment's state is the target table
+itself, read as high-water marks at the start of each run
+(``operators.incremental``).  A streaming formulation would change the
+output semantics (dated snapshots are replaced per day, increments are
+per-run files), so none is offered.
+"""
