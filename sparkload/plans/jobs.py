@@ -159,8 +159,13 @@ class Loader:
             return self._result(spec, ERROR, error=_message(e), t0=t0)
 
     def run_family(self, parent: TableSpec, children: list[TableSpec], present: set[str]) -> list[LoadResult]:
-        """G3 for one parent and its children."""
-        out = []
+        """G3 for one parent and its children.
+
+        The delta is materialized first; then the parent file, the key set and
+        (once the keys exist) the children are written concurrently.  As in
+        the reference, a failed parent read skips its children, while a failed
+        parent write does not.
+        """
         t0 = time.time()
         try:
             self._describe(parent)
@@ -168,32 +173,45 @@ class Loader:
                                        parent.created, parent.updated)
             delta, _ = op.materialize(self.spark, self.frame(parent, marks=marks, clean=False),
                                       f"delta_{parent.name}")
-            path, rows = self.write(parent, fn.sanitize(delta) if parent.sanitize else delta)
-            out.append(self._result(parent, OK, path, rows, t0=t0))
             if parent.columns is None or parent.key in parent.columns:
                 key_source = delta
             else:
                 raw = self.read(parent)
                 key_source = raw.where(fn.watermark_delta(raw, marks, self.ctx, parent.created,
                                                           parent.updated, parent.update_floor))
-            keys = op.materialize(self.spark, op.delta_keys(key_source, parent.key), f"keys_{parent.name}")
         except Exception as e:
-            out.append(self._result(parent, ERROR, error=_message(e), t0=t0))
-            out += [self._result(c, SKIPPED, error=f"parent {parent.name} failed") for c in children]
-            return out
-        for child in children:
+            return ([self._result(parent, ERROR, error=_message(e), t0=t0)]
+                    + [self._result(c, SKIPPED, error=f"parent {parent.name} failed") for c in children])
+
+        def parent_file() -> LoadResult:
+            try:
+                path, rows = self.write(parent, fn.sanitize(delta) if parent.sanitize else delta)
+                return self._result(parent, OK, path, rows, t0=t0)
+            except Exception as e:
+                return self._result(parent, ERROR, error=_message(e), t0=t0)
+
+        def one_child(child: TableSpec, keys: tuple[DataFrame, int]) -> LoadResult:
             t1 = time.time()
             if _catalog_name(child) not in present:
-                out.append(self._result(child, MISSING, t0=t1))
-                continue
+                return self._result(child, MISSING, t0=t1)
             try:
                 self._describe(child)
                 child_frame = self.frame(child.but(key=parent.key), marks=marks, keys=keys)
                 cpath, crows = self.write(child, child_frame)
-                out.append(self._result(child, OK, cpath, crows, t0=t1))
+                return self._result(child, OK, cpath, crows, t0=t1)
             except Exception as e:
-                out.append(self._result(child, ERROR, error=_message(e), t0=t1))
-        return out
+                return self._result(child, ERROR, error=_message(e), t0=t1)
+
+        with ThreadPoolExecutor(self.max_parallel + 1) as pool:
+            parent_done = pool.submit(parent_file)
+            try:
+                keys = op.materialize(self.spark, op.delta_keys(key_source, parent.key), f"keys_{parent.name}")
+            except Exception as e:
+                kids = [self._result(c, SKIPPED, error=f"keys of {parent.name} failed: {_message(e)}")
+                        for c in children]
+            else:
+                kids = list(pool.map(lambda c: one_child(c, keys), children))
+            return [parent_done.result()] + kids
 
     def present(self, specs: list[TableSpec]) -> set[str]:
         """Names found in each catalog; only allow-listed names are

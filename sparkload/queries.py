@@ -241,7 +241,9 @@ def _report_frame(spark, results) -> DataFrame:
 def _loader(spark, ctx, sources, name):
     from .plans.jobs import Loader
     out = scratch_path(spark, "jobs", name)
-    return Loader(spark, RunContext(ctx.as_of, ctx.time_zone, out), sources)
+    # The stand-in tables are timestamp_ntz, so the caller's session zone is
+    # left as it is.
+    return Loader(spark, RunContext(ctx.as_of, ctx.time_zone, out), sources, set_session_zone=False)
 
 
 def _lake(sf_dir: str):
