@@ -22,7 +22,8 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.sql.session.timeZone", os.environ.get("ORACLE_SESSION_TZ", "UTC")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracles = entry.oracle_sql()
