@@ -83,9 +83,11 @@ def epoch_seconds(value: dt.datetime, time_zone: str) -> int:
 
 
 def epoch_of_ntz(col: Column) -> Column:
-    """Whole epoch seconds of a ``timestamp_ntz`` column read as UTC; floor
-    of the fraction, independent of the session zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType()), col)
+    """Whole epoch seconds of a ``timestamp_ntz`` column read as UTC (the
+    fraction is floored).  Built from the calendar fields, which do not
+    depend on the session zone; a cast to ``timestamp`` would."""
+    days = F.unix_date(F.to_date(col)).cast(T.LongType())
+    return days * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
 
 
 def add_months(value: dt.datetime, months: int) -> dt.datetime:

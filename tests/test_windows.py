@@ -148,3 +148,17 @@ def test_unsupported_column_type_raises(spark):
     df = frame(spark, [(1, 5)], "id int, created_at int")
     with pytest.raises(TypeError):
         fn.month_to_date(df, "created_at", ctx(D(2024, 1, 15)))
+
+
+def test_epoch_of_ntz_ignores_session_zone(spark):
+    rows = [(1, D(2024, 7, 1, 12, 0, 0, 999999)), (2, D(1969, 12, 31, 23, 59, 59)), (3, D(2024, 1, 1))]
+    df = frame(spark, rows, "id int, ts timestamp_ntz")
+    want = {1: fn.epoch_seconds(D(2024, 7, 1, 12), "UTC"), 2: -1, 3: fn.epoch_seconds(D(2024, 1, 1), "UTC")}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {r["id"]: r["e"] for r in df.select("id", fn.epoch_of_ntz(df["ts"]).alias("e")).collect()}
+            assert got == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
