@@ -91,13 +91,16 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint directory).  Only when neither is set (local tests) is a
-    fresh temporary folder created and registered as checkpoint dir.
+    checkpoint directory).  Only a local-mode session (tests) with neither
+    set gets a fresh temporary folder; on a cluster a machine-local folder
+    would not survive executor loss, so the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="sparkload-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
