@@ -23,4 +23,4 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFram
     counted, obs = observe_rows(df, f"materialize_{name}")
     counted.write.mode("errorifexists").parquet(path)
     rows = int(obs.get.get("rows", 0))
-    return spark.read.parquet(path), rows
+    return spark.read.schema(df.schema).parquet(path), rows
