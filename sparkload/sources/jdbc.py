@@ -62,6 +62,11 @@ def catalog_query(schema: str, names: list[str] | None = None) -> str:
     return sql
 
 
+# Source DATETIME columns carry no zone; reading them as timestamp_ntz keeps
+# window comparisons free of session-zone conversions.
+DEFAULT_READ_OPTIONS = {"preferTimestampNTZ": "true"}
+
+
 def reader_options(
     base: Mapping[str, str],
     dbtable: str,
@@ -69,7 +74,7 @@ def reader_options(
     bounds: tuple[int, int] | None = None,
 ) -> dict[str, str]:
     """Options of ``spark.read.format('jdbc')`` for one table."""
-    opts = dict(base)
+    opts = {**DEFAULT_READ_OPTIONS, **base}
     opts["dbtable"] = dbtable
     if partitioning is not None:
         lo = partitioning.lower if partitioning.lower is not None else (bounds[0] if bounds else None)
@@ -87,7 +92,7 @@ def reader_options(
 
 def query_one_row(spark: SparkSession, base: Mapping[str, str], sql: str) -> DataFrame:
     """A query evaluated by the source (``query`` option)."""
-    opts = {k: v for k, v in base.items() if k != "dbtable"}
+    opts = {k: v for k, v in {**DEFAULT_READ_OPTIONS, **base}.items() if k != "dbtable"}
     return spark.read.format("jdbc").options(**opts).option("query", sql).load()
 
 
@@ -103,7 +108,9 @@ def read_table(
     dbtable = derived_subquery(table, derived, quote) if derived else quote_ident(table, quote)
     bounds = None
     if partitioning is not None and (partitioning.lower is None or partitioning.upper is None):
-        row = query_one_row(spark, base, bounds_query(dbtable, partitioning.column, quote)).first()
+        # Bounds come from the base table: the derived subquery would run the
+        # source function on every row just to find min and max.
+        row = query_one_row(spark, base, bounds_query(quote_ident(table, quote), partitioning.column, quote)).first()
         if row is not None and row["lo"] is not None:
             bounds = (int(row["lo"]), int(row["hi"]))
     return spark.read.format("jdbc").options(**reader_options(base, dbtable, partitioning, bounds)).load()

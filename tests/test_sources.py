@@ -87,6 +87,8 @@ def test_jdbc_options():
     assert fetched["lowerBound"] == "5" and fetched["upperBound"] == "500"
     single = jdbc.reader_options(base, "t", JdbcPartitioning("id", 8), bounds=(5, 5))
     assert "partitionColumn" not in single
+    assert opts["preferTimestampNTZ"] == "true"
+    assert jdbc.reader_options({**base, "preferTimestampNTZ": "false"}, "t")["preferTimestampNTZ"] == "false"
 
 
 def test_jdbc_sql_texts():
