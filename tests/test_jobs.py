@@ -103,3 +103,34 @@ def test_parquet_output(spark, outdir):
     res = Loader(spark, ctx, _lake(), output_format="parquet").run([spec])[0]
     assert res.path.endswith("nation20000615.parquet") and spark.read.parquet(res.path).count() == 25
     assert os.path.isdir(res.path)
+
+
+def _page(folder, name, recs):
+    import json
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        json.dump({"totalSize": len(recs), "done": True, "records": recs}, f)
+
+
+def test_records_job_pages_and_empty_object(spark, outdir):
+    landed = os.path.join(outdir, "landed")
+    env = {"type": "Opportunity", "url": "/o"}
+    _page(os.path.join(landed, "Opportunity"), "p0.json", [
+        {"attributes": env, "Id": "1", "Name": "a\\b", "CreatedDate": "2021-01-01T00:00:00.000+0000"},
+        {"attributes": env, "Id": "2", "Name": "old", "CreatedDate": "2020-12-31T23:59:59.000+0000"}])
+    _page(os.path.join(landed, "Opportunity"), "p1.json", [
+        {"attributes": env, "Id": "3", "Name": "x\ny", "CreatedDate": "2024-05-01T10:00:00.000+0000"}])
+    _page(os.path.join(landed, "AccountTeamMember"), "p0.json", [])
+    specs = [s for s in mf.records_manifest() if s.name in ("Opportunity", "AccountTeamMember")]
+    specs = [s.but(columns=("Id", "Name", "CreatedDate")) for s in specs]
+    sources = SourceRegistry([SourceConfig("crm", "records", root=landed, path_template="{root}/{table}")])
+    ctx = RunContext(as_of=D(2024, 6, 15, 6), output_root=os.path.join(outdir, "bucket"))
+    results = {r.table_name: r for r in Loader(spark, ctx, sources, records_layout="pages").run(specs)}
+    opp, team = results["Opportunity"], results["AccountTeamMember"]
+    assert opp.status == "ok" and opp.rows == 2  # 1 Jan of year-3 onwards
+    assert opp.path.endswith("salesforce_backups/Opportunity/Opportunity20240615.csv")
+    got = {r["Id"]: r["Name"] for r in read_csv(spark, opp.path, "Id string, Name string, CreatedDate string").collect()}
+    assert got == {"1": "a/b", "3": "x y"}
+    assert team.status == "ok" and team.rows == 0
+    parts = [p for p in os.listdir(team.path) if p.startswith("part-")]
+    assert "".join(open(os.path.join(team.path, p)).read() for p in parts).strip() == "Id,Name,CreatedDate"
