@@ -27,6 +27,11 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
+    # Extracts run as concurrent jobs, each in its own scheduler pool
+    # (plans/jobs.py).  FAIR shares executors between the pools, so the
+    # jobs of small tables are not queued behind a large table's tasks as
+    # they are under FIFO.  Static: takes effect when the session starts.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -78,11 +83,11 @@ def build_session(
 
 
 def apply_scale_conf(spark: SparkSession, time_zone: str | None = None) -> None:
-    """Set the runtime-settable parts of ``SCALE_CONF`` on a live session."""
+    """Set the runtime-settable (``spark.sql.*``) parts of ``SCALE_CONF`` on
+    a live session; the others only apply when a session is built."""
     for key, value in SCALE_CONF.items():
-        if key == "spark.ui.enabled":
-            continue
-        spark.conf.set(key, value)
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)
     if time_zone:
         spark.conf.set("spark.sql.session.timeZone", time_zone)
 

@@ -147,7 +147,11 @@ class Loader:
         return LoadResult(spec.job, spec.schema, spec.name, spec.layout.value, path, rows, status, error, secs)
 
     def _describe(self, spec: TableSpec) -> None:
-        self.spark.sparkContext.setJobDescription(f"sparkload {spec.job} {spec.schema}.{spec.name} {spec.layout.value}")
+        """Name the calling thread's jobs after the extract and put them in
+        the extract's own scheduler pool (shared fairly under FAIR mode)."""
+        sc = self.spark.sparkContext
+        sc.setJobDescription(f"sparkload {spec.job} {spec.schema}.{spec.name} {spec.layout.value}")
+        sc.setLocalProperty("spark.scheduler.pool", pool_name(spec))
 
     def run_one(self, spec: TableSpec) -> LoadResult:
         t0 = time.time()
@@ -185,6 +189,7 @@ class Loader:
 
         def parent_file() -> LoadResult:
             try:
+                self._describe(parent)
                 path, rows = self.write(parent, fn.sanitize(delta) if parent.sanitize else delta)
                 return self._result(parent, OK, path, rows, t0=t0)
             except Exception as e:
@@ -272,6 +277,11 @@ class Loader:
         return report_frame(self.spark, self.run(specs))
 
 
+def pool_name(spec: TableSpec) -> str:
+    """Scheduler pool of one extract."""
+    return f"sparkload.{spec.job}.{spec.schema}.{spec.name}.{spec.layout.value}"
+
+
 def _catalog_name(spec: TableSpec) -> str:
     return (spec.target_table or spec.table).lower() if spec.target_source else spec.table
 

@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 from sparkload.context import RunContext
 from sparkload.plans import manifest as mf
-from sparkload.plans.jobs import Loader
+from sparkload.plans.jobs import Loader, pool_name
 from sparkload.plans.manifest import Extract, TableSpec
 from sparkload.queries import (
     AS_OF,
@@ -59,6 +59,21 @@ def test_full_job_writes_and_reports(spark, outdir):
     assert read_csv(spark, cust.path, schema).count() == cust.rows == 150
 
 
+def test_each_extract_runs_in_its_own_fair_pool(spark, outdir):
+    from concurrent.futures import ThreadPoolExecutor
+    assert spark.sparkContext.getConf().get("spark.scheduler.mode") == "FAIR"
+    loader = Loader(spark, RunContext(as_of=AS_OF, output_root=outdir), _lake())
+    specs = [TableSpec("full", "tpch", "tpch", t, Extract.SNAPSHOT, Layout.SNAPSHOT) for t in ("nation", "region")]
+
+    def pool_of(spec):
+        loader._describe(spec)
+        return spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(pool_of, specs)) == [pool_name(s) for s in specs]
+    assert len({pool_name(s) for s in specs}) == 2
+
+
 def test_failure_is_isolated(spark, outdir):
     ctx = RunContext(as_of=AS_OF, output_root=outdir)
     specs = [
