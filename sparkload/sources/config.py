@@ -4,7 +4,7 @@
       "smc": {"format": "jdbc",
               "options": {"url": "jdbc:mysql://host/smc", "user": "etl", "password": "${SMC_PASSWORD}",
                           "driver": "com.mysql.cj.jdbc.Driver"},
-              "partitioning": {"ticket": {"column": "id", "num_partitions": 64}}},
+              "partitioning": {"ticket": {"column": "id", "num_partitions": 64, "balance": "quantiles"}}},
       "warehouse": {"format": "table", "root": "smc"},
       "crm": {"format": "records", "root": "s3a://landing/crm", "path_template": "{root}/{table}"}
     }

@@ -1,30 +1,52 @@
 """JDBC reads (S1, S2, S7 and the source-side derived column of P4).
 
-A table is read by ``numPartitions`` parallel range queries on a numeric
-``partitionColumn``; simple comparisons of the window predicates are pushed
-into each query's ``WHERE``.  Aggregates are not pushed by the V1 JDBC
+A table is read by parallel range queries on a key column; simple
+comparisons of the window predicates are pushed into each query's
+``WHERE``.  Ranges are equal strides of ``[min, max]`` (Spark's
+``partitionColumn``) or, with ``balance="quantiles"``, tiles of equal row
+count computed by the source, so an unevenly spread key (a dense id range
+holding a third of the rows) does not become one task.  Aggregates are not pushed by the V1 JDBC
 reader, so the one-row watermark and the partition bounds are fetched with
 the ``query`` option instead: the source computes them and returns one row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+BALANCES = ("stride", "quantiles")
+
+
 @dataclass(frozen=True)
 class JdbcPartitioning:
-    """Parallel read plan of one table.  ``lower``/``upper`` left ``None``
-    are fetched from the source with one ``min``/``max`` query."""
+    """Parallel read plan of one table.
+
+    ``balance="stride"``: ``num_partitions`` equal strides of
+    ``[lower, upper]``; bounds left ``None`` are fetched from the source
+    with one ``min``/``max`` query.  ``balance="quantiles"``: the source
+    splits the key into ``num_partitions`` tiles of equal row count
+    (``ntile``, a window function of MySQL 8 and most warehouses) and
+    returns the first key of each; one range per tile is read.  Use a
+    unique key (the primary key): rows sharing one key value always fall
+    into one range.
+    """
 
     column: str
     num_partitions: int
     lower: int | None = None
     upper: int | None = None
     fetch_size: int = 10_000
+    balance: str = "stride"
+
+    def __post_init__(self):
+        if self.balance not in BALANCES:
+            raise ValueError(f"balance must be one of {BALANCES}, not {self.balance!r}")
 
 
 def quote_ident(name: str, quote: str = "`") -> str:
@@ -45,6 +67,54 @@ def bounds_query(table_sql: str, column: str, quote: str = "`") -> str:
     return f"select min({c}) as lo, max({c}) as hi from {table_sql}"
 
 
+def tiles_query(table_sql: str, column: str, tiles: int, quote: str = "`") -> str:
+    """First key of each of ``tiles`` tiles of equal row count (one row per
+    tile; null keys left out)."""
+    c = quote_ident(column, quote)
+    return (f"select min(k) as lo from (select {c} as k, ntile({int(tiles)}) over (order by {c}) as tile "
+            f"from {table_sql} where {c} is not null) sparkload_t group by tile")
+
+
+def sql_literal(value) -> str:
+    """A key value as SQL text."""
+    if isinstance(value, bool):
+        raise TypeError("boolean keys cannot be range-partitioned")
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        return repr(value)
+    if isinstance(value, (dt.datetime, dt.date)):
+        return "'" + (value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()) + "'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    raise TypeError(f"no SQL literal for key value of type {type(value).__name__}")
+
+
+def range_predicates(column: str, cuts: Sequence, quote: str = "`") -> list[str]:
+    """``WHERE`` clauses of the ranges between cut points: below the first
+    (with null keys), between neighbours, and from the last up.  The ranges
+    are disjoint and together hold every row."""
+    c = quote_ident(column, quote)
+    points = sorted(set(cuts))
+    if not points:
+        return []
+    lit = [sql_literal(v) for v in points]
+    preds = [f"{c} < {lit[0]} or {c} is null"]
+    preds += [f"{c} >= {a} and {c} < {b}" for a, b in zip(lit, lit[1:])]
+    preds.append(f"{c} >= {lit[-1]}")
+    return preds
+
+
+def quantile_predicates(spark: SparkSession, base: Mapping[str, str], table_sql: str,
+                        partitioning: JdbcPartitioning, quote: str = "`") -> list[str]:
+    """Range predicates of equal row count, from one source-side query whose
+    result has ``num_partitions`` rows at most."""
+    tiles = query_one_row(spark, base, tiles_query(table_sql, partitioning.column,
+                                                   partitioning.num_partitions, quote)).collect()
+    firsts = sorted(r["lo"] for r in tiles if r["lo"] is not None)
+    return range_predicates(partitioning.column, firsts[1:], quote)
+
+
 def marks_query(table_sql: str, created: str, updated: str, quote: str = "`") -> str:
     """The watermark computed in the source; one row comes back."""
     return (f"select max({quote_ident(created, quote)}) as max_created_at, "
@@ -106,6 +176,15 @@ def read_table(
 ) -> DataFrame:
     """Read one table, in parallel when ``partitioning`` is given."""
     dbtable = derived_subquery(table, derived, quote) if derived else quote_ident(table, quote)
+    if partitioning is not None and partitioning.balance == "quantiles":
+        # Tiles come from the base table, like the stride bounds below.
+        preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)
+        if len(preds) > 1:
+            props = {**DEFAULT_READ_OPTIONS, **base, "fetchsize": str(partitioning.fetch_size)}
+            url = props.pop("url")
+            props.pop("dbtable", None)
+            return spark.read.jdbc(url, dbtable, predicates=preds, properties=props)
+        partitioning = None
     bounds = None
     if partitioning is not None and (partitioning.lower is None or partitioning.upper is None):
         # Bounds come from the base table: the derived subquery would run the

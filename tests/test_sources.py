@@ -100,3 +100,31 @@ def test_jdbc_sql_texts():
         "select table_schema, table_name from information_schema.tables where table_schema = 'smc' "
         "and table_name in ('note', 'o''brien')")
     assert jdbc.quote_ident('we"ird', '"') == '"we""ird"'
+
+
+def test_jdbc_quantile_ranges_balance_a_dense_key_block(spark, monkeypatch):
+    # 300 ids spread thinly, 600 in one dense block, 5 null keys.  Equal
+    # strides of [min, max] would put the block (2/3 of the rows) in one task.
+    rows = [(i * 1000,) for i in range(300)] + [(500_000 + i,) for i in range(600)] + [(None,)] * 5
+    spark.createDataFrame(rows, "id long").createOrReplaceTempView("skewed_keys")
+    # The source is stood in for by Spark SQL, which reads the same SQL text.
+    monkeypatch.setattr(jdbc, "query_one_row", lambda s, base, sql: s.sql(sql))
+    preds = jdbc.quantile_predicates(spark, {}, "`skewed_keys`", JdbcPartitioning("id", 4, balance="quantiles"))
+    assert len(preds) == 4
+    df = spark.table("skewed_keys")
+    sizes = [df.where(p).count() for p in preds]
+    assert sum(sizes) == len(rows)  # disjoint and complete, nulls included
+    assert max(sizes) <= 230, sizes  # about 905 / 4 each
+    lo, hi = 0, 500_599
+    cuts = [lo + (hi - lo) * i // 4 for i in range(1, 4)]
+    stride_sizes = [df.where(p).count() for p in jdbc.range_predicates("id", cuts)]
+    assert max(stride_sizes) >= 600
+
+
+def test_jdbc_quantile_option_validation():
+    import pytest
+    with pytest.raises(ValueError):
+        JdbcPartitioning("id", 4, balance="hash")
+    assert jdbc.range_predicates("id", []) == []
+    assert jdbc.range_predicates("k", ["b", "a", "b"]) == ["`k` < 'a' or `k` is null", "`k` >= 'a' and `k` < 'b'",
+                                                          "`k` >= 'b'"]
