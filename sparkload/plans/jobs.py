@@ -132,12 +132,19 @@ class Loader:
 
     def write(self, spec: TableSpec, df: DataFrame) -> tuple[str, int]:
         path = self.path(spec)
-        counted, obs = op.observe_rows(df, f"rows_{spec.name}_{spec.layout.value}")
         mode = write_mode(spec.layout)
+        known_rows = None
+        if spec.single_file and self.output_format != "parquet":
+            # The size check needs a count before the write; counting the
+            # source and then writing it would read it twice (and a live
+            # source may change in between).  Read it once into the shared
+            # checkpoint folder, counting on the way, and write from there.
+            df, known_rows = op.materialize(self.spark, df, f"single_{spec.name}")
+        counted, obs = op.observe_rows(df, f"rows_{spec.name}_{spec.layout.value}")
         if self.output_format == "parquet":
             csv_sink.write_parquet(counted, path, mode)
         else:
-            csv_sink.write_csv(counted, path, mode, single_file=spec.single_file)
+            csv_sink.write_csv(counted, path, mode, single_file=spec.single_file, row_count=known_rows)
         return path, int(obs.get.get("rows", 0))
 
     # -- running -----------------------------------------------------------

@@ -120,6 +120,16 @@ def test_parquet_output(spark, outdir):
     assert os.path.isdir(res.path)
 
 
+def test_single_file_extract(spark, outdir):
+    ctx = RunContext(as_of=AS_OF, output_root=outdir)
+    spec = TableSpec("full", "tpch", "tpch", "customer", Extract.SNAPSHOT, Layout.SNAPSHOT, single_file=True)
+    res = Loader(spark, ctx, _lake()).run([spec])[0]
+    assert res.status == "ok" and res.rows == 150
+    assert len([p for p in os.listdir(res.path) if p.startswith("part-")]) == 1
+    schema = spark.read.parquet(f"{SF_SMALL}/customer.parquet").schema
+    assert read_csv(spark, res.path, schema).count() == 150
+
+
 def _page(folder, name, recs):
     import json
     os.makedirs(folder, exist_ok=True)
