@@ -233,7 +233,7 @@ class Loader:
             if s.target_source:
                 groups[(s.target_source, s.schema, True)].append(_catalog_name(s))
             else:
-                groups[(s.source, s.schema, False)].append(s.table)
+                groups[(s.source, s.schema, self.sources.folds_case(self.spark, s.source))].append(s.table)
         found: set[str] = set()
         for (source, schema, fold), wanted in groups.items():
             wanted = list(dict.fromkeys(wanted))

@@ -77,6 +77,15 @@ class SourceRegistry:
             return spark.table(f"{cfg.root}.{name}" if cfg.root else name)
         raise ValueError(f"unsupported source format {cfg.format!r}")
 
+    def folds_case(self, spark: SparkSession, source: str) -> bool:
+        """Whether table names of ``source`` match regardless of case: true
+        for Spark catalog tables (the session catalog and a Hive metastore
+        keep names in lower case) unless ``spark.sql.caseSensitive`` is on.
+        JDBC catalogs and folders report names as they are spelled."""
+        if self.get(source).format != "table":
+            return False
+        return spark.conf.get("spark.sql.caseSensitive", "false").lower() != "true"
+
     def catalog(self, spark: SparkSession, source: str, schema: str | None = None,
                 names: list[str] | None = None) -> DataFrame:
         """``(table_schema, table_name)`` of the source's catalog."""

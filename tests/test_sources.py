@@ -128,3 +128,18 @@ def test_jdbc_quantile_option_validation():
     assert jdbc.range_predicates("id", []) == []
     assert jdbc.range_predicates("k", ["b", "a", "b"]) == ["`k` < 'a' or `k` is null", "`k` >= 'a' and `k` < 'b'",
                                                           "`k` >= 'b'"]
+
+
+def test_catalog_table_names_match_regardless_of_case(spark, outdir):
+    import datetime as dt
+
+    from sparkload.context import RunContext
+    from sparkload.plans.jobs import Loader
+    from sparkload.plans.manifest import Extract, TableSpec
+    from sparkload.sinks import Layout
+    spark.range(2).createOrReplaceTempView("cs__tblMixedCase")  # the catalog keeps it as cs__tblmixedcase
+    reg = SourceRegistry([SourceConfig("vpn", "table", prefix="cs__"), SourceConfig("dir", "parquet", root=outdir)])
+    assert reg.folds_case(spark, "vpn") and not reg.folds_case(spark, "dir")
+    spec = TableSpec("full", "vpn", "vpn", "tblMixedCase", Extract.SNAPSHOT, Layout.SNAPSHOT)
+    res = Loader(spark, RunContext(dt.datetime(2024, 1, 2), "UTC", outdir), reg).run([spec])[0]
+    assert res.status == "ok" and res.rows == 2 and res.path.endswith("tblMixedCase20240102.csv")
