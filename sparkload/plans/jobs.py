@@ -237,7 +237,7 @@ class Loader:
         found: set[str] = set()
         for (source, schema, fold), wanted in groups.items():
             wanted = list(dict.fromkeys(wanted))
-            cat = self.sources.catalog(self.spark, source, schema, [w.upper() for w in wanted] if fold else wanted)
+            cat = self.sources.catalog(self.spark, source, schema, wanted, fold_case=fold)
             found |= set(existing_tables(self.spark, cat, wanted, None, fold_case=fold))
         return found
 

@@ -28,9 +28,9 @@ def spark_catalog_frame(spark: SparkSession, database: str | None = None) -> Dat
 
 
 def jdbc_catalog_frame(spark: SparkSession, options: Mapping[str, str], schema: str,
-                       names: Sequence[str] | None = None) -> DataFrame:
+                       names: Sequence[str] | None = None, fold_case: bool = False) -> DataFrame:
     """``information_schema.tables`` of a JDBC source, filtered at the source."""
-    return jdbc.query_one_row(spark, options, jdbc.catalog_query(schema, list(names) if names else None))
+    return jdbc.query_one_row(spark, options, jdbc.catalog_query(schema, list(names) if names else None, fold_case))
 
 
 def allowlist_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:

@@ -121,14 +121,19 @@ def marks_query(table_sql: str, created: str, updated: str, quote: str = "`") ->
             f"max({quote_ident(updated, quote)}) as max_updated_at from {table_sql}")
 
 
-def catalog_query(schema: str, names: list[str] | None = None) -> str:
+def catalog_query(schema: str, names: list[str] | None = None, fold_case: bool = False) -> str:
     """``information_schema.tables`` rows of one schema, optionally
-    restricted to an allow-list (pushed to the source)."""
-    esc = schema.replace("'", "''")
-    sql = f"select table_schema, table_name from information_schema.tables where table_schema = '{esc}'"
+    restricted to an allow-list (pushed to the source).  With ``fold_case``
+    schema and names are compared in upper case: a warehouse keeps unquoted
+    names upper case (``SMC``, ``ASSET``) while the manifest spells them in
+    lower case."""
+    def text(v: str) -> str:
+        return "'" + (v.upper() if fold_case else v).replace("'", "''") + "'"
+
+    schema_col, name_col = ("upper(table_schema)", "upper(table_name)") if fold_case else ("table_schema", "table_name")
+    sql = f"select table_schema, table_name from information_schema.tables where {schema_col} = {text(schema)}"
     if names:
-        listed = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
-        sql += f" and table_name in ({listed})"
+        sql += f" and {name_col} in ({', '.join(text(n) for n in names)})"
     return sql
 
 

@@ -87,11 +87,12 @@ class SourceRegistry:
         return spark.conf.get("spark.sql.caseSensitive", "false").lower() != "true"
 
     def catalog(self, spark: SparkSession, source: str, schema: str | None = None,
-                names: list[str] | None = None) -> DataFrame:
-        """``(table_schema, table_name)`` of the source's catalog."""
+                names: list[str] | None = None, fold_case: bool = False) -> DataFrame:
+        """``(table_schema, table_name)`` of the source's catalog;
+        ``fold_case`` matches schema and names regardless of case (S5)."""
         cfg = self.get(source)
         if cfg.format == "jdbc":
-            return jdbc_catalog_frame(spark, cfg.options, schema or "", names)
+            return jdbc_catalog_frame(spark, cfg.options, schema or "", names, fold_case)
         if cfg.format == "table":
             cat = spark_catalog_frame(spark, cfg.root or None)
             if cfg.prefix:

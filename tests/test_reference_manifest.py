@@ -133,3 +133,28 @@ def test_records_manifest_runs(spark, sources, outdir):
     assert len(rows) == 6
     assert rows[("crm", "Opportunity", "records")] == 1  # 1 Jan of year-3 onwards
     assert rows[("crm", "RelatedPartner", "records")] == 2
+
+
+def test_incremental_manifest_against_an_upper_case_jdbc_warehouse(spark, sources, outdir, monkeypatch):
+    """The warehouse through the JDBC code path: its catalog spells schema
+    and tables upper case (``SMC``, ``ASSET``).  Spark SQL stands in for the
+    warehouse and runs the SQL text the library sends."""
+    from sparkload.sources import jdbc
+    upper = sorted({s.target_table for s in mf.incremental_manifest()})
+    rows = ", ".join(f"('SMC', '{t}')" for t in upper) + ", ('OTHER', 'TASK_ARCHIVE')"
+    spark.sql(f"SELECT * FROM VALUES {rows} AS t(table_schema, table_name)").createOrReplaceTempView("wh_catalog")
+    for t in upper:
+        spark.table(view_name("wh__", t)).createOrReplaceTempView(t)
+    sent = []
+
+    def warehouse(session, base, sql):
+        sent.append(sql)
+        return session.sql(sql.replace("information_schema.tables", "wh_catalog"))
+
+    monkeypatch.setattr(jdbc, "query_one_row", warehouse)
+    sources = SourceRegistry([*(sources.get(n) for n in sources.names() if n != "warehouse"),
+                              SourceConfig("warehouse", "jdbc", options={"url": "jdbc:stand-in"})])
+    rows = run(spark, sources, mf.incremental_manifest(), outdir)
+    assert len(rows) == 12 and set(rows.values()) == {ROWS}
+    assert any("upper(table_schema) = 'SMC'" in q for q in sent)
+    assert any("max(`created_at`)" in q and "from `ASSET`" in q for q in sent)

@@ -100,6 +100,10 @@ def test_jdbc_sql_texts():
         "select table_schema, table_name from information_schema.tables where table_schema = 'smc' "
         "and table_name in ('note', 'o''brien')")
     assert jdbc.quote_ident('we"ird', '"') == '"we""ird"'
+    # the warehouse spells SMC and ASSET upper case; the manifest lower case
+    assert jdbc.catalog_query("smc", ["asset", "ticket"], fold_case=True) == (
+        "select table_schema, table_name from information_schema.tables where upper(table_schema) = 'SMC' "
+        "and upper(table_name) in ('ASSET', 'TICKET')")
 
 
 def test_jdbc_quantile_ranges_balance_a_dense_key_block(spark, monkeypatch):
