@@ -5,10 +5,17 @@
               "options": {"url": "jdbc:mysql://host/smc", "user": "etl", "password": "${SMC_PASSWORD}",
                           "driver": "com.mysql.cj.jdbc.Driver"},
               "partitioning": {"ticket": {"column": "id", "num_partitions": 64, "balance": "quantiles"}}},
-      "warehouse": {"format": "table", "root": "smc"},
+      "warehouse": {"format": "jdbc", "quote": "",
+                    "options": {"url": "${WAREHOUSE_JDBC_URL}", "user": "etl",
+                                "password": "${WAREHOUSE_PASSWORD}"}},
       "crm": {"format": "records", "root": "s3a://landing/crm", "path_template": "{root}/{table}"}
     }
 
+``"quote": ""`` sends bare identifiers (``max(created_at) ... from ASSET``),
+as a warehouse that folds unquoted names to upper case needs; the default
+back-tick suits MySQL.  A warehouse may also be a catalog database
+(``{"format": "table", "root": "smc"}``).
+
 ``${NAME}`` in an option value is replaced from the environment when the
 file is loaded, so secrets stay out of the file and out of the code.
 """

@@ -100,6 +100,9 @@ def test_jdbc_sql_texts():
         "select table_schema, table_name from information_schema.tables where table_schema = 'smc' "
         "and table_name in ('note', 'o''brien')")
     assert jdbc.quote_ident('we"ird', '"') == '"we""ird"'
+    # bare identifiers (quote ""), which a warehouse folds to its own case
+    assert jdbc.marks_query(jdbc.quote_ident("ASSET", ""), "created_at", "updated_at", "") == \
+        "select max(created_at) as max_created_at, max(updated_at) as max_updated_at from ASSET"
     # the warehouse spells SMC and ASSET upper case; the manifest lower case
     assert jdbc.catalog_query("smc", ["asset", "ticket"], fold_case=True) == (
         "select table_schema, table_name from information_schema.tables where upper(table_schema) = 'SMC' "
