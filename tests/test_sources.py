@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 import os
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from sparkload.sources import (
     JdbcPartitioning,
     SourceConfig,
@@ -150,3 +153,22 @@ def test_catalog_table_names_match_regardless_of_case(spark, outdir):
     spec = TableSpec("full", "vpn", "vpn", "tblMixedCase", Extract.SNAPSHOT, Layout.SNAPSHOT)
     res = Loader(spark, RunContext(dt.datetime(2024, 1, 2), "UTC", outdir), reg).run([spec])[0]
     assert res.status == "ok" and res.rows == 2 and res.path.endswith("tblMixedCase20240102.csv")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(-10**12, 10**12), max_size=300, unique=True), st.integers(0, 5), st.integers(1, 9))
+def test_tile_ranges_cover_every_row_once_and_stay_even(keys, nulls, tiles):
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (rid INTEGER, k BIGINT)")
+    rows = [(i, k) for i, k in enumerate(keys)] + [(len(keys) + i, None) for i in range(nulls)]
+    if rows:
+        con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    firsts = sorted(r[0] for r in con.execute(jdbc.tiles_query('"t"', "k", tiles, '"')).fetchall())
+    preds = jdbc.range_predicates("k", firsts[1:], '"') or ["true"]
+    members = [set(r[0] for r in con.execute(f"SELECT rid FROM t WHERE {p}").fetchall()) for p in preds]
+    assert sum(len(m) for m in members) == len(rows)  # disjoint ...
+    assert set().union(*members) == {r[0] for r in rows}  # ... and complete
+    even = -(-len(keys) // tiles)  # ceil: the largest tile of unique keys
+    assert max(len(m) for m in members) <= even + nulls
+    assert len(preds) <= tiles
