@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 BALANCES = ("stride", "quantiles")
@@ -165,6 +166,19 @@ def reader_options(
     return opts
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def partitionable(partitioning: JdbcPartitioning, schema: T.StructType) -> bool:
+    """Whether ``schema`` has the partitioning column with an integral type
+    (case-insensitive, as the source resolves names)."""
+    for f in schema.fields:
+        if f.name.lower() == partitioning.column.lower():
+            t = f.dataType
+            return isinstance(t, _INTEGRAL) or (isinstance(t, T.DecimalType) and t.scale == 0)
+    return False
+
+
 def query_one_row(spark: SparkSession, base: Mapping[str, str], sql: str) -> DataFrame:
     """A query evaluated by the source (``query`` option)."""
     opts = {k: v for k, v in {**DEFAULT_READ_OPTIONS, **base}.items() if k != "dbtable"}
@@ -178,9 +192,20 @@ def read_table(
     partitioning: JdbcPartitioning | None = None,
     derived: Mapping[str, str] | None = None,
     quote: str = "`",
+    check_column: bool = False,
 ) -> DataFrame:
-    """Read one table, in parallel when ``partitioning`` is given."""
+    """Read one table, in parallel when ``partitioning`` is given.
+
+    ``check_column`` (a source-wide default rather than a plan made for this
+    table): partition only if the table has the key column with an integral
+    type, else read it whole.  Resolving the schema is one metadata query
+    that returns no rows.
+    """
     dbtable = derived_subquery(table, derived, quote) if derived else quote_ident(table, quote)
+    if partitioning is not None and check_column:
+        plain = spark.read.format("jdbc").options(**reader_options(base, dbtable)).load()
+        if not partitionable(partitioning, plain.schema):
+            return plain
     if partitioning is not None and partitioning.balance == "quantiles":
         # Tiles come from the base table, like the stride bounds below.
         preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)

@@ -33,6 +33,10 @@ class SourceConfig:
     prefix: str = ""  # "table": catalog name = prefix + table
     options: Mapping[str, str] = field(default_factory=dict)  # jdbc url, driver, user, ...
     partitioning: Mapping[str, jdbc.JdbcPartitioning] = field(default_factory=dict)
+    # jdbc: the plan of tables without their own entry in ``partitioning``,
+    # used where the table has its key column (e.g. ``id``); others are read
+    # whole.  Without it such tables are read by one task.
+    default_partitioning: jdbc.JdbcPartitioning | None = None
     quote: str = "`"
 
 
@@ -67,7 +71,10 @@ class SourceRegistry:
         source-side expressions inside the source query."""
         cfg = self.get(source)
         if cfg.format == "jdbc":
-            return jdbc.read_table(spark, cfg.options, table, cfg.partitioning.get(table), derived, cfg.quote)
+            own = cfg.partitioning.get(table)
+            plan = own or cfg.default_partitioning
+            return jdbc.read_table(spark, cfg.options, table, plan, derived, cfg.quote,
+                                   check_column=own is None and plan is not None)
         if derived:
             raise ValueError("source-side derived columns need a jdbc source")
         if cfg.format == "parquet":

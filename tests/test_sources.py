@@ -172,3 +172,28 @@ def test_tile_ranges_cover_every_row_once_and_stay_even(keys, nulls, tiles):
     even = -(-len(keys) // tiles)  # ceil: the largest tile of unique keys
     assert max(len(m) for m in members) <= even + nulls
     assert len(preds) <= tiles
+
+
+def test_jdbc_default_partitioning_applies_where_the_key_exists(monkeypatch):
+    from pyspark.sql import types as T
+
+    from sparkload.sources.config import registry_from_dict
+    default = JdbcPartitioning("id", 16)
+    assert jdbc.partitionable(default, T.StructType.fromDDL("ID bigint, name string"))
+    assert jdbc.partitionable(default, T.StructType.fromDDL("id decimal(20,0)"))
+    assert not jdbc.partitionable(default, T.StructType.fromDDL("id string"))
+    assert not jdbc.partitionable(default, T.StructType.fromDDL("ticket_id bigint"))
+    reg = registry_from_dict({"smc": {
+        "format": "jdbc", "options": {"url": "jdbc:mysql://db/smc"},
+        "partitioning": {"ticket": {"column": "id", "num_partitions": 64, "balance": "quantiles"}},
+        "default_partitioning": {"column": "id", "num_partitions": 16}}})
+    calls = []
+    monkeypatch.setattr(jdbc, "read_table", lambda spark, base, table, plan, derived, quote, check_column=False:
+                        calls.append((table, plan, check_column)))
+    reg.read(None, "smc", "ticket")
+    reg.read(None, "smc", "note")
+    assert calls == [("ticket", JdbcPartitioning("id", 64, balance="quantiles"), False),
+                     ("note", default, True)]
+    bare = SourceRegistry([SourceConfig("x", "jdbc", options={"url": "u"})])
+    bare.read(None, "x", "note")
+    assert calls[-1] == ("note", None, False)
