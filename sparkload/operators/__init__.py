@@ -4,12 +4,13 @@
 from .counting import observe_rows
 from .distinct import distinct_keys, distinct_rows
 from .incremental import cascade, delta, delta_keys, read_marks, watermark
-from .materialize import materialize
+from .materialize import KeySet, materialize, materialize_keys
 from .projection import drop_envelope, resolve_columns, select_columns, with_derived
 from .semijoin import DEFAULT_MAX_BROADCAST_KEYS, semi_join
 
 __all__ = [
     "DEFAULT_MAX_BROADCAST_KEYS",
+    "KeySet",
     "cascade",
     "delta",
     "delta_keys",
@@ -17,6 +18,7 @@ __all__ = [
     "distinct_rows",
     "drop_envelope",
     "materialize",
+    "materialize_keys",
     "observe_rows",
     "read_marks",
     "resolve_columns",

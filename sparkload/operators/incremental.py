@@ -24,6 +24,7 @@ from ..context import RunContext
 from ..functions.timestamps import column_type
 from ..functions.windows import Marks, watermark_delta
 from .distinct import distinct_keys, distinct_rows
+from .materialize import KeySet
 from .projection import select_columns
 from .semijoin import DEFAULT_MAX_BROADCAST_KEYS, semi_join
 
@@ -84,7 +85,7 @@ def delta_keys(parent_delta: DataFrame, key: str = "id") -> DataFrame:
 
 def cascade(
     child: DataFrame,
-    keys: DataFrame,
+    keys: DataFrame | KeySet,
     child_key: str,
     key: str = "id",
     key_count: int | None = None,
@@ -96,8 +97,12 @@ def cascade(
     """Child rows of changed parents.
 
     ``own_delta`` (J3) is the child's own change predicate; it is applied
-    before the join so it filters at the scan.
+    before the join so it filters at the scan.  A ``KeySet`` brings its
+    count and key range, which also prunes the child's scan.
     """
+    key_range = None
+    if isinstance(keys, KeySet):
+        keys, key_count, key_range = keys.frame, keys.count, (keys.low, keys.high)
     filtered = child.where(own_delta) if own_delta is not None else child
-    out = semi_join(filtered, keys, child_key, key, key_count, max_broadcast_keys, salt_buckets)
+    out = semi_join(filtered, keys, child_key, key, key_count, max_broadcast_keys, salt_buckets, key_range)
     return distinct_rows(out) if distinct else out

@@ -10,7 +10,11 @@ loss and is never used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+from typing import Any
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..context import scratch_path
 from .counting import observe_rows
@@ -24,3 +28,26 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFram
     counted.write.mode("errorifexists").parquet(path)
     rows = int(obs.get.get("rows", 0))
     return spark.read.schema(df.schema).parquet(path), rows
+
+
+@dataclass(frozen=True)
+class KeySet:
+    """A materialized distinct key set with its size and range, all observed
+    on the write that stored it.  ``low``/``high`` are ``None`` when empty."""
+
+    frame: DataFrame
+    count: int
+    low: Any
+    high: Any
+
+
+def materialize_keys(spark: SparkSession, keys: DataFrame, key: str, name: str) -> KeySet:
+    """Write a key set once to the checkpoint folder; the row count (which
+    picks the join strategy) and the key range (which prunes the child's
+    scan) come from the same write."""
+    path = scratch_path(spark, "materialized", name)
+    obs = Observation(f"keys_{name}")
+    keys.observe(obs, F.count(F.lit(1)).alias("rows"), F.min(keys[key]).alias("low"),
+                 F.max(keys[key]).alias("high")).write.mode("errorifexists").parquet(path)
+    m = obs.get
+    return KeySet(spark.read.schema(keys.schema).parquet(path), int(m.get("rows", 0)), m.get("low"), m.get("high"))

@@ -40,14 +40,25 @@ def semi_join(
     key_count: int | None = None,
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     salt_buckets: int | None = None,
+    key_range: tuple | None = None,
 ) -> DataFrame:
     """Rows of ``child`` whose ``child_key`` is in ``keys[key]``.
 
     ``keys`` should already be distinct and, when reused, materialized.
     ``key_count`` is its row count if known (e.g. observed while it was
     written); otherwise it is counted here, which is cheap on a
-    materialized key set.
+    materialized key set.  ``key_range`` is the keys' ``(min, max)``: a
+    matching child key lies in it, so the range is applied to the child
+    first, where it reaches the scan (parquet row-group skipping, a ``WHERE``
+    on the source's index); ``(None, None)`` is an empty key set, which
+    plans as an empty relation without reading the child.
     """
+    if key_range is not None:
+        low, high = key_range
+        if low is None:
+            child = child.where(F.lit(False))
+        else:
+            child = child.where(child[child_key].between(F.lit(low), F.lit(high)))
     keys = keys.select(keys[key])
     n = keys.count() if key_count is None else key_count
     if n <= max_broadcast_keys:

@@ -92,7 +92,7 @@ class Loader:
     # -- plans -------------------------------------------------------------
 
     def frame(self, spec: TableSpec, marks: Marks | None = None,
-              keys: tuple[DataFrame, int] | None = None, clean: bool = True) -> DataFrame:
+              keys: op.KeySet | None = None, clean: bool = True) -> DataFrame:
         """The lazy plan of one extract, ready to write (``clean=False``
         leaves out X1/X2)."""
         x = spec.extract
@@ -105,8 +105,9 @@ class Loader:
             parent = self.read(spec, spec.parent)
             if spec.parent_window is not None:
                 parent = parent.where(window_predicate(spec.parent_window, parent, self.ctx))
-            pkeys, n = op.materialize(self.spark, op.distinct_keys(parent, spec.key), f"keys_{spec.parent}")
-            df = self._cascade(spec, df, (pkeys, n), None)
+            pkeys = op.materialize_keys(self.spark, op.distinct_keys(parent, spec.key), spec.key,
+                                        f"keys_{spec.parent}")
+            df = self._cascade(spec, df, pkeys, None)
         elif x is Extract.INCREMENT:
             df = op.delta(df, marks, self.ctx, spec.created, spec.updated, spec.update_floor, spec.distinct)
         elif x is Extract.CASCADE:
@@ -118,9 +119,8 @@ class Loader:
             df = op.with_derived(df, dict(spec.derived))
         return fn.sanitize(df) if spec.sanitize and clean else df
 
-    def _cascade(self, spec: TableSpec, child: DataFrame, keys: tuple[DataFrame, int], own: Column | None) -> DataFrame:
-        kdf, n = keys
-        return op.cascade(child, kdf, spec.child_key, spec.key, key_count=n, own_delta=own,
+    def _cascade(self, spec: TableSpec, child: DataFrame, keys: op.KeySet, own: Column | None) -> DataFrame:
+        return op.cascade(child, keys, spec.child_key, spec.key, own_delta=own,
                           distinct=spec.distinct, max_broadcast_keys=self.max_broadcast_keys,
                           salt_buckets=self.salt_buckets)
 
@@ -202,7 +202,7 @@ class Loader:
             except Exception as e:
                 return self._result(parent, ERROR, error=_message(e), t0=t0)
 
-        def one_child(child: TableSpec, keys: tuple[DataFrame, int]) -> LoadResult:
+        def one_child(child: TableSpec, keys: op.KeySet) -> LoadResult:
             t1 = time.time()
             if _catalog_name(child) not in present:
                 return self._result(child, MISSING, t0=t1)
@@ -217,7 +217,8 @@ class Loader:
         with ThreadPoolExecutor(self.max_parallel + 1) as pool:
             parent_done = pool.submit(parent_file)
             try:
-                keys = op.materialize(self.spark, op.delta_keys(key_source, parent.key), f"keys_{parent.name}")
+                keys = op.materialize_keys(self.spark, op.delta_keys(key_source, parent.key), parent.key,
+                                           f"keys_{parent.name}")
             except Exception as e:
                 kids = [self._result(c, SKIPPED, error=f"keys of {parent.name} failed: {_message(e)}")
                         for c in children]

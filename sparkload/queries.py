@@ -136,9 +136,9 @@ def q_last_n_years(spark, sf_dir):
 def q_semi_static(spark, sf_dir):
     t = tracked_orders(spark, sf_dir)
     parent_keys = op.distinct_keys(t.where(fn.created_since(t, "created_at", KEYS_FLOOR, ctx_at(AS_OF))), "o_orderkey")
-    keys, n = op.materialize(spark, parent_keys, "semi_static_keys")
+    keys = op.materialize_keys(spark, parent_keys, "o_orderkey", "semi_static_keys")
     li = table(spark, sf_dir, "lineitem")
-    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", key_count=n, distinct=False))
+    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", distinct=False))
 
 
 def q_watermark(spark, sf_dir):
@@ -162,11 +162,12 @@ def q_incr_delta_floor(spark, sf_dir):
 def _cascade(spark, sf_dir, update_floor=None, parent_distinct=True, own=False):
     parent, marks = _delta(spark, sf_dir, update_floor, parent_distinct)
     # Keys are computed once into the checkpoint folder; the count comes
-    # from the write and decides the join strategy.
-    keys, n = op.materialize(spark, op.delta_keys(parent, "o_orderkey"), "delta_keys")
+    # from the write and decides the join strategy; the key range prunes the
+    # child scan.
+    keys = op.materialize_keys(spark, op.delta_keys(parent, "o_orderkey"), "o_orderkey", "delta_keys")
     li = table(spark, sf_dir, "lineitem")
     own_delta = fn.watermark_delta(li, marks, ctx_at(AS_OF), "l_shipdate", "l_shipdate") if own else None
-    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", key_count=n, own_delta=own_delta,
+    return fn.sanitize(op.cascade(li, keys, "l_orderkey", "o_orderkey", own_delta=own_delta,
                                   distinct=True))
 
 

@@ -35,6 +35,23 @@ def test_cascade_is_a_broadcast_semi_join(spark):
     assert "LeftSemi" in text and "BroadcastHashJoin" in text
 
 
+def test_key_range_reaches_the_child_scan(spark):
+    import re
+    pushed = " ".join(pushed_filters(Q["cascade_delta"](spark, SF_SMALL)))
+    low = re.search(r"GreaterThanOrEqual\(l_orderkey,(\d+)\)", pushed)
+    high = re.search(r"LessThanOrEqual\(l_orderkey,(\d+)\)", pushed)
+    assert low and high and int(low.group(1)) <= int(high.group(1))
+
+
+def test_empty_key_set_reads_no_child(spark):
+    from sparkload import operators as op
+    keys = op.materialize_keys(spark, spark.range(0).withColumnRenamed("id", "o_orderkey"), "o_orderkey", "none")
+    assert keys.count == 0 and keys.low is None
+    child = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    out = op.cascade(child, keys, "l_orderkey", "o_orderkey")
+    assert "FileScan" not in plan_text(out, "simple") and out.count() == 0
+
+
 def test_snapshot_needs_no_shuffle(spark):
     assert exchanges(Q["snapshot_full"](spark, SF_SMALL)) == 0
     assert exchanges(Q["mtd_created"](spark, SF_SMALL)) == 0
