@@ -92,6 +92,15 @@ def apply_scale_conf(spark: SparkSession, time_zone: str | None = None) -> None:
         spark.conf.set("spark.sql.session.timeZone", time_zone)
 
 
+def spark_context(spark: SparkSession):
+    """The session's ``SparkContext``, or ``None`` for a Spark Connect
+    session, which has none (job descriptions and pools are then skipped)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -101,13 +110,14 @@ def scratch_root(spark: SparkSession) -> str:
     would not survive executor loss, so the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark_context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="sparkload-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from .. import functions as fn
 from .. import operators as op
-from ..context import RunContext
+from ..context import RunContext, spark_context
 from ..functions.windows import Marks
 from ..sinks import csv as csv_sink
 from ..sinks.paths import FILE_EXTENSION, output_path, write_mode
@@ -156,7 +156,9 @@ class Loader:
     def _describe(self, spec: TableSpec) -> None:
         """Name the calling thread's jobs after the extract and put them in
         the extract's own scheduler pool (shared fairly under FAIR mode)."""
-        sc = self.spark.sparkContext
+        sc = spark_context(self.spark)
+        if sc is None:
+            return
         sc.setJobDescription(f"sparkload {spec.job} {spec.schema}.{spec.name} {spec.layout.value}")
         sc.setLocalProperty("spark.scheduler.pool", pool_name(spec))
 

@@ -159,3 +159,34 @@ def test_records_job_pages_and_empty_object(spark, outdir):
     assert team.status == "ok" and team.rows == 0
     parts = [p for p in os.listdir(team.path) if p.startswith("part-")]
     assert "".join(open(os.path.join(team.path, p)).read() for p in parts).strip() == "Id,Name,CreatedDate"
+
+
+def test_sessions_without_a_spark_context(spark):
+    """A Spark Connect session has no SparkContext: the scratch folder must
+    then come from spark.checkpoint.dir, and pools are skipped."""
+    import pytest
+
+    from sparkload.context import scratch_root, spark_context
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Remote:
+        def __init__(self, values):
+            self.conf = Conf(values)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("not supported in Spark Connect")
+
+    assert spark_context(Remote({})) is None and spark_context(spark) is not None
+    assert scratch_root(Remote({"spark.checkpoint.dir": "s3a://shared/ckpt/"})) == "s3a://shared/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Remote({}))
+    loader = Loader.__new__(Loader)
+    loader.spark = Remote({})
+    loader._describe(TableSpec("full", "tpch", "tpch", "nation", Extract.SNAPSHOT, Layout.SNAPSHOT))
