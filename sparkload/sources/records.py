@@ -1,16 +1,16 @@
 """CRM record sets (S6) landed as JSON.
 
 The reference pulls records through a paged REST client.  Here the records
-are landed files and Spark reads them in parallel with an explicit schema
-(no inference pass).  Two layouts:
+are landed files that Spark reads in parallel with an explicit schema (no
+inference pass; the key spelling comes from one record).  Two layouts:
 
 * ``lines``: one record object per line (splittable, the large-scale form);
 * ``pages``: one API response per file, ``{"records": [...], ...}``; each
   file is parsed whole (``multiLine``) and its ``records`` exploded, so
   pages are spread over tasks, one file per task at most.
 
-Each record carries an ``attributes`` envelope (type and url) that is
-dropped (P5) after the field list (P3) is applied.
+Each record carries an ``attributes`` envelope (type and url); only the
+object's field list (P3) is selected, so the envelope is left out (P5).
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.projection import drop_envelope, select_columns
-
 ENVELOPE = "attributes"
 ENVELOPE_TYPE = T.StructType([T.StructField("type", T.StringType()), T.StructField("url", T.StringType())])
 
@@ -45,6 +43,23 @@ def string_fields(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def landed_spelling(spark: SparkSession, path: str, layout: str = "lines") -> dict[str, str]:
+    """Lower-cased name → spelling of the keys of one landed record.  Every
+    record of an object's query carries the same keys (each selected field,
+    null or not), so one record gives the API's spelling for all; reading it
+    touches the first split only."""
+    if layout == "lines":
+        lines = spark.read.text(path)
+        one = lines.where(F.trim(lines["value"]) != "").select(F.json_object_keys(lines["value"]).alias("k")).first()
+    elif layout == "pages":
+        files = spark.read.text(path, wholetext=True)
+        first = F.get_json_object(files["value"], "$.records[0]")
+        one = files.select(F.json_object_keys(first).alias("k")).where(F.col("k").isNotNull()).first()
+    else:
+        raise ValueError(f"unknown records layout {layout!r}")
+    return {k.lower(): k for k in (one["k"] if one is not None else [])}
+
+
 def read_records(
     spark: SparkSession,
     path: str,
@@ -52,20 +67,35 @@ def read_records(
     fields: Sequence[str] | None = None,
     layout: str = "lines",
 ) -> DataFrame:
-    """S6 + P3 + P5: landed records → the object's field list, no envelope."""
-    rec = record_schema(schema)
+    """S6 + P3 + P5: landed records → the object's field list, no envelope.
+
+    Field names are matched regardless of case, as the reference's frame of
+    API records is selected: a query may spell ``NAME`` or ``ContactID``
+    while the API returns ``Name`` and ``ContactId``.  The JSON source
+    matches a schema's names exactly, so the schema is spelled as the landed
+    records spell their keys (``landed_spelling``), with the types of
+    ``schema`` (text for fields it does not declare).  Columns are named as
+    in ``schema``, else as in ``fields``.  A malformed record fails the read
+    rather than turn into a row of nulls.
+    """
+    struct = _as_struct(schema)
+    declared = {f.name.lower(): f for f in struct.fields}
+    wanted = [f for f in (fields if fields is not None else struct.fieldNames()) if f.lower() != ENVELOPE]
+    spelled = landed_spelling(spark, path, layout)
+    read_fields, out = [], []
+    for name in wanted:
+        fld = declared.get(name.lower())
+        key = spelled.get(name.lower(), fld.name if fld else name)
+        read_fields.append(T.StructField(key, fld.dataType if fld else T.StringType()))
+        out.append((key, fld.name if fld else name))
+    rec = T.StructType(read_fields)
     if layout == "lines":
-        df = spark.read.schema(rec).json(path)
-    elif layout == "pages":
+        df = spark.read.schema(rec).option("mode", "FAILFAST").json(path)
+    else:
         page = T.StructType([T.StructField("records", T.ArrayType(rec))])
-        df = (spark.read.schema(page).option("multiLine", "true").json(path)
+        df = (spark.read.schema(page).option("multiLine", "true").option("mode", "FAILFAST").json(path)
               .select(F.explode("records").alias("r")).select("r.*"))
-    else:
-        raise ValueError(f"unknown records layout {layout!r}")
-    if fields is not None:
-        wanted = [ENVELOPE] + [f for f in fields if f.lower() != ENVELOPE]
-        df = select_columns(df, wanted)
-    return drop_envelope(df, ENVELOPE)
+    return df.select(*[df[key].alias(name) for key, name in out])
 
 
 def to_records(df: DataFrame, object_type: str, url_prefix: str, id_column: str) -> DataFrame:

@@ -26,6 +26,9 @@ AS_OF = dt.datetime(2024, 3, 15, 6, 0, 0)
 ROWS = 3  # ids 1..3, created 1..3 hours before 04:00 on the run day
 NOW = "timestamp_ntz'2024-03-15 04:00:00'"
 
+# Canonical API names of fields the query spells differently.
+API_SPELLING = {"NAME": "Name", "ContactID": "ContactId", "AccountID": "AccountId"}
+
 GENERIC = ("id", "name", "created_at", "updated_at")
 SPECIAL = {
     "ticket": mf.names(mf.TICKET_COLUMNS),
@@ -87,7 +90,8 @@ def sources(spark, tmp_path_factory):
         with open(os.path.join(landed, obj, "part-0.json"), "w") as f:
             for i, created in enumerate(("2024-01-01T00:00:00.000+0000", "2020-12-31T23:59:59.000+0000")):
                 rec = {"attributes": {"type": obj, "url": f"/{obj}/{i}"}}
-                rec.update({n: f"{n}\\{i}\nx" for n in mf.names(fields)})
+                # keys as the API spells them (the query says NAME, ContactID, AccountID)
+                rec.update({API_SPELLING.get(n, n): f"{n}\\{i}\nx" for n in mf.names(fields)})
                 rec["CreatedDate"] = created
                 f.write(json.dumps(rec) + "\n")
     # The source-side function of the derived column, as a SQL function.
@@ -106,7 +110,8 @@ def run(spark, sources, specs, outdir):
     results = loader.run(specs)
     bad = [(r.table_name, r.layout, r.status, r.error) for r in results if r.status != "ok"]
     assert not bad, bad
-    return {(r.schema_name, r.table_name, r.layout): r.rows for r in results}
+    run.results = {(r.schema_name, r.table_name, r.layout): r for r in results}
+    return {key: r.rows for key, r in run.results.items()}
 
 
 def test_full_load_manifest_runs(spark, sources, outdir):
@@ -133,6 +138,12 @@ def test_records_manifest_runs(spark, sources, outdir):
     assert len(rows) == 6
     assert rows[("crm", "Opportunity", "records")] == 1  # 1 Jan of year-3 onwards
     assert rows[("crm", "RelatedPartner", "records")] == 2
+    from sparkload.sinks import read_csv
+    user = run.results[("crm", "User", "records")]
+    fields = [f for o, _, fs, _ in mf.CRM_OBJECTS if o == "User" for f in mf.names(fs)]
+    back = read_csv(spark, user.path, ", ".join(f"`{f}` string" for f in fields))
+    assert back.where("NAME IS NULL OR ContactID IS NULL OR AccountID IS NULL").count() == 0
+    assert {r["NAME"] for r in back.collect()} == {"NAME/0 x", "NAME/1 x"}
 
 
 def test_incremental_manifest_against_an_upper_case_jdbc_warehouse(spark, sources, outdir, monkeypatch):

@@ -15,6 +15,7 @@ from sparkload.sources import (
     allowlisted,
     existing_tables,
     read_records,
+    string_fields,
 )
 from sparkload.sources import jdbc
 
@@ -197,3 +198,36 @@ def test_jdbc_default_partitioning_applies_where_the_key_exists(monkeypatch):
     bare = SourceRegistry([SourceConfig("x", "jdbc", options={"url": "u"})])
     bare.read(None, "x", "note")
     assert calls[-1] == ("note", None, False)
+
+
+def test_records_fields_match_api_spelling_and_types(spark, outdir):
+    """The query spells NAME and ContactID; the API returns Name and
+    ContactId.  Values are found regardless of case and cast to the declared
+    type; malformed records fail instead of disappearing."""
+    import pytest
+    folder = os.path.join(outdir, "User")
+    os.makedirs(folder)
+    env = {"type": "User", "url": "/u"}
+    with open(os.path.join(folder, "part.json"), "w") as f:
+        f.write(json.dumps({"attributes": env, "Id": "1", "Name": "Ann", "ContactId": "c1", "Amount": 2.5,
+                            "IsActive": True, "CreatedDate": "2024-01-01T05:00:00.000+0000"}) + "\n\n")
+        f.write(json.dumps({"attributes": env, "Id": "2", "Name": None, "ContactId": "c2", "Amount": None,
+                            "IsActive": False, "CreatedDate": None}) + "\n")
+    fields = ["Id", "NAME", "ContactID", "Amount", "IsActive", "CreatedDate"]
+    text = read_records(spark, folder, string_fields(fields), fields)
+    assert text.columns == fields
+    assert [r.asDict() for r in text.orderBy("Id").collect()] == [
+        {"Id": "1", "NAME": "Ann", "ContactID": "c1", "Amount": "2.5", "IsActive": "true",
+         "CreatedDate": "2024-01-01T05:00:00.000+0000"},
+        {"Id": "2", "NAME": None, "ContactID": "c2", "Amount": None, "IsActive": "false", "CreatedDate": None}]
+    typed = read_records(spark, folder, "Id string, Amount double, IsActive boolean, CreatedDate timestamp", fields)
+    assert typed.columns == ["Id", "NAME", "ContactID", "Amount", "IsActive", "CreatedDate"]
+    first = typed.where("Id = '1'").first()
+    assert first["Amount"] == 2.5 and first["IsActive"] is True and first["NAME"] == "Ann"
+    assert typed.where("Id = '1'").selectExpr("unix_timestamp(CreatedDate) AS s").first()["s"] == 1704085200
+    with pytest.raises(Exception):  # a declared type the records do not hold fails, not nulls
+        read_records(spark, folder, "Id int", fields).collect()
+    with open(os.path.join(folder, "part2.json"), "w") as f:
+        f.write('{"Id": "3", "Name": \n')
+    with pytest.raises(Exception):
+        read_records(spark, folder, string_fields(fields), fields).collect()
