@@ -142,6 +142,25 @@ def catalog_query(schema: str, names: list[str] | None = None, fold_case: bool =
 # window comparisons free of session-zone conversions.
 DEFAULT_READ_OPTIONS = {"preferTimestampNTZ": "true"}
 
+# MySQL Connector/J connection properties under which values read as the
+# reference's Python driver returns them: TINYINT(1) flags as 0/1 integers
+# (not booleans), YEAR as a number (not a date), zero dates as null (not an
+# error).
+MYSQL_READ_OPTIONS = {
+    "tinyInt1isBit": "false",
+    "yearIsDateType": "false",
+    "zeroDateTimeBehavior": "CONVERT_TO_NULL",
+}
+
+
+def source_defaults(base: Mapping[str, str]) -> dict[str, str]:
+    """Default options for the source named by ``base["url"]``; options in
+    ``base`` override them."""
+    opts = dict(DEFAULT_READ_OPTIONS)
+    if str(base.get("url", "")).startswith("jdbc:mysql:"):
+        opts.update(MYSQL_READ_OPTIONS)
+    return {**opts, **base}
+
 
 def reader_options(
     base: Mapping[str, str],
@@ -150,7 +169,7 @@ def reader_options(
     bounds: tuple[int, int] | None = None,
 ) -> dict[str, str]:
     """Options of ``spark.read.format('jdbc')`` for one table."""
-    opts = {**DEFAULT_READ_OPTIONS, **base}
+    opts = source_defaults(base)
     opts["dbtable"] = dbtable
     if partitioning is not None:
         lo = partitioning.lower if partitioning.lower is not None else (bounds[0] if bounds else None)
@@ -181,7 +200,7 @@ def partitionable(partitioning: JdbcPartitioning, schema: T.StructType) -> bool:
 
 def query_one_row(spark: SparkSession, base: Mapping[str, str], sql: str) -> DataFrame:
     """A query evaluated by the source (``query`` option)."""
-    opts = {k: v for k, v in {**DEFAULT_READ_OPTIONS, **base}.items() if k != "dbtable"}
+    opts = {k: v for k, v in source_defaults(base).items() if k != "dbtable"}
     return spark.read.format("jdbc").options(**opts).option("query", sql).load()
 
 
@@ -210,7 +229,7 @@ def read_table(
         # Tiles come from the base table, like the stride bounds below.
         preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)
         if len(preds) > 1:
-            props = {**DEFAULT_READ_OPTIONS, **base, "fetchsize": str(partitioning.fetch_size)}
+            props = {**source_defaults(base), "fetchsize": str(partitioning.fetch_size)}
             url = props.pop("url")
             props.pop("dbtable", None)
             return spark.read.jdbc(url, dbtable, predicates=preds, properties=props)

@@ -93,6 +93,12 @@ def test_jdbc_options():
     assert "partitionColumn" not in single
     assert opts["preferTimestampNTZ"] == "true"
     assert jdbc.reader_options({**base, "preferTimestampNTZ": "false"}, "t")["preferTimestampNTZ"] == "false"
+    # MySQL values as the reference's Python driver returns them; the caller can override
+    assert opts["tinyInt1isBit"] == "false" and opts["yearIsDateType"] == "false"
+    assert opts["zeroDateTimeBehavior"] == "CONVERT_TO_NULL"
+    assert jdbc.reader_options({**base, "tinyInt1isBit": "true"}, "t")["tinyInt1isBit"] == "true"
+    other = jdbc.reader_options({"url": "jdbc:postgresql://db/x"}, "t")
+    assert "tinyInt1isBit" not in other and other["preferTimestampNTZ"] == "true"
 
 
 def test_jdbc_sql_texts():
