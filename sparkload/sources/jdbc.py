@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Rows per round trip of a JDBC read (see DEFAULT_READ_OPTIONS).
+DEFAULT_FETCH_SIZE = 10_000
 BALANCES = ("stride", "quantiles")
 
 
@@ -42,7 +44,7 @@ class JdbcPartitioning:
     num_partitions: int
     lower: int | None = None
     upper: int | None = None
-    fetch_size: int = 10_000
+    fetch_size: int = DEFAULT_FETCH_SIZE
     balance: str = "stride"
 
     def __post_init__(self):
@@ -139,14 +141,19 @@ def catalog_query(schema: str, names: list[str] | None = None, fold_case: bool =
 
 
 # Source DATETIME columns carry no zone; reading them as timestamp_ntz keeps
-# window comparisons free of session-zone conversions.
-DEFAULT_READ_OPTIONS = {"preferTimestampNTZ": "true"}
-
-# MySQL Connector/J connection properties under which values read as the
+# window comparisons free of session-zone conversions.  Rows arrive in
+# batches of ``fetchsize``, which bounds a task's memory whatever the size
+# of its range (also for tables read whole).
+DEFAULT_READ_OPTIONS = {"preferTimestampNTZ": "true", "fetchsize": str(DEFAULT_FETCH_SIZE)}
+
+# MySQL Connector/J connection properties.  ``useCursorFetch``: the driver
+# honours ``fetchsize`` only with a server-side cursor; without it each task
+# holds its whole result set in memory.  The others read values as the
 # reference's Python driver returns them: TINYINT(1) flags as 0/1 integers
 # (not booleans), YEAR as a number (not a date), zero dates as null (not an
 # error).
 MYSQL_READ_OPTIONS = {
+    "useCursorFetch": "true",
     "tinyInt1isBit": "false",
     "yearIsDateType": "false",
     "zeroDateTimeBehavior": "CONVERT_TO_NULL",

@@ -96,6 +96,9 @@ def test_jdbc_options():
     # MySQL values as the reference's Python driver returns them; the caller can override
     assert opts["tinyInt1isBit"] == "false" and opts["yearIsDateType"] == "false"
     assert opts["zeroDateTimeBehavior"] == "CONVERT_TO_NULL"
+    # rows stream in bounded batches, also for a table read whole
+    whole = jdbc.reader_options(base, "t")
+    assert whole["fetchsize"] == "10000" and whole["useCursorFetch"] == "true"
     assert jdbc.reader_options({**base, "tinyInt1isBit": "true"}, "t")["tinyInt1isBit"] == "true"
     other = jdbc.reader_options({"url": "jdbc:postgresql://db/x"}, "t")
     assert "tinyInt1isBit" not in other and other["preferTimestampNTZ"] == "true"
