@@ -12,22 +12,34 @@ Strategy, decided on the driver from a **counted** key set:
   key.  A hot key then lands in one reducer; AQE's skew-join rule splits
   that partition (``spark.sql.adaptive.skewJoin.enabled``), and with
   ``salt_buckets`` the split is explicit and deterministic instead: each
-  child row gets ``pmod(xxhash64(row), n)`` and each key is repeated once per
+  child row gets a salt in ``[0, n)`` (``row_salt``) and each key is repeated once per
   salt with ``explode`` (no cross join), so one key spreads over ``n`` tasks.
-  The salt is a hash of the row, not ``rand()``, so a retried task
-  recomputes the same partitioning.
+  The salt is a hash of the row and its input partition, not ``rand()``,
+  so a retried task recomputes the same partitioning.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # 2M long keys build a broadcast hash relation of a few tens of MB.
 DEFAULT_MAX_BROADCAST_KEYS = 2_000_000
 _SALT = "__sparkload_salt"
 
 
+def row_salt(df: DataFrame, buckets: int) -> Column:
+    """A salt in ``[0, buckets)`` for each row: a hash of the row and of its
+    input partition.  Deterministic, so a retried task routes its rows as the
+    first attempt did; the partition id spreads identical copies of a row
+    held by different input splits over different salts (a hash of the row
+    alone would send every copy to one reducer).  Map columns, which Spark
+    cannot hash, are left out of the hash."""
+    hashable = [df[f.name] for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(buckets))
+
+
 def _join_condition(child: DataFrame, child_key: str, keys: DataFrame, key: str) -> Column:
     return child[child_key] == keys[key]
 
@@ -65,7 +77,7 @@ def semi_join(
         return child.join(F.broadcast(keys), _join_condition(child, child_key, keys, key), "left_semi")
     if not salt_buckets or salt_buckets <= 1:
         return child.join(keys, _join_condition(child, child_key, keys, key), "left_semi")
-    salted_child = child.withColumn(_SALT, F.pmod(F.xxhash64(*[child[c] for c in child.columns]), F.lit(salt_buckets)))
+    salted_child = child.withColumn(_SALT, row_salt(child, salt_buckets))
     salted_keys = keys.select(keys[key], F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias(_SALT))
     cond = (salted_child[child_key] == salted_keys[key]) & (salted_child[_SALT] == salted_keys[_SALT])
     return salted_child.join(salted_keys, cond, "left_semi").drop(_SALT)

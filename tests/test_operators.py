@@ -159,3 +159,16 @@ def test_hot_parent_key_is_split_by_aqe(spark):
         for k in tiny:
             spark.conf.unset(k)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_salt_spreads_identical_copies_and_is_repeatable(spark):
+    """A group of identical rows (a third of a table, say) held by many input
+    splits gets many salts, and computing the salts again gives the same."""
+    from sparkload.operators.semijoin import row_salt
+    copies = spark.range(0, 8000, numPartitions=8).selectExpr("7 AS parent_id", "'same' AS body")
+    salted = copies.select(row_salt(copies, 8).alias("salt"))
+    first = sorted(tuple(r) for r in salted.groupBy("salt").count().collect())
+    assert len(first) >= 4  # not one reducer for all copies
+    assert first == sorted(tuple(r) for r in salted.groupBy("salt").count().collect())
+    with_map = spark.range(3).selectExpr("id AS parent_id", "map('k', id) AS m")
+    assert with_map.select(row_salt(with_map, 4).alias("s")).count() == 3
