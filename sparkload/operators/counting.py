@@ -16,5 +16,6 @@ from pyspark.sql import functions as F
 def observe_rows(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
     """Return ``df`` with a row counter attached and its ``Observation``;
     read ``obs.get["rows"]`` after an action on the returned frame."""
-    obs = Observation(name or f"rows_{uuid.uuid4().hex[:8]}")
+    # Unique per call: jobs of one session may run at the same time.
+    obs = Observation(f"{name or 'rows'}_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -10,6 +10,7 @@ loss and is never used.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Any
 
@@ -17,17 +18,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..context import scratch_path
-from .counting import observe_rows
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write ``df`` to a fresh folder in the checkpoint dir and return the
-    re-read frame with its row count (counted while writing)."""
+def _write_once(spark: SparkSession, df: DataFrame, name: str, *metrics) -> tuple[DataFrame, dict]:
+    """Write ``df`` to a fresh folder in the checkpoint dir, observing its
+    row count and ``metrics`` on that write; return the re-read frame (with
+    the known schema: no footer inference) and the metrics."""
     path = scratch_path(spark, "materialized", name)
-    counted, obs = observe_rows(df, f"materialize_{name}")
-    counted.write.mode("errorifexists").parquet(path)
-    rows = int(obs.get.get("rows", 0))
-    return spark.read.schema(df.schema).parquet(path), rows
+    obs = Observation(f"materialize_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics).write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), obs.get
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once to the checkpoint folder and return the re-read
+    frame with its row count (counted while writing)."""
+    frame, m = _write_once(spark, df, name)
+    return frame, int(m.get("rows", 0))
 
 
 @dataclass(frozen=True)
@@ -45,9 +52,5 @@ def materialize_keys(spark: SparkSession, keys: DataFrame, key: str, name: str)
     """Write a key set once to the checkpoint folder; the row count (which
     picks the join strategy) and the key range (which prunes the child's
     scan) come from the same write."""
-    path = scratch_path(spark, "materialized", name)
-    obs = Observation(f"keys_{name}")
-    keys.observe(obs, F.count(F.lit(1)).alias("rows"), F.min(keys[key]).alias("low"),
-                 F.max(keys[key]).alias("high")).write.mode("errorifexists").parquet(path)
-    m = obs.get
-    return KeySet(spark.read.schema(keys.schema).parquet(path), int(m.get("rows", 0)), m.get("low"), m.get("high"))
+    frame, m = _write_once(spark, keys, name, F.min(keys[key]).alias("low"), F.max(keys[key]).alias("high"))
+    return KeySet(frame, int(m.get("rows", 0)), m.get("low"), m.get("high"))
