@@ -27,6 +27,9 @@ from pyspark.sql import types as T
 # 2M long keys build a broadcast hash relation of a few tens of MB.
 DEFAULT_MAX_BROADCAST_KEYS = 2_000_000
 _SALT = "__sparkload_salt"
+# Key types whose collected min/max turn back into the same literal (a
+# timestamp would pass through the driver's local zone).
+_EXACT_LITERAL_TYPES = (T.NumericType, T.StringType, T.DateType)
 
 
 def row_salt(df: DataFrame, buckets: int) -> Column:
@@ -69,7 +72,7 @@ def semi_join(
         low, high = key_range
         if low is None:
             child = child.where(F.lit(False))
-        else:
+        elif isinstance(keys.schema[key].dataType, _EXACT_LITERAL_TYPES):
             child = child.where(child[child_key].between(F.lit(low), F.lit(high)))
     keys = keys.select(keys[key])
     n = keys.count() if key_count is None else key_count
