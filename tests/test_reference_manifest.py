@@ -110,17 +110,20 @@ def run(spark, sources, specs, outdir):
     results = loader.run(specs)
     bad = [(r.table_name, r.layout, r.status, r.error) for r in results if r.status != "ok"]
     assert not bad, bad
-    run.results = {(r.schema_name, r.table_name, r.layout): r for r in results}
-    return {key: r.rows for key, r in run.results.items()}
+    return {(r.schema_name, r.table_name, r.layout): r for r in results}
+
+
+def row_counts(results):
+    return {key: r.rows for key, r in results.items()}
 
 
 def test_full_load_manifest_runs(spark, sources, outdir):
-    rows = run(spark, sources, mf.full_load_manifest(), outdir)
+    rows = row_counts(run(spark, sources, mf.full_load_manifest(), outdir))
     assert len(rows) == 135 and set(rows.values()) == {ROWS}
 
 
 def test_insert_update_manifest_runs(spark, sources, outdir):
-    rows = run(spark, sources, mf.insert_update_manifest(), outdir)
+    rows = row_counts(run(spark, sources, mf.insert_update_manifest(), outdir))
     assert len(rows) == 11
     assert rows[("smc", "note", "insert")] == ROWS and rows[("smc", "note", "distinct")] == ROWS
     assert rows[("smc", "ticket", "update")] == ROWS
@@ -129,17 +132,18 @@ def test_insert_update_manifest_runs(spark, sources, outdir):
 
 
 def test_incremental_manifest_runs(spark, sources, outdir):
-    rows = run(spark, sources, mf.incremental_manifest(), outdir)
+    rows = row_counts(run(spark, sources, mf.incremental_manifest(), outdir))
     assert len(rows) == 12 and set(rows.values()) == {ROWS}
 
 
 def test_records_manifest_runs(spark, sources, outdir):
-    rows = run(spark, sources, mf.records_manifest(), outdir)
+    results = run(spark, sources, mf.records_manifest(), outdir)
+    rows = row_counts(results)
     assert len(rows) == 6
     assert rows[("crm", "Opportunity", "records")] == 1  # 1 Jan of year-3 onwards
     assert rows[("crm", "RelatedPartner", "records")] == 2
     from sparkload.sinks import read_csv
-    user = run.results[("crm", "User", "records")]
+    user = results[("crm", "User", "records")]
     fields = [f for o, _, fs, _ in mf.CRM_OBJECTS if o == "User" for f in mf.names(fs)]
     back = read_csv(spark, user.path, ", ".join(f"`{f}` string" for f in fields))
     assert back.where("NAME IS NULL OR ContactID IS NULL OR AccountID IS NULL").count() == 0
@@ -165,7 +169,7 @@ def test_incremental_manifest_against_an_upper_case_jdbc_warehouse(spark, source
     monkeypatch.setattr(jdbc, "query_one_row", warehouse)
     sources = SourceRegistry([*(sources.get(n) for n in sources.names() if n != "warehouse"),
                               SourceConfig("warehouse", "jdbc", options={"url": "jdbc:stand-in"})])
-    rows = run(spark, sources, mf.incremental_manifest(), outdir)
+    rows = row_counts(run(spark, sources, mf.incremental_manifest(), outdir))
     assert len(rows) == 12 and set(rows.values()) == {ROWS}
     assert any("upper(table_schema) = 'SMC'" in q for q in sent)
     assert any("max(`created_at`)" in q and "from `ASSET`" in q for q in sent)
