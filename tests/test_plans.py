@@ -65,3 +65,28 @@ def test_watermark_is_partial_then_final_max(spark):
 @pytest.mark.parametrize("name", sorted(n for n in Q if not n.startswith(("job_", "load_", "catalog_"))))
 def test_no_python_in_plans(spark, name):
     assert python_nodes(Q[name](spark, SF_SMALL)) == []
+
+
+# Shuffle budget of each query: scans, windows and clean-up need none; a
+# distinct or a global max needs one; cascades broadcast the key set and
+# shuffle only for their distinct.  A change that adds an exchange fails here.
+SHUFFLES = {
+    "snapshot_full": 0, "project_columns": 0, "derived_column": 0, "mtd_created": 0, "mtd_poll": 0,
+    "mtd_epoch": 0, "rolling_update_fixed": 0, "rolling_update_months": 0, "last_n_years": 0,
+    "sanitize_text": 0, "catalog_allowlist": 0, "catalog_lower": 0, "records_scan": 0, "csv_roundtrip": 0,
+    "incr_delta_floor": 0, "semi_static": 0,
+    "distinct_keys": 1, "distinct_rows": 1, "watermark": 1, "incr_delta": 1,
+    "cascade_delta": 1, "cascade_delta_own": 1, "cascade_delta_floor": 1,
+}
+BROADCASTS = {"semi_static", "cascade_delta", "cascade_delta_own", "cascade_delta_floor"}
+
+
+def test_every_query_has_a_shuffle_budget():
+    assert set(SHUFFLES) == {n for n in Q if not n.startswith(("job_", "load_"))}
+
+
+@pytest.mark.parametrize("name", sorted(SHUFFLES))
+def test_shuffle_budget(spark, name):
+    df = Q[name](spark, SF_SMALL)
+    assert exchanges(df) == SHUFFLES[name]
+    assert ("BroadcastExchange" in plan_text(df, "simple")) == (name in BROADCASTS)
