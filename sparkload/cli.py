@@ -45,6 +45,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--parallel", type=int, default=4, help="extracts submitted at once")
     run.add_argument("--salt-buckets", type=int, default=None, help="explicit salting of large cascades")
     run.add_argument("--records-layout", choices=("lines", "pages"), default="lines")
+    run.add_argument("--stage-overwrites", action="store_true",
+                     help="stage dated files in the checkpoint folder before overwriting them")
     run.add_argument("--report", help="write the report as parquet here")
     run.add_argument("--master", default=None)
     sub.add_parser("manifest", help="print the reference manifest as JSON lines")
@@ -70,7 +72,8 @@ def main(argv: list[str] | None = None) -> int:
         specs = [s for s in specs if s.table in wanted or s.name in wanted]
     ctx = RunContext(as_of=as_of, time_zone=args.time_zone, output_root=args.output_root)
     loader = Loader(spark, ctx, registry_from_json(args.sources), output_format=args.format,
-                    max_parallel=args.parallel, salt_buckets=args.salt_buckets, records_layout=args.records_layout)
+                    max_parallel=args.parallel, salt_buckets=args.salt_buckets, records_layout=args.records_layout,
+                    stage_overwrites=args.stage_overwrites)
     results = loader.run(specs)
     for r in results:
         print(json.dumps(r.__dict__, default=str))

@@ -65,6 +65,7 @@ class Loader:
         salt_buckets: int | None = None,
         records_layout: str = "lines",
         set_session_zone: bool = True,
+        stage_overwrites: bool = False,
     ):
         self.spark = spark
         self.ctx = ctx
@@ -74,6 +75,10 @@ class Loader:
         self.max_broadcast_keys = max_broadcast_keys
         self.salt_buckets = salt_buckets
         self.records_layout = records_layout
+        # Dated files are overwritten only after the extract is staged in the
+        # checkpoint folder: twice the writes, but a failed source read keeps
+        # the day's previous file.
+        self.stage_overwrites = stage_overwrites
         if set_session_zone:
             # Marks of ``timestamp`` targets are read as wall clock in this zone.
             spark.conf.set("spark.sql.session.timeZone", ctx.time_zone)
@@ -134,12 +139,15 @@ class Loader:
         path = self.path(spec)
         mode = write_mode(spec.layout)
         known_rows = None
-        if spec.single_file and self.output_format != "parquet":
-            # The size check needs a count before the write; counting the
-            # source and then writing it would read it twice (and a live
-            # source may change in between).  Read it once into the shared
-            # checkpoint folder, counting on the way, and write from there.
-            df, known_rows = op.materialize(self.spark, df, f"single_{spec.name}")
+        single = spec.single_file and self.output_format != "parquet"
+        if single or (self.stage_overwrites and mode == "overwrite"):
+            # Read the source once into the shared checkpoint folder,
+            # counting on the way, and write the file from there.  A single
+            # file's size check needs the count first (counting, then
+            # writing, would read a possibly changing source twice); an
+            # overwrite, which removes the day's previous file when it
+            # starts, then starts only after the source was read in full.
+            df, known_rows = op.materialize(self.spark, df, f"staged_{spec.name}")
         counted, obs = op.observe_rows(df, f"rows_{spec.name}_{spec.layout.value}")
         if self.output_format == "parquet":
             csv_sink.write_parquet(counted, path, mode)
