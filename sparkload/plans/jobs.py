@@ -112,21 +112,37 @@ class Loader:
                 parent = parent.where(window_predicate(spec.parent_window, parent, self.ctx))
             pkeys = op.materialize_keys(self.spark, op.distinct_keys(parent, spec.key), spec.key,
                                         f"keys_{spec.parent}")
-            df = self._cascade(spec, df, pkeys, None)
+            df = self._distinct(spec, self._cascade(spec, df, pkeys, None))
         elif x is Extract.INCREMENT:
-            df = op.delta(df, marks, self.ctx, spec.created, spec.updated, spec.update_floor, spec.distinct)
+            df = self._distinct(spec, op.delta(df, marks, self.ctx, spec.created, spec.updated, spec.update_floor,
+                                               distinct=False))
         elif x is Extract.CASCADE:
             own = fn.watermark_delta(df, marks, self.ctx, spec.created, spec.updated) if spec.own_delta else None
-            df = self._cascade(spec, df, keys, own)
+            df = self._distinct(spec, self._cascade(spec, df, keys, own))
         if spec.columns is not None and x is not Extract.RECORDS:
             df = op.select_columns(df, spec.columns)
         if spec.derived and not spec.derived_in_source:
             df = op.with_derived(df, dict(spec.derived))
         return fn.sanitize(df) if spec.sanitize and clean else df
 
+    def _distinct(self, spec: TableSpec, df: DataFrame) -> DataFrame:
+        """A1 ``select distinct`` over the extract's columns (projected
+        first), unless a unique key is among them: then every row is
+        already distinct and the shuffle would remove nothing.  The key is
+        declared (``unique_key``) or the JDBC source's primary key."""
+        if not spec.distinct:
+            return df
+        if spec.columns is not None:
+            df = op.select_columns(df, spec.columns)
+        key = spec.unique_key or self.sources.unique_key(self.spark, spec.source, spec.schema, spec.table)
+        present = {c.lower() for c in df.columns}
+        if key and all(k.lower() in present for k in key):
+            return df
+        return op.distinct_rows(df)
+
     def _cascade(self, spec: TableSpec, child: DataFrame, keys: op.KeySet, own: Column | None) -> DataFrame:
         return op.cascade(child, keys, spec.child_key, spec.key, own_delta=own,
-                          distinct=spec.distinct, max_broadcast_keys=self.max_broadcast_keys,
+                          distinct=False, max_broadcast_keys=self.max_broadcast_keys,
                           salt_buckets=self.salt_buckets)
 
     # -- writing -----------------------------------------------------------

@@ -118,6 +118,19 @@ def quantile_predicates(spark: SparkSession, base: Mapping[str, str], table_sql:
     return range_predicates(partitioning.column, firsts[1:], quote)
 
 
+def primary_key_query(schema: str, table: str) -> str:
+    """Columns of a table's primary key, with their position (standard
+    ``information_schema``; the result has one row per key column)."""
+    def text(v: str) -> str:
+        return "'" + v.replace("'", "''") + "'"
+    return ("select k.column_name as column_name, k.ordinal_position as ordinal_position "
+            "from information_schema.table_constraints c join information_schema.key_column_usage k "
+            "on k.constraint_name = c.constraint_name and k.table_schema = c.table_schema "
+            "and k.table_name = c.table_name "
+            f"where c.constraint_type = 'PRIMARY KEY' and c.table_schema = {text(schema)} "
+            f"and c.table_name = {text(table)}")
+
+
 def marks_query(table_sql: str, created: str, updated: str, quote: str = "`") -> str:
     """The watermark computed in the source; one row comes back."""
     return (f"select max({quote_ident(created, quote)}) as max_created_at, "

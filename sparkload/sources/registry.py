@@ -128,6 +128,16 @@ class SourceRegistry:
         found = [(cfg.root, n) for n, ok in zip(names, flags) if ok]
         return local_frame(spark, found, "table_schema string, table_name string")
 
+    def unique_key(self, spark: SparkSession, source: str, schema: str, table: str) -> tuple[str, ...] | None:
+        """The columns of ``table``'s primary key where the source enforces
+        one (JDBC), else ``None``.  One small catalog query; the result has a
+        row per key column."""
+        cfg = self.get(source)
+        if cfg.format != "jdbc":
+            return None
+        rows = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table)).collect()
+        return tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
+
     def marks(self, spark: SparkSession, source: str, table: str,
               created: str = "created_at", updated: str = "updated_at") -> Marks:
         """High-water marks of a target table.  On JDBC the source

@@ -205,3 +205,45 @@ def test_sessions_without_a_spark_context(spark):
     loader = Loader.__new__(Loader)
     loader.spark = Remote({})
     loader._describe(TableSpec("full", "tpch", "tpch", "nation", Extract.SNAPSHOT, Layout.SNAPSHOT))
+
+
+def test_distinct_is_skipped_under_a_unique_key(spark):
+    """``select distinct *`` removes nothing when a unique key is among the
+    columns, so its shuffle is left out; the rows are the same."""
+    from sparkload.functions import Marks
+    from sparkload.plans.explain import exchanges
+    register_standins(spark, SF_SMALL)
+    sources = SourceRegistry([SourceConfig("lake", "table", prefix="src_"),
+                              SourceConfig("warehouse", "table", prefix="wh_")])
+    loader = Loader(spark, RunContext(as_of=AS_OF), sources)
+    parent = job_incremental_specs()[0]
+    marks = Marks(D(2001, 5, 1), D(2001, 5, 1))
+    plain = loader.frame(parent, marks=marks)
+    keyed = loader.frame(parent.but(unique_key=("o_orderkey",)), marks=marks)
+    assert exchanges(plain) == 1 and exchanges(keyed) == 0
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, keyed.collect()))
+    # a column list with distinct means select distinct <columns>
+    cols = loader.frame(parent.but(columns=("o_orderstatus",)), marks=marks)
+    assert sorted(r[0] for r in cols.collect()) == sorted(set(r[0] for r in cols.collect()))
+    # a key left out by the column list cannot vouch for the rows
+    assert exchanges(loader.frame(parent.but(columns=("o_orderstatus",), unique_key=("o_orderkey",)),
+                                  marks=marks)) == 1
+
+
+def test_primary_key_of_a_jdbc_source(spark, monkeypatch):
+    """Spark SQL stands in for the source's information_schema."""
+    from sparkload.sources import jdbc
+    spark.sql("SELECT * FROM VALUES ('PRIMARY', 'smc', 'asset', 'PRIMARY KEY'), "
+              "('fk_1', 'smc', 'change_asset', 'FOREIGN KEY') AS t(constraint_name, table_schema, table_name, "
+              "constraint_type)").createOrReplaceTempView("pk_constraints")
+    spark.sql("SELECT * FROM VALUES ('PRIMARY', 'smc', 'asset', 'id', 1), "
+              "('fk_1', 'smc', 'change_asset', 'change_id', 1) AS t(constraint_name, table_schema, table_name, "
+              "column_name, ordinal_position)").createOrReplaceTempView("pk_usage")
+    monkeypatch.setattr(jdbc, "query_one_row", lambda s, base, sql: s.sql(
+        sql.replace("information_schema.table_constraints", "pk_constraints")
+           .replace("information_schema.key_column_usage", "pk_usage")))
+    reg = SourceRegistry([SourceConfig("smc", "jdbc", options={"url": "jdbc:mysql://db/smc"}),
+                          SourceConfig("lake", "table")])
+    assert reg.unique_key(spark, "smc", "smc", "asset") == ("id",)
+    assert reg.unique_key(spark, "smc", "smc", "change_asset") is None
+    assert reg.unique_key(spark, "lake", "smc", "asset") is None
