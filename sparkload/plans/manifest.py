@@ -60,6 +60,7 @@ class TableSpec:
     own_delta: bool = False                      # J3
     distinct: bool = False                       # A1
     unique_key: tuple[str, ...] | None = None    # columns known unique: A1 is then a no-op
+    consistent_read: bool = False                # jdbc: one connection, one snapshot (no parallel ranges)
     sanitize: bool = True                        # X1/X2 reach the file
     created: str = "created_at"
     updated: str = "updated_at"

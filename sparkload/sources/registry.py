@@ -66,13 +66,16 @@ class SourceRegistry:
         source: str,
         table: str,
         derived: Mapping[str, str] | None = None,
+        partitioned: bool = True,
     ) -> DataFrame:
         """A lazy scan of ``table``; ``derived`` (JDBC only) evaluates
-        source-side expressions inside the source query."""
+        source-side expressions inside the source query.  ``partitioned=False``
+        reads a JDBC table through one connection: one snapshot, as a single
+        ``SELECT`` sees, where parallel range reads each see their own."""
         cfg = self.get(source)
         if cfg.format == "jdbc":
-            own = cfg.partitioning.get(table)
-            plan = own or cfg.default_partitioning
+            own = cfg.partitioning.get(table) if partitioned else None
+            plan = own or (cfg.default_partitioning if partitioned else None)
             return jdbc.read_table(spark, cfg.options, table, plan, derived, cfg.quote,
                                    check_column=own is None and plan is not None)
         if derived:

@@ -204,6 +204,8 @@ def test_jdbc_default_partitioning_applies_where_the_key_exists(monkeypatch):
     reg.read(None, "smc", "note")
     assert calls == [("ticket", JdbcPartitioning("id", 64, balance="quantiles"), False),
                      ("note", default, True)]
+    reg.read(None, "smc", "ticket", partitioned=False)  # one connection, one snapshot
+    assert calls[-1] == ("ticket", None, False)
     bare = SourceRegistry([SourceConfig("x", "jdbc", options={"url": "u"})])
     bare.read(None, "x", "note")
     assert calls[-1] == ("note", None, False)
