@@ -6,6 +6,8 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparkload import functions as fn
 from sparkload.context import RunContext
 from sparkload.functions.windows import Marks
@@ -162,3 +164,70 @@ def test_epoch_of_ntz_ignores_session_zone(spark):
             assert got == want, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+# --------------------------------------------------------------------------
+# Property: the Spark predicates select exactly what the MySQL expressions
+# select, for random run instants, on candidates at and next to each bound.
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+US = dt.timedelta(microseconds=1)
+
+
+def months_back(t: dt.datetime, n: int) -> dt.datetime:
+    """``t - INTERVAL n MONTH`` stepping one month at a time, clamping the
+    day to the month's length (MySQL's rule), written apart from the builder."""
+    year, month = t.year, t.month
+    for _ in range(n):
+        year, month = (year - 1, 12) if month == 1 else (year, month - 1)
+    last = (dt.date(year + (month == 12), month % 12 + 1, 1) - dt.timedelta(days=1)).day
+    return t.replace(year=year, month=month, day=min(t.day, last))
+
+
+def oracle(as_of: dt.datetime, created: dt.datetime, updated: dt.datetime | None) -> dict[str, bool]:
+    """The reference's predicates, evaluated in Python."""
+    today = as_of.date()
+    # date_sub(current_date, interval day(current_date) day): the day before the 1st
+    month_low = dt.datetime.combine(today.replace(day=1) - dt.timedelta(days=1), dt.time())
+    cut5 = dt.datetime.combine(today, dt.time(5))
+    upd = updated is not None and as_of - dt.timedelta(days=3) <= updated <= cut5
+    return {
+        "mtd": month_low <= created <= cut5,
+        "poll": month_low <= created <= dt.datetime.combine(today, dt.time(4, 40)),
+        "fixed": upd and created >= D(2021, 1, 1),
+        "months": upd and created >= months_back(as_of, 7),
+        "years": created >= D(today.year - 3, 1, 1),
+    }
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.datetimes(min_value=D(2001, 1, 1), max_value=D(2035, 12, 31)),
+       st.sampled_from(["month_end", "leap", "any"]))
+def test_windows_match_the_reference_expressions(spark, as_of, kind):
+    if kind == "month_end":
+        nxt = as_of.replace(day=1) + dt.timedelta(days=32)
+        as_of = dt.datetime.combine(nxt.replace(day=1) - dt.timedelta(days=1), as_of.time())
+    elif kind == "leap":
+        as_of = as_of.replace(year=2024, month=2, day=29) if as_of.month != 2 else as_of.replace(year=2028, day=29)
+    c = ctx(as_of)
+    today = as_of.date()
+    bounds = [dt.datetime.combine(today.replace(day=1) - dt.timedelta(days=1), dt.time()),
+              dt.datetime.combine(today, dt.time(5)), dt.datetime.combine(today, dt.time(4, 40)),
+              as_of - dt.timedelta(days=3), months_back(as_of, 7), D(2021, 1, 1), D(today.year - 3, 1, 1)]
+    points = sorted({b + d for b in bounds for d in (-US, dt.timedelta(0), US)})
+    rows = [(i, cr, up) for i, (cr, up) in enumerate((p, q) for p in points for q in (p, None, bounds[3]))]
+    df = frame(spark, rows, "id int, created_at timestamp_ntz, updated_at timestamp_ntz")
+    preds = {
+        "mtd": fn.month_to_date(df, "created_at", c),
+        "poll": fn.month_to_date(df, "created_at", c, cutoff=fn.POLL_CUTOFF),
+        "fixed": fn.rolling_update(df, "updated_at", "created_at", c),
+        "months": fn.rolling_update(df, "updated_at", "created_at", c, floor=None, floor_months=7),
+        "years": fn.last_n_years(df, "created_at", c),
+    }
+    got = df.select("id", *[F.coalesce(p, F.lit(False)).alias(k) for k, p in preds.items()]).collect()
+    for r in got:
+        _, created, updated = rows[r["id"]]
+        want = oracle(as_of, created, updated)
+        assert {k: r[k] for k in preds} == want, (as_of, created, updated)
