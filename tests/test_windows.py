@@ -170,9 +170,6 @@ def test_epoch_of_ntz_ignores_session_zone(spark):
 # Property: the Spark predicates select exactly what the MySQL expressions
 # select, for random run instants, on candidates at and next to each bound.
 
-from hypothesis import given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
 US = dt.timedelta(microseconds=1)
 
 
