@@ -134,11 +134,16 @@ class SourceRegistry:
     def unique_key(self, spark: SparkSession, source: str, schema: str, table: str) -> tuple[str, ...] | None:
         """The columns of ``table``'s primary key where the source enforces
         one (JDBC), else ``None``.  One small catalog query; the result has a
-        row per key column."""
+        row per key column.  A catalog that cannot be asked (permissions, a
+        dialect without these views) also gives ``None``: the key only ever
+        saves a shuffle, it never decides rows."""
         cfg = self.get(source)
         if cfg.format != "jdbc":
             return None
-        rows = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table)).collect()
+        try:
+            rows = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table)).collect()
+        except Exception:
+            return None
         return tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
 
     def marks(self, spark: SparkSession, source: str, table: str,

@@ -247,3 +247,8 @@ def test_primary_key_of_a_jdbc_source(spark, monkeypatch):
     assert reg.unique_key(spark, "smc", "smc", "asset") == ("id",)
     assert reg.unique_key(spark, "smc", "smc", "change_asset") is None
     assert reg.unique_key(spark, "lake", "smc", "asset") is None
+
+    def no_catalog(s, base, sql):
+        raise RuntimeError("permission denied on information_schema")
+    monkeypatch.setattr(jdbc, "query_one_row", no_catalog)
+    assert reg.unique_key(spark, "smc", "smc", "asset") is None  # keep the distinct, do not fail
