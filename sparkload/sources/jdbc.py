@@ -246,14 +246,20 @@ def read_table(
         if not partitionable(partitioning, plain.schema):
             return plain
     if partitioning is not None and partitioning.balance == "quantiles":
-        # Tiles come from the base table, like the stride bounds below.
-        preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)
-        if len(preds) > 1:
+        # Tiles come from the base table, like the stride bounds below.  A
+        # source without window functions (before MySQL 8) falls back to
+        # equal strides.
+        try:
+            preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)
+        except Exception:
+            preds = None
+        if preds is not None and len(preds) > 1:
             props = {**source_defaults(base), "fetchsize": str(partitioning.fetch_size)}
             url = props.pop("url")
             props.pop("dbtable", None)
             return spark.read.jdbc(url, dbtable, predicates=preds, properties=props)
-        partitioning = None
+        if preds is not None:  # an empty table or a single key value
+            partitioning = None
     bounds = None
     if partitioning is not None and (partitioning.lower is None or partitioning.upper is None):
         # Bounds come from the base table: the derived subquery would run the

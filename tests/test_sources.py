@@ -242,3 +242,26 @@ def test_records_fields_match_api_spelling_and_types(spark, outdir):
         f.write('{"Id": "3", "Name": \n')
     with pytest.raises(Exception):
         read_records(spark, folder, string_fields(fields), fields).collect()
+
+
+def test_quantiles_fall_back_to_strides_without_window_functions(spark, monkeypatch):
+    import pytest
+
+    class Stop(Exception):
+        pass
+
+    def no_ntile(*args, **kwargs):
+        raise RuntimeError("FUNCTION ntile does not exist")
+
+    seen = {}
+
+    def capture(base, dbtable, partitioning=None, bounds=None):
+        seen.update(partitioning=partitioning, bounds=bounds)
+        raise Stop  # stop before the read, which needs a database
+
+    monkeypatch.setattr(jdbc, "quantile_predicates", no_ntile)
+    monkeypatch.setattr(jdbc, "query_one_row", lambda s, base, sql: s.sql("SELECT 1L AS lo, 1000L AS hi"))
+    monkeypatch.setattr(jdbc, "reader_options", capture)
+    with pytest.raises(Stop):
+        jdbc.read_table(spark, {"url": "jdbc:mysql://db/smc"}, "ticket", JdbcPartitioning("id", 8, balance="quantiles"))
+    assert seen["partitioning"].column == "id" and seen["bounds"] == (1, 1000)
