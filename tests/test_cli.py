@@ -40,3 +40,32 @@ def test_manifest_listing(capsys):
     rows = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     assert len(rows) == 164
     assert sum(r["job"] == "full" for r in rows) == 135
+
+
+def test_run_options_reach_the_loader(monkeypatch, outdir):
+    """Flags of ``run`` become Loader settings (the run itself is stubbed)."""
+    from sparkload.plans import jobs
+    seen = {}
+
+    class FakeLoader:
+        def __init__(self, spark, ctx, sources, **kw):
+            seen.update(kw, as_of=ctx.as_of, zone=ctx.time_zone)
+
+        def run(self, specs):
+            seen["tables"] = sorted({s.table for s in specs})
+            return []
+
+    monkeypatch.setattr(cli, "Loader", FakeLoader)
+    monkeypatch.setattr(cli, "build_session", lambda *a, **k: None)
+    monkeypatch.setattr(cli, "apply_scale_conf", lambda *a, **k: None)
+    sources = os.path.join(outdir, "sources.json")
+    with open(sources, "w") as f:
+        json.dump({"smc": {"format": "parquet", "root": SF_SMALL}}, f)
+    code = cli.main(["run", "--job", "incremental", "--sources", sources, "--output-root", outdir,
+                     "--as-of", "2024-03-15T06:00:00", "--time-zone", "Europe/Berlin", "--tables", "asset,asset_ip_info",
+                     "--format", "parquet", "--parallel", "6", "--salt-buckets", "16", "--records-layout", "pages",
+                     "--stage-overwrites"])
+    assert code == 0 and jobs.Loader is not FakeLoader
+    assert seen["output_format"] == "parquet" and seen["max_parallel"] == 6 and seen["salt_buckets"] == 16
+    assert seen["records_layout"] == "pages" and seen["stage_overwrites"] is True
+    assert seen["zone"] == "Europe/Berlin" and seen["tables"] == ["asset", "asset_ip_info"]
