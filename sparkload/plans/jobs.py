@@ -297,9 +297,10 @@ class Loader:
                 kids = by_parent.get(s.name, []) if s.extract is Extract.INCREMENT else []
                 return i, [self._result(s, MISSING)] + [self._result(c, SKIPPED, error=f"parent {s.name} missing")
                                                         for c in kids]
-            if kind == "family":
-                return i, self.run_family(s, by_parent.get(s.name, []), present)
-            return i, [self.run_one(s)]
+            with self.sources.gate(s.source):  # the source's cap on concurrent extracts
+                if kind == "family":
+                    return i, self.run_family(s, by_parent.get(s.name, []), present)
+                return i, [self.run_one(s)]
 
         with ThreadPoolExecutor(self.max_parallel) as pool:
             for i, res in pool.map(work, enumerate(units)):

@@ -5,13 +5,16 @@
               "options": {"url": "jdbc:mysql://host/smc", "user": "etl", "password": "${SMC_PASSWORD}",
                           "driver": "com.mysql.cj.jdbc.Driver"},
               "partitioning": {"ticket": {"column": "id", "num_partitions": 64, "balance": "quantiles"}},
-              "default_partitioning": {"column": "id", "num_partitions": 16}},
+              "default_partitioning": {"column": "id", "num_partitions": 16},
+              "max_parallel_reads": 2},
       "warehouse": {"format": "jdbc", "quote": "",
                     "options": {"url": "${WAREHOUSE_JDBC_URL}", "user": "etl",
                                 "password": "${WAREHOUSE_PASSWORD}"}},
       "crm": {"format": "records", "root": "s3a://landing/crm", "path_template": "{root}/{table}"}
     }
 
+``max_parallel_reads`` caps the extracts reading a source at once (its
+connections are at most that times ``num_partitions``).
 ``default_partitioning`` applies to every table without its own entry that
 has the key column with an integral type; other tables are read whole.
 ``"quote": ""`` sends bare identifiers (``max(created_at) ... from ASSET``),
@@ -51,7 +54,7 @@ def registry_from_dict(doc: Mapping[str, Mapping]) -> SourceRegistry:
         parts = {t: JdbcPartitioning(**p) for t, p in body.get("partitioning", {}).items()}
         default = body.get("default_partitioning")
         options = {k: _expand(str(v)) for k, v in body.get("options", {}).items()}
-        kwargs = {k: body[k] for k in ("root", "path_template", "prefix", "quote") if k in body}
+        kwargs = {k: body[k] for k in ("root", "path_template", "prefix", "quote", "max_parallel_reads") if k in body}
         configs.append(SourceConfig(name=name, format=body["format"], options=options, partitioning=parts,
                                     default_partitioning=JdbcPartitioning(**default) if default else None, **kwargs))
     return SourceRegistry(configs)

@@ -9,6 +9,8 @@ the caller; nothing secret lives in code.
 
 from __future__ import annotations
 
+import contextlib
+import threading
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -38,16 +40,30 @@ class SourceConfig:
     # whole.  Without it such tables are read by one task.
     default_partitioning: jdbc.JdbcPartitioning | None = None
     quote: str = "`"
+    # Extracts reading this source at once (None: no cap).  With JDBC a read
+    # opens one connection per partition, so this times ``num_partitions``
+    # bounds the connections an operational database sees.
+    max_parallel_reads: int | None = None
 
 
 class SourceRegistry:
     def __init__(self, configs: Iterable[SourceConfig] = ()):
-        self._configs = {c.name: c for c in configs}
+        self._configs: dict[str, SourceConfig] = {}
+        self._gates: dict[str, threading.BoundedSemaphore] = {}
+        for c in configs:
+            self.add(c)
 
     def add(self, config: SourceConfig) -> "SourceRegistry":
         self._configs[config.name] = config
+        if config.max_parallel_reads:
+            self._gates[config.name] = threading.BoundedSemaphore(config.max_parallel_reads)
         return self
 
+    def gate(self, source: str):
+        """Held by an extract while it reads ``source``: a semaphore of
+        ``max_parallel_reads`` slots, or nothing when uncapped."""
+        return self._gates.get(source) or contextlib.nullcontext()
+
     def get(self, name: str) -> SourceConfig:
         if name not in self._configs:
             raise KeyError(f"unknown source {name!r}; known: {sorted(self._configs)}")

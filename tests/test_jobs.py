@@ -252,3 +252,35 @@ def test_primary_key_of_a_jdbc_source(spark, monkeypatch):
         raise RuntimeError("permission denied on information_schema")
     monkeypatch.setattr(jdbc, "query_one_row", no_catalog)
     assert reg.unique_key(spark, "smc", "smc", "asset") is None  # keep the distinct, do not fail
+
+
+def test_source_cap_bounds_concurrent_extracts(spark, outdir, monkeypatch):
+    """``max_parallel_reads`` bounds how many extracts read one source at
+    once, whatever the loader's own parallelism."""
+    import threading
+    import time as _time
+    running, peak, lock = [0], [0], threading.Lock()
+    write = Loader.write
+
+    def tracked(self, spec, df):
+        with lock:
+            running[0] += 1
+            peak[0] = max(peak[0], running[0])
+        try:
+            _time.sleep(0.3)
+            return write(self, spec, df)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(Loader, "write", tracked)
+    specs = [TableSpec("full", "tpch", "tpch", t, Extract.SNAPSHOT, Layout.SNAPSHOT)
+             for t in ("region", "nation", "supplier", "part")]
+    ctx = RunContext(as_of=AS_OF, output_root=outdir)
+    capped = SourceRegistry([SourceConfig("tpch", "parquet", root=SF_SMALL, max_parallel_reads=1)])
+    assert [r.status for r in Loader(spark, ctx, capped, max_parallel=4).run(specs)] == ["ok"] * 4
+    assert peak[0] == 1
+    peak[0] = 0
+    free = SourceRegistry([SourceConfig("tpch", "parquet", root=SF_SMALL)])
+    Loader(spark, RunContext(as_of=AS_OF, output_root=outdir + "/free"), free, max_parallel=4).run(specs)
+    assert peak[0] > 1

@@ -196,7 +196,8 @@ def test_jdbc_default_partitioning_applies_where_the_key_exists(monkeypatch):
     reg = registry_from_dict({"smc": {
         "format": "jdbc", "options": {"url": "jdbc:mysql://db/smc"},
         "partitioning": {"ticket": {"column": "id", "num_partitions": 64, "balance": "quantiles"}},
-        "default_partitioning": {"column": "id", "num_partitions": 16}}})
+        "default_partitioning": {"column": "id", "num_partitions": 16}, "max_parallel_reads": 2}})
+    assert reg.get("smc").max_parallel_reads == 2 and reg.gate("smc") is not None
     calls = []
     monkeypatch.setattr(jdbc, "read_table", lambda spark, base, table, plan, derived, quote, check_column=False:
                         calls.append((table, plan, check_column)))
