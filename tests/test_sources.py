@@ -184,7 +184,7 @@ def test_tile_ranges_cover_every_row_once_and_stay_even(keys, nulls, tiles):
     assert len(preds) <= tiles
 
 
-def test_jdbc_default_partitioning_applies_where_the_key_exists(monkeypatch):
+def test_jdbc_default_partitioning_applies_where_the_key_exists(spark, monkeypatch):
     from pyspark.sql import types as T
 
     from sparkload.sources.config import registry_from_dict
