@@ -51,7 +51,18 @@ def window_predicate(w: Window, df: DataFrame, ctx: RunContext) -> Column:
 
 
 class Loader:
-    """Runs manifests against a ``SourceRegistry`` for one ``RunContext``."""
+    """Runs manifests against a ``SourceRegistry`` for one ``RunContext``.
+
+    Options: ``output_format`` ``"csv"`` (the reference's files) or
+    ``"parquet"``; ``max_parallel`` extracts submitted at once (each source
+    may cap its own share, ``SourceConfig.max_parallel_reads``);
+    ``max_broadcast_keys`` the largest counted key set a cascade broadcasts;
+    ``salt_buckets`` explicit salting of cascades above that bound (else AQE
+    splits hot keys); ``records_layout`` ``"lines"`` or ``"pages"`` for
+    landed CRM records; ``set_session_zone`` pins the session time zone to
+    the run's; ``stage_overwrites`` stages dated files in the checkpoint
+    folder before overwriting them.
+    """
 
     def __init__(
         self,
