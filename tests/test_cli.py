@@ -69,3 +69,17 @@ def test_run_options_reach_the_loader(monkeypatch, outdir):
     assert seen["output_format"] == "parquet" and seen["max_parallel"] == 6 and seen["salt_buckets"] == 16
     assert seen["records_layout"] == "pages" and seen["stage_overwrites"] is True
     assert seen["zone"] == "Europe/Berlin" and seen["tables"] == ["asset", "asset_ip_info"]
+
+
+def test_explain_prints_plans_without_running(spark, outdir, capsys):
+    sources = os.path.join(outdir, "sources.json")
+    with open(sources, "w") as f:
+        json.dump({"smc": {"format": "parquet", "root": SF_SMALL}}, f)
+    code = cli.main(["explain", "--job", "full", "--sources", sources, "--as-of", "2024-03-15T06:00:00",
+                     "--tables", "customer,ticket_asset,tag"])
+    out = capsys.readouterr().out
+    assert code == 0
+    assert "== full smc.customer (snapshot, snapshot)" in out and "Scan parquet" in out
+    assert "== full smc.ticket_asset (semi_static, snapshot)\n   planned at run time" in out
+    assert "== full smc.tag" in out and "cannot plan" in out  # not in the folder
+    assert sorted(os.listdir(outdir)) == ["sources.json"]  # nothing written beside the config
