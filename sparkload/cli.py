@@ -11,8 +11,8 @@ time-of-day gates) belongs to the scheduler that calls this command.
 
 ``python -m sparkload explain --job ... --sources ...`` prints each
 extract's formatted physical plan (push-down, pruning, exchanges) without
-running it: only metadata is read (schemas, and one landed record's keys
-for CRM objects), nothing is written.
+running it: it reads schemas, the partition bounds of partitioned JDBC
+tables and one landed record's keys for CRM objects, and writes nothing.
 """
 
 from __future__ import annotations
@@ -71,8 +71,9 @@ RUN_TIME_PLANS = {"increment": "needs the warehouse's marks", "cascade": "needs
 
 
 def explain(loader: Loader, specs: list, out=None) -> None:
-    """The formatted physical plan of each extract, built lazily: only
-    metadata is read, nothing is written."""
+    """The formatted physical plan of each extract, built lazily: schemas,
+    JDBC partition bounds and one CRM record's keys are read, nothing is
+    written."""
     from .plans.explain import plan_text
     out = out or sys.stdout
     for spec in specs:
