@@ -273,12 +273,16 @@ class Loader:
                 groups[(s.target_source, s.schema, True)].append(_catalog_name(s))
             else:
                 groups[(s.source, s.schema, self.sources.folds_case(self.spark, s.source))].append(s.table)
-        found: set[str] = set()
-        for (source, schema, fold), wanted in groups.items():
+
+        def lookup(group) -> set[str]:
+            (source, schema, fold), wanted = group
             wanted = list(dict.fromkeys(wanted))
             cat = self.sources.catalog(self.spark, source, schema, wanted, fold_case=fold)
-            found |= set(existing_tables(self.spark, cat, wanted, None, fold_case=fold))
-        return found
+            return set(existing_tables(self.spark, cat, wanted, None, fold_case=fold))
+
+        # One catalog query per source and schema, several at once.
+        with ThreadPoolExecutor(max(1, min(8, len(groups)))) as pool:
+            return set().union(*pool.map(lookup, groups.items()))
 
     def run(self, specs: list[TableSpec]) -> list[LoadResult]:
         """Run a manifest; returns one result per spec, in manifest order."""
