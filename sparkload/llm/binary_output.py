@@ -44,6 +44,8 @@ from .common import Memo, col, map_partitions, stored, table, text_of
 from .token_counts import load, slices
 
 FILE_BYTES = 256 << 20
+#: Parts that a worker remembers, twice (Memo): about 150 bytes each.
+MEMO = 800_000
 END_ID = 0
 NO_ID = -(1 << 63)
 MANIFEST = "part int, file int, path string, width int, n_records long, n_ids long, n_bytes long"
@@ -115,16 +117,32 @@ def read_frame(data) -> bytes | None:
 class Encoder:
     """Texts to bytes of ids by the tokenizers library.  The vocabulary's
     pattern never joins the parts of ``CHUNKS``, so each different part is
-    encoded once and remembered, in bounded space."""
+    encoded once and remembered, in bounded space.  Parts to encode go to the
+    library as lines: a line end is a part, and an id, of its own."""
 
     def __init__(self, path: str):
         tokenizer = load(path)
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        kind = "<u2" if self.width == 2 else "<u4"
-        self.many = lambda parts: [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        self.memo = Memo(lambda part: self.many([part])[0])
+        self.kind = "<u2" if self.width == 2 else "<u4"
+        self.encode = lambda texts: [np.array(e.ids, self.kind) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.line_end = self.encode(["\n"])[0]
+        self.memo = Memo(lambda part: self.many([part])[0], MEMO)
+
+    def many(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part."""
+        lone = [p for p in parts if p.isspace() or p in self.special]
+        out = dict(zip(lone, (ids.tobytes() for ids in self.encode(lone))))
+        rest = [p for p in parts if p not in out]
+        groups = [rest[i:i + 500] for i in range(0, len(rest), 500)]
+        for group, ids in zip(groups, self.encode(["\n".join(g) for g in groups])):
+            ends = np.flatnonzero(ids == self.line_end[0])
+            if len(self.line_end) != 1 or len(ends) != len(group) - 1:
+                raise ValueError("this vocabulary has no id of its own for a line end")
+            at, data = [-self.width, *(ends * self.width).tolist(), len(ids) * self.width], ids.tobytes()
+            out |= {p: data[a + self.width:b] for p, a, b in zip(group, at, at[1:])}
+        return [out[p] for p in parts]
 
     def parts(self, text: str) -> list[str]:
         if not self.cut or not any(s in text for s in self.special):
