@@ -96,8 +96,8 @@ def with_next(spark: SparkSession, docs: DataFrame, range_rows: int = RANGE_ROWS
     copy of the first row of the range that follows it."""
     rows = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     rows = rows.withColumn("part", id_ranges(rows, range_rows))
-    tops = rows.groupBy("part").agg(F.max("doc_id").alias("top"))  # a row per range
-    heads = rows.join(tops, "part").where(F.col("doc_id").eqNullSafe(F.col("top")))
+    tops = rows.groupBy("part").agg(F.max("doc_id").alias("top"))  # a row per range: at most RANGES + 2
+    heads = rows.join(F.broadcast(tops), "part").where(F.col("doc_id").eqNullSafe(F.col("top")))
     heads = stored(spark, heads.groupBy("part", "doc_id").agg(F.min("text").alias("text")), "fingerprint_heads")
     down = W.orderBy(F.col("part").desc())
     after = heads.select("part", F.lead("part").over(down).alias("next"), F.max("part").over(W.partitionBy()).alias("top_part"))

@@ -15,7 +15,7 @@ pairs as members.  After the components of the confirmed links are known, only
 buckets that still hold several components matter: there, members of different
 components are compared, all of them in buckets of up to ``SMALL`` members.  In
 larger ones the members go through an exact join on their rarest shingles (the
-prefix filter, with a length filter), which misses no link.  So a group of
+prefix and positional filters), which misses no link.  So a group of
 thousands of near copies, or of texts around one passage, never becomes all of
 its pairs, and nothing is dropped.
 
@@ -167,17 +167,19 @@ def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
 
 def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that can be similar: they share a shingle
-    among the rarest of both (an exact filter) and their sizes are close."""
+    among the rarest of both, and the shingles from there on, in the order of
+    rarity, are enough for the similarity asked for (exact filters: the first
+    shingle that a similar pair shares meets them)."""
     rows = sets.join(labels, "id").select("id", "component", F.size("items").alias("n"), F.explode("items").alias("item"))
     counts = rows.groupBy("item").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(counts, "item")
     entry = F.struct("c", "item", (F.col("low") != F.col("high")).alias("mixed"))
     rows = rows.groupBy("id", "component", "n").agg(F.array_sort(F.collect_list(entry)).alias("items"))
     need = F.ceil(F.col("n") * percent / 100).cast("int")
-    rows = rows.select("id", "component", "n", F.explode(F.slice("items", 1, F.col("n") - need + 1)).alias("e")).where("e.mixed")
-    a = rows.select(F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("e.item").alias("item"))
-    b = rows.select(F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("e.item").alias("item"))
-    close = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    rows = rows.select("id", "component", "n", F.posexplode(F.slice("items", 1, F.col("n") - need + 1)).alias("at", "e")).where("e.mixed")
+    a = rows.select(F.col("id").alias("a"), F.col("component").alias("ca"), (F.col("n") - F.col("at")).alias("left_a"), F.col("n").alias("na"), F.col("e.item").alias("item"))
+    b = rows.select(F.col("id").alias("b"), F.col("component").alias("cb"), (F.col("n") - F.col("at")).alias("left_b"), F.col("n").alias("nb"), F.col("e.item").alias("item"))
+    close = ((100 + percent) * F.least("left_a", "left_b") >= percent * (F.col("na") + F.col("nb"))) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
     return a.join(b, "item").where(close).select("a", "b").distinct()
 
 
