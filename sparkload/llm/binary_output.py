@@ -28,7 +28,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -151,9 +150,8 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for some in slices(texts):
-            parts = [self.parts(text) for text in some]
-            self.memo.fill(set(chain.from_iterable(parts)), self.many)
-            yield from (b"".join(map(self.memo.__getitem__, p)) for p in parts)
+            for ids in self.memo.joined([self.parts(text) for text in some], self.many, self.kind):
+                yield ids.tobytes()
 
 
 @cache

@@ -22,12 +22,14 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Memo, col, map_batches, table, text_of
+from .token_counts import slices
 
 #: White space (the Unicode property), as inside a character class.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -109,16 +111,20 @@ class BytePairs:
         return array("i", [x for x in ids if x >= 0]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
+        if chunk in self.special:
+            return array("i", [self.special[chunk]]).tobytes()
         return b"".join(map(self.parts.__getitem__, pattern().findall(chunk)))
 
-    def encode(self, text: str) -> list[int]:
-        ids = []
-        for piece in self.cut.split(text) if self.cut and any(s in text for s in self.special) else (text,):
-            if piece in self.special:
-                ids.append(array("i", [self.special[piece]]).tobytes())
-            else:
-                ids += map(self.chunks.__getitem__, CHUNKS.findall(piece))
-        return array("i", b"".join(ids)).tolist()
+    def split(self, text: str) -> list[str]:
+        """Special strings and chunks."""
+        if not self.cut or not any(s in text for s in self.special):
+            return CHUNKS.findall(text)
+        return [c for piece in self.cut.split(text) for c in ([piece] if piece in self.special else CHUNKS.findall(piece))]
+
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        for some in slices(texts):
+            for ids in self.chunks.joined([self.split(text) for text in some], lambda chunks: list(map(self.chunk, chunks)), "i"):
+                yield ids.tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -135,8 +141,7 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         pairs, out, lists = loaded(path), [], []
-        for text in batch.column("text").to_pylist():
-            ids = pairs.encode(text)
+        for ids in pairs.encode(batch.column("text").to_pylist()):
             out.append((len(ids), hashlib.sha256(",".join(map(pairs.digits.__getitem__, ids)).encode()).hexdigest(),
                         hashlib.sha256(pairs.decode(ids).encode()).hexdigest()))
             if with_ids:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,8 +98,8 @@ class Memo(dict):
         self[key] = value
         return value
 
-    def fill(self, keys: set, compute_many: Callable[[list], list]) -> None:
-        """Computes the missing ones of ``keys`` in one call.  The memo may
+    def fill(self, keys, compute_many: Callable[[list], list]) -> None:
+        """Computes the missing ones of the different ``keys`` in one call.  The memo may
         grow by the keys of one call beyond its size."""
         if len(self) >= self.size:
             self.old = dict(self)
@@ -112,3 +113,22 @@ class Memo(dict):
                 self[key] = value
         if missing:
             self.update(zip(missing, compute_many(missing), strict=True))
+
+    def of(self, parts: list[list[str]], compute_many: Callable[[list], list]) -> tuple[list, np.ndarray, np.ndarray]:
+        """For lists of strings: the values of their different strings, and
+        for each string in turn the number of its value and of its list."""
+        flat = pa.array([p for some in parts for p in some], pa.string()).dictionary_encode()
+        keys = flat.dictionary.to_pylist()
+        self.fill(keys, compute_many)
+        lists = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), np.int64, len(parts)))
+        return list(map(self.__getitem__, keys)), flat.indices.to_numpy(), lists
+
+    def joined(self, parts: list[list[str]], compute_many: Callable[[list], list], kind: str) -> list[np.ndarray]:
+        """For each list, its strings' values one after another; the values
+        are bytes of numbers of a numpy ``kind``."""
+        values, at, lists = self.of(parts, compute_many)
+        size = np.fromiter(map(len, values), np.int64, len(values)) // np.dtype(kind).itemsize
+        numbers, n = np.frombuffer(b"".join(values), kind), size[at]
+        places = np.repeat((np.cumsum(size) - size)[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        ends = np.cumsum(np.bincount(lists, n, len(parts)).astype(np.int64))
+        return np.split(numbers[places], ends[:-1])
