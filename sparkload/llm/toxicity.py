@@ -13,8 +13,8 @@ Training takes a bounded sample: at most ``POSITIVES`` and ``NEGATIVES``
 labelled documents of up to ``TRAIN_CHARS`` characters, by hash of the id, and
 none whose crc32(doc_id) mod 5 is 0.  Only documents are labelled, so training
 alternates between finding each document's highest windows and fitting the
-network to them (gradients by hand, Adam).  The first dimension of each
-embedding starts as the smoothed log odds of its documents.  A fixed seed makes
+network to them (gradients by hand, Adam).  The first dimension of the word
+and prefix embeddings starts as the smoothed log odds of their documents.  A fixed seed makes
 reruns agree.
 
 Scoring is one pass over the rows: nothing is shuffled, and the network
@@ -36,7 +36,7 @@ from .common import col, map_batches, table
 from .token_counts import slices
 
 WINDOW, STEP, HIDDEN, DIM, ATTENTION = 24, 12, 12, 8, 8
-POSITIVES, NEGATIVES, TRAIN_CHARS, VOCABULARY = 1500, 4500, 20_000, 20_000
+POSITIVES, NEGATIVES, TRAIN_CHARS, VOCABULARY = 800, 2200, 20_000, 20_000
 ROUNDS, BATCH, RATE, SEED = 5, 256, 0.01, 7
 HASHES = 1 << 14
 PREFIXES = (2, 3, 4, 5)
@@ -224,11 +224,9 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, seed: int =
         p |= {f"W{d}": init(F3, 3 * H, by=F3**-0.5), f"U{d}": init(H, 3 * H, by=H**-0.5), f"b{d}": np.zeros(3 * H, np.float32)}
         p[f"b{d}"][H:2 * H] = -1  # states start out following the input
     p |= {"A": init(2 * H, ATTENTION, by=(2 * H)**-0.5), "a": np.zeros(ATTENTION, np.float32), "v": init(ATTENTION, by=0.5), "w": init(2 * H, by=0.5), "c": np.array([-2.0], np.float32)}
-    start = {"word": log_odds(f.word[ids], of_doc, label, len(vocabulary) + 1), "prefix": log_odds(f.prefix[ids].ravel(), np.repeat(of_doc, len(PREFIXES)), label, HASHES)}
-    doc_words = np.stack([pairs // len(texts), pairs % len(texts)])
-    reps = f.count[doc_words[0]]
-    places = np.repeat(f.first[doc_words[0]], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-    start["trigram"] = log_odds(f.trigrams[places], np.repeat(doc_words[1], reps), label, HASHES)
+    word, doc = pairs // len(texts), pairs % len(texts)
+    start = {"word": log_odds(f.word[word], doc, label, len(vocabulary) + 1),
+             "prefix": log_odds(f.prefix[word].ravel(), np.repeat(doc, len(PREFIXES)), label, HASHES)}
     for k, odds in start.items():
         p[k][:, 0] = np.clip(odds, -3, 3)
     p["word"][0] = 0
