@@ -12,7 +12,8 @@
 
 Null texts have size 0.  A null source is a source of its own.  Rows that
 repeat an id share its draw.  Empty documents get copies by the same rule but
-add no words.  An empty table gives no rows.
+add no words.  An empty table gives no rows.  Column names that start with
+``__mix_`` are the operator's own.
 """
 
 from __future__ import annotations
@@ -71,24 +72,24 @@ def targets(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, share: float
 
 def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP,
         seed: str = SEED) -> DataFrame:
-    """``docs`` with ``mix_source_size``, ``mix_target`` and ``mix_copies``.
+    """``docs`` with ``__mix_source_size``, ``__mix_target`` and ``__mix_copies``.
     The source table is joined without a hint: Spark broadcasts it while its
     files are below the session's threshold and splits hot sources beyond."""
     plan = targets(spark, docs, weights, share, cap)
-    plan = plan.select(F.col("source").alias("__mix_key"), F.col("source_size").alias("mix_source_size"),
-                       F.col("target").alias("mix_target"))
-    rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(0.0)
+    plan = plan.select(F.col("source").alias("__mix_key"), F.col("source_size").alias("__mix_source_size"),
+                       F.col("target").alias("__mix_target"))
+    rate = F.when(F.col("__mix_source_size") > 0, F.col("__mix_target") / F.col("__mix_source_size")).otherwise(0.0)
     extra = (draw(col(docs, "doc_id"), seed) < rate - F.floor(rate)).cast("int")
-    kept = [c for c in docs.columns if c not in ("mix_source_size", "mix_target", "mix_copies")]
+    kept = [c for c in docs.columns if c not in ("__mix_source_size", "__mix_target", "__mix_copies")]
     joined = docs.select(*[col(docs, c) for c in kept]).join(plan, col(docs, "source").eqNullSafe(F.col("__mix_key")))
-    return joined.drop("__mix_key").withColumn("mix_copies", F.floor(rate).cast("int") + extra)
+    return joined.drop("__mix_key").withColumn("__mix_copies", F.floor(rate).cast("int") + extra)
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """Each row of ``mix`` as often as ``mix_copies`` says, its own columns only."""
-    own = [col(mixed, c) for c in mixed.columns if c not in ("mix_source_size", "mix_target", "mix_copies")]
-    return (mixed.where(F.col("mix_copies") > 0)
-            .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies")))).select(*own))
+    """Each row of ``mix`` as often as ``__mix_copies`` says, its own columns only."""
+    own = [col(mixed, c) for c in mixed.columns if c not in ("__mix_source_size", "__mix_target", "__mix_copies")]
+    return (mixed.where(F.col("__mix_copies") > 0)
+            .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), F.col("__mix_copies")))).select(*own))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +97,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     mixed = mix(spark, table(spark, sf_dir, "documents"))
     size = word_count(text_of(mixed))
-    return mixed.select("doc_id", size.alias("size"), F.col("mix_source_size").alias("source_size"),
-                        F.col("mix_target").alias("target"), (size * F.col("mix_copies")).alias("taken"),
-                        F.col("mix_copies").alias("copies"))
+    return mixed.select("doc_id", size.alias("size"), F.col("__mix_source_size").alias("source_size"),
+                        F.col("__mix_target").alias("target"), (size * F.col("__mix_copies")).alias("taken"),
+                        F.col("__mix_copies").alias("copies"))
 
 
 OP3_SQL = rf"""

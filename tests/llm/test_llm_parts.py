@@ -1,0 +1,134 @@
+"""The operators' plain functions against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+
+from sparkload.llm import binary_output, bpe, minhash, quality_rules, token_counts, toxicity
+from sparkload.llm.common import Memo
+
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+BITS = [*"ab 'sTtΣ1\n\t  \r\x1c　é漢🙂.,!", "́", "<|endoftext|>", "<|startoftext|>", "<|STARTOFTEXT|>", "  ", "'ll", "hello", " the"]
+
+
+def texts(n, seed=1):
+    r = random.Random(seed)
+    return ["", *("".join(r.choices(BITS, k=r.randrange(25))) for _ in range(n))]
+
+
+def test_ids_equal_the_library():
+    library, own, encoder = token_counts.load(BYTES), bpe.loaded(BYTES), binary_output.encoder(BYTES)
+    points = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    some = texts(2000) + [f"a{c}b 1{c}  x" for c in points]
+    want = [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert list(own.encode(some)) == want
+    assert [np.frombuffer(b, "<u2").tolist() for b in encoder(some)] == want
+    assert [own.decode(ids) for ids in want] == [library.decode(ids, skip_special_tokens=False) for ids in want] == some
+
+
+def test_counts_of_words_add_up():
+    library, some = token_counts.load(WORDS), texts(2000, 2)
+    plain = [re.sub(r"[\x20\x09-\x0d]+", " ", t).strip(" ") for t in some]
+    assert token_counts.count_tokens(WORDS, plain) == [len(library.encode(t, add_special_tokens=False)) for t in some]
+
+
+def test_memo_stays_bounded_and_right():
+    memo = Memo(lambda k: k * 2, 10)
+    assert [memo[k] for k in [*range(100), *range(100)]] == [2 * k for k in [*range(100), *range(100)]]
+    assert len(memo) + len(memo.old) <= 20
+
+
+def test_crc32c_and_frames():
+    assert binary_output.crc32c(b"123456789") == 0xE3069283  # the published check value
+    table = binary_output._crc_tables()[0]
+    r = random.Random(3)
+    for n in (0, 1, 63, 64, 65, 1023, 1024, 1025, 5000):
+        data, crc = r.randbytes(n), 0xFFFFFFFF
+        for b in data:
+            crc = table[(crc ^ b) & 255] ^ (crc >> 8)
+        assert binary_output.crc32c(data) == crc ^ 0xFFFFFFFF
+    import io
+    whole = binary_output.frame(b"payload" * 30)
+    assert binary_output.read_frame(io.BytesIO(whole)) == b"payload" * 30
+    assert binary_output.read_frame(io.BytesIO(b"")) is None
+    for damaged in (whole[:-1], whole[:9], whole[:20] + b"?" + whole[21:], b"?" + whole[1:]):
+        with pytest.raises(ValueError):
+            binary_output.read_frame(io.BytesIO(damaged))
+
+
+def test_repeat_words():
+    r = random.Random(4)
+    for _ in range(300):
+        words = [b"%d" % r.randrange(3) for _ in range(r.randrange(60))]
+        spans = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+        marked = {j for i, s in enumerate(spans) if spans.count(s) > 1 for j in range(i, i + 8)}
+        assert quality_rules.repeat_words(words) == len(marked)
+
+
+def test_sketch_fills_every_bin_and_estimates_similarity():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 3, 50, 2000):
+        out = minhash.sketch(r.integers(0, 1 << 63, n).astype(np.uint64))
+        assert (out < np.iinfo(np.uint64).max).all()
+    pool = r.integers(0, 1 << 63, 1000).astype(np.uint64)
+    a, b = minhash.sketch(pool[:900]), minhash.sketch(pool[100:])
+    assert abs((a == b).mean() - 0.8) < 0.12
+    assert (minhash.band_keys(a) == minhash.band_keys(minhash.sketch(pool[:900][::-1]))).all()
+
+
+def test_shingles():
+    h = lambda s, k: set(minhash.shingles(s, k).tolist())
+    assert len(h("a b c a b", 2)) == 3 and len(h("A b", 5)) == 1 and not h(" \n", 2) and not h(None, 2)
+    assert h("a b", 2) != h("b a", 2) and h("A\tb", 2) == h("a b", 2) and h("a b c", 2) > h("b c", 2)
+
+
+def test_gradients_match_differences():
+    r = np.random.default_rng(6)
+    p = toxicity.train(["bad " * 30 + "x y z", "fine day " * 20, "good work " * 9, "so bad indeed"], [1, 0, 0, 1], rounds=1)
+    p = {k: v.astype(np.float64) if isinstance(v, np.ndarray) else v for k, v in p.items()}
+    X = r.normal(0, 1, (3, toxicity.WINDOW, 3 * toxicity.DIM)).astype(np.float64)
+    mask = np.arange(toxicity.WINDOW)[None, :] < np.array([[toxicity.WINDOW], [5], [1]])
+    y = np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        states = np.empty((3, toxicity.WINDOW, 2 * toxicity.HIDDEN))
+        for d, order in ((0, range(toxicity.WINDOW)), (1, range(toxicity.WINDOW - 1, -1, -1))):
+            G = X @ p[f"W{d}"] + p[f"b{d}"]
+            toxicity.recur(lambda t: G[:, t], p[f"U{d}"], mask, order, states[:, :, d * toxicity.HIDDEN:(d + 1) * toxicity.HIDDEN])
+        z = toxicity.attend(p, states, mask)[3]
+        return float(np.mean(np.logaddexp(0, z) - y * z))
+
+    g, d_X = toxicity.gradients(p, X, mask, y)
+    for k in ("U0", "U1", "W0", "b1", "A", "a", "v", "w", "c"):
+        at = tuple(r.integers(0, n) for n in p[k].shape)
+        p[k][at] += 1e-4
+        up = loss()
+        p[k][at] -= 2e-4
+        down = loss()
+        p[k][at] += 1e-4
+        assert g[k][at] == pytest.approx((up - down) / 2e-4, abs=2e-3), k
+
+
+def test_every_word_is_in_a_window():
+    for n in (0, 1, 23, 24, 25, 36, 37, 1000):
+        at, mask, of = toxicity.windows([3, n])
+        assert set(at[of == 1][mask[of == 1]].tolist()) == set(range(3, 3 + n))
+
+
+def test_training_needs_both_kinds_and_repeats_exactly():
+    assert toxicity.train(["a"], [1]) is None and toxicity.train([], []) is None
+    some = ["you idiot " * 4, "nice day today", "", "what an idiot", "a fine garden"]
+    a, b = (toxicity.train(some, [1, 0, 0, 1, 0], rounds=2) for _ in range(2))
+    assert all((a[k] == b[k]).all() for k in a if isinstance(a[k], np.ndarray))
+    scores = toxicity.score_texts(a, ["", None, "x " * 5000])
+    assert scores[:2] == [a["share"]] * 2 and all(0 <= s <= 1 for s in scores)
+
+
+def test_xxhash_seed_of_spark():
+    assert xxhash.xxh64(b"a", seed=42).intdigest() != xxhash.xxh64(b"a").intdigest()
