@@ -16,7 +16,6 @@ nothing is shuffled.  Null texts are empty: no ids.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import re
 import sys
@@ -24,6 +23,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +78,12 @@ class BytePairs:
         byte_of = {c: b for b, c in enumerate(symbols)}
         self.byte_ids = [vocab[c] for c in symbols]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.size = max(vocab.values()) + 1
+        self.ranks: dict[int, int] = {}  # by left * size + right
+        self.made: list[int] = []
+        for rank, (a, b) in enumerate(pairs):
+            self.ranks[vocab[a] * self.size + vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in data["added_tokens"]):
@@ -86,28 +91,29 @@ class BytePairs:
         self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
         self.digits = {i: str(i) for i in self.bytes_of}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.parts, self.chunks = Memo(self.merge, 200_000), Memo(self.chunk)
+        self.parts, self.chunks = Memo(self.merge, 100_000), Memo(self.chunk, 250_000)
 
     def merge(self, part: str) -> bytes:
         """Ids of one part of the pattern, as 32-bit numbers."""
         ids = [self.byte_ids[b] for b in part.encode()]
-        n, merges = len(ids), self.merges
+        n, size, rank_of = len(ids), self.size, self.ranks.get
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        queue = [(found[0], i, ids[i], ids[i + 1], found[1]) for i in range(n - 1) if (found := merges.get((ids[i], ids[i + 1])))]
-        heapq.heapify(queue)
+        queue = [rank * n + i for i in range(n - 1) if (rank := rank_of(ids[i] * size + ids[i + 1])) is not None]
+        heapify(queue)
         while queue:
-            _, i, left, right, new = heapq.heappop(queue)
+            rank, i = divmod(heappop(queue), n)
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if j == n or rank_of(ids[i] * size + ids[j]) != rank:
                 continue  # stale: one of the two has been merged meanwhile
-            ids[i], ids[j] = new, -1
+            ids[i] = new = self.made[rank]
+            ids[j] = -1  # no pair with it has a rank
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if found := merges.get((new, ids[k])):
-                    heapq.heappush(queue, (found[0], i, new, ids[k], found[1]))
-            if (h := before[i]) >= 0 and (found := merges.get((ids[h], new))):
-                heapq.heappush(queue, (found[0], h, ids[h], new, found[1]))
+                if (rank := rank_of(new * size + ids[k])) is not None:
+                    heappush(queue, rank * n + i)
+            if (h := before[i]) >= 0 and (rank := rank_of(ids[h] * size + new)) is not None:
+                heappush(queue, rank * n + h)
         return array("i", [x for x in ids if x >= 0]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:

@@ -50,6 +50,7 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -71,11 +72,13 @@ def map_partitions(df: DataFrame, rows: Callable, schema: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``map_partitions`` with one output batch for each input batch."""
+    """``map_partitions`` by batches of at most ``BATCH_ROWS`` rows, so that a
+    worker holds the strings and results of few rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield rows(batch)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                yield rows(batch.slice(at, BATCH_ROWS))
 
     return map_partitions(df, run, schema)
 

@@ -274,7 +274,7 @@ def score_texts(p: dict | None, texts: list[str | None], share: float = 0.0) ->
     if p is None:
         return [share] * len(texts)
     out = []
-    for part in slices([t or "" for t in texts]):
+    for part in slices([t or "" for t in texts], 700_000):
         words, ids, lengths = numbered(part)
         scores = np.full(len(part), p["share"])
         if len(ids):
