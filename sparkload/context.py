@@ -48,6 +48,10 @@ class RunContext:
     output_root: str = ""
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
+    def __post_init__(self) -> None:
+        """The run instant has whole seconds, as the source's ``sysdate()``."""
+        object.__setattr__(self, "as_of", self.as_of.replace(microsecond=0))
+
     @property
     def day(self) -> dt.date:
         """``curdate()``: the calendar day of the run."""
