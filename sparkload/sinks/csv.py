@@ -88,7 +88,11 @@ def write_csv(
         one = n <= max_single_file_rows
         if one:
             out = out.coalesce(1)
-    out.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    options = dict(CSV_WRITE_OPTIONS)
+    if len(out.columns) == 1:
+        # A lone empty field is an empty line, which readers skip: quote it.
+        options |= {"nullValue": '""', "emptyValue": '""'}
+    out.write.mode(mode).options(**options).csv(path)
     return one
 
 

@@ -129,3 +129,11 @@ def test_roundtrip_of_provided_tables_matches_duckdb(spark, outdir, table):
     cols = con.execute(f"DESCRIBE SELECT * FROM {table}").fetchall()
     sql = "SELECT " + ", ".join(_clean(c[0]) if c[1] == "VARCHAR" else c[0] for c in cols) + f" FROM {table}"
     assert spark_rows(read_csv(spark, path, src.schema)) == duck_rows(con, sql)
+
+
+def test_one_column_keeps_null_and_empty_rows(spark, outdir):
+    """A distinct key set with a null and an empty key: a row each."""
+    for schema, rows in (("k string", [("a",), (None,), ("",), ("b",)]), ("k long", [(1,), (None,)])):
+        path = f"{outdir}/{schema[2:]}"
+        write_csv(spark.createDataFrame(rows, schema).coalesce(1), path)
+        assert [r.k or None for r in read_csv(spark, path, schema).collect()] == [k or None for k, in rows]
