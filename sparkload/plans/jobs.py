@@ -258,7 +258,7 @@ class Loader:
                 keys = op.materialize_keys(self.spark, op.delta_keys(key_source, parent.key), parent.key,
                                            f"keys_{parent.name}")
             except Exception as e:
-                kids = [self._result(c, SKIPPED, error=f"keys of {parent.name} failed: {_message(e)}")
+                kids = [self._result(c, ERROR, error=f"keys of {parent.name} failed: {_message(e)}")
                         for c in children]
             else:
                 kids = list(pool.map(lambda c: one_child(c, keys), children))
