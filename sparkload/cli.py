@@ -84,7 +84,7 @@ def explain(loader: Loader, specs: list, out=None) -> None:
         try:
             print(plan_text(loader.frame(spec), "formatted"), file=out)
         except Exception as e:
-            print(f"   cannot plan: {type(e).__name__}: {str(e).splitlines()[0][:300]}", file=out)
+            print(f"   cannot plan: {type(e).__name__}: {str(e).strip()}", file=out)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -338,6 +338,5 @@ def _catalog_name(spec: TableSpec) -> str:
 
 
 def _message(e: Exception) -> str:
-    text = str(e).strip().splitlines()
-    return f"{type(e).__name__}: {text[0] if text else ''}"[:500]
-
+    """The whole error text, for the report."""
+    return f"{type(e).__name__}: {str(e).strip()}"
