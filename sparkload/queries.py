@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,8 +125,7 @@ def q_distinct_keys(spark, sf_dir):
 
 
 def q_distinct_rows(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return fn.sanitize(op.distinct_rows(li.select("l_returnflag", "l_linestatus", "l_quantity")))
+    return fn.sanitize(op.distinct_rows(table(spark, sf_dir, "lineitem")))
 
 
 def q_last_n_years(spark, sf_dir):
@@ -196,9 +196,16 @@ def lake_catalog(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFram
     return reg.catalog(spark, "tpch", names=names)
 
 
+def _row_counts(spark, sf_dir, names):
+    """Name and row count of each table that a catalog lookup found."""
+    counts = [table(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+              for n in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def q_catalog_allowlist(spark, sf_dir):
     names = ["orders", "customer", "missing"]
-    return catalog.allowlisted(spark, lake_catalog(spark, sf_dir, names), names)
+    return _row_counts(spark, sf_dir, catalog.existing_tables(spark, lake_catalog(spark, sf_dir, names), names))
 
 
 def q_catalog_lower(spark, sf_dir):
@@ -206,7 +213,8 @@ def q_catalog_lower(spark, sf_dir):
     names = ["ORDERS", "LINEITEM", "MISSING"]
     found = lake_catalog(spark, sf_dir, [n.lower() for n in names])
     warehouse = found.select(F.upper("table_schema").alias("table_schema"), F.upper("table_name").alias("table_name"))
-    return catalog.allowlisted(spark, warehouse, names, fold_case=True)
+    rows = catalog.allowlisted(spark, warehouse, names, fold_case=True).collect()  # bounded by the list
+    return _row_counts(spark, sf_dir, sorted(r["table_name"] for r in rows))
 
 
 # Field list of the customer-as-CRM-object stand-in, spelled as a SOQL
@@ -214,8 +222,14 @@ def q_catalog_lower(spark, sf_dir):
 CUSTOMER_FIELDS = ["C_CUSTKEY", "c_name", "C_NationKey", "c_acctbal", "c_mktsegment"]
 
 
-def q_records_scan(spark, sf_dir):
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` with every seventh name null: its key is not landed."""
     cust = table(spark, sf_dir, "customer")
+    return cust.withColumn("c_name", F.when(cust["c_custkey"] % 7 != 0, cust["c_name"]))
+
+
+def q_records_scan(spark, sf_dir):
+    cust = customers(spark, sf_dir)
     landed = scratch_path(spark, "landed_records", "customer")
     records.to_records(cust, "Customer", "/records/Customer/", "c_custkey").write.json(landed)
     got = records.read_records(spark, landed, cust.schema, CUSTOMER_FIELDS)
@@ -366,7 +380,7 @@ def land_records(spark: SparkSession, sf_dir: str) -> str:
     """Land ``customer`` as ``Account`` and ``orders`` as ``Opportunity``
     records (JSON lines with an ``attributes`` envelope); returns the root."""
     root = scratch_path(spark, "landed")
-    cust = table(spark, sf_dir, "customer")
+    cust = customers(spark, sf_dir)
     records.to_records(cust, "Account", "/records/Account/", "c_custkey").write.json(f"{root}/Account")
     o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "CreatedDate")
     records.to_records(o, "Opportunity", "/records/Opportunity/", "o_orderkey").write.json(f"{root}/Opportunity")
@@ -481,10 +495,7 @@ ORACLES: dict[str, str] = {
         "AND created_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 7 MONTH"
     ),
     "distinct_keys": f"{_T} SELECT DISTINCT o_custkey FROM t WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00'",
-    "distinct_rows": (
-        f"SELECT {_clean('l_returnflag')}, {_clean('l_linestatus')}, l_quantity FROM "
-        "(SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem) x"
-    ),
+    "distinct_rows": f"SELECT DISTINCT {_LI_COLS} FROM lineitem",
     "last_n_years": (
         f"SELECT o_orderkey, o_custkey, {_clean('o_orderstatus')}, o_totalprice, o_orderdate, "
         f"{_clean('o_orderpriority')} FROM orders "
@@ -515,14 +526,16 @@ ORACLES: dict[str, str] = {
         f"{_clean('lang')}, {_clean('source')}, n_chars FROM documents"
     ),
     "catalog_allowlist": (
-        "SELECT DISTINCT table_name FROM information_schema.tables "
-        "WHERE table_name IN ('orders', 'customer', 'missing')"
+        "SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders "
+        "UNION ALL SELECT 'customer', count(*) FROM customer"
     ),
     "catalog_lower": (
-        "SELECT DISTINCT lower(upper(table_name)) AS table_name FROM information_schema.tables "
-        "WHERE upper(table_name) IN ('ORDERS', 'LINEITEM', 'MISSING')"
+        "SELECT 'lineitem' AS table_name, count(*) AS n_rows FROM lineitem "
+        "UNION ALL SELECT 'orders', count(*) FROM orders"
+    ),
+    "records_scan": (
+        f"SELECT {_CUST_COLS} FROM (SELECT * REPLACE (CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name) FROM customer) c"
     ),
-    "records_scan": f"SELECT {_CUST_COLS} FROM customer",
     "csv_roundtrip": f"SELECT {_DOC_COLS} FROM documents",
 }
 

@@ -247,24 +247,20 @@ def read_table(
             return plain
     if partitioning is not None and partitioning.balance == "quantiles":
         # Tiles come from the base table, like the stride bounds below.  A
-        # source without window functions (before MySQL 8) falls back to
-        # equal strides.
-        try:
-            preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)
-        except Exception:
-            preds = None
-        if preds is not None and len(preds) > 1:
+        # source that cannot compute them fails the extract: equal strides
+        # have to be asked for.
+        preds = quantile_predicates(spark, base, quote_ident(table, quote), partitioning, quote)
+        if len(preds) > 1:
             props = {**source_defaults(base), "fetchsize": str(partitioning.fetch_size)}
             url = props.pop("url")
             props.pop("dbtable", None)
             return spark.read.jdbc(url, dbtable, predicates=preds, properties=props)
-        if preds is not None:  # an empty table or a single key value
-            partitioning = None
+        partitioning = None  # an empty table or a single key value
     bounds = None
     if partitioning is not None and (partitioning.lower is None or partitioning.upper is None):
         # Bounds come from the base table: the derived subquery would run the
         # source function on every row just to find min and max.
         row = query_one_row(spark, base, bounds_query(quote_ident(table, quote), partitioning.column, quote)).first()
-        if row is not None and row["lo"] is not None:
-            bounds = (int(row["lo"]), int(row["hi"]))
+        if row is not None and row[0] is not None:  # by position: sources may fold aliases
+            bounds = (int(row[0]), int(row[1]))
     return spark.read.format("jdbc").options(**reader_options(base, dbtable, partitioning, bounds)).load()

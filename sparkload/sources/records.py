@@ -1,8 +1,8 @@
 """CRM record sets (S6) landed as JSON.
 
 The reference pulls records through a paged REST client.  Here the records
-are landed files that Spark reads in parallel with an explicit schema (no
-inference pass; the key spelling comes from one record).  Two layouts:
+are landed files that Spark reads in parallel, in one pass, with declared
+types (no inference).  Two layouts:
 
 * ``lines``: one record object per line (splittable, the large-scale form);
 * ``pages``: one API response per file, ``{"records": [...], ...}``; each
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,21 +43,33 @@ def string_fields(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def landed_spelling(spark: SparkSession, path: str, layout: str = "lines") -> dict[str, str]:
-    """Lower-cased name → spelling of the keys of one landed record.  Every
-    record of an object's query carries the same keys (each selected field,
-    null or not), so one record gives the API's spelling for all; reading it
-    touches the first split only."""
+def _values(spark: SparkSession, path: str, layout: str, typed: bool) -> DataFrame:
+    """``text``: each landed record as a map of lower-cased key to value as
+    text (strings as they are, anything else as its JSON text), and, if
+    ``typed``, ``json``: the same as a map to variants.  Keys that differ only
+    in case fail, as does a record that does not parse."""
     if layout == "lines":
-        lines = spark.read.text(path)
-        one = lines.where(F.trim(lines["value"]) != "").select(F.json_object_keys(lines["value"]).alias("k")).first()
+        rows = spark.read.text(path)
+        rows = rows.where(F.trim(rows["value"]) != "")
     elif layout == "pages":
-        files = spark.read.text(path, wholetext=True)
-        first = F.get_json_object(files["value"], "$.records[0]")
-        one = files.select(F.json_object_keys(first).alias("k")).where(F.col("k").isNotNull()).first()
+        page = T.StructType([T.StructField("records", T.ArrayType(T.StringType()))])
+        rows = (spark.read.schema(page).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+                .select(F.explode("records").alias("value")))
     else:
         raise ValueError(f"unknown records layout {layout!r}")
-    return {k.lower(): k for k in (one["k"] if one is not None else [])}
+    kinds = {"text": T.StringType()} | ({"json": T.VariantType()} if typed else {})
+    none = F.raise_error(F.lit("a landed line holds no record"))
+    rows = rows.select(*[F.coalesce(F.from_json("value", T.MapType(T.StringType(), kind), {"mode": "FAILFAST"}), none).alias(name)
+                         for name, kind in kinds.items()])
+    return rows.select(*[F.transform_keys(name, lambda k, _: F.lower(k)).alias(name) for name in kinds])
+
+
+def _value(key: str, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StringType):
+        return F.try_element_at("text", F.lit(key))
+    # By the JSON reader's own rules: a quoted number is a text.
+    one = F.concat(F.lit('{"v":'), F.to_json(F.try_element_at("json", F.lit(key))), F.lit("}"))
+    return F.from_json(one, T.StructType([T.StructField("v", dtype)]), {"mode": "FAILFAST"})["v"]
 
 
 def read_records(
@@ -66,36 +78,29 @@ def read_records(
     schema: T.StructType | str,
     fields: Sequence[str] | None = None,
     layout: str = "lines",
+    seen: Observation | None = None,
 ) -> DataFrame:
     """S6 + P3 + P5: landed records → the object's field list, no envelope.
 
     Field names are matched regardless of case, as the reference's frame of
     API records is selected: a query may spell ``NAME`` or ``ContactID``
-    while the API returns ``Name`` and ``ContactId``.  The JSON source
-    matches a schema's names exactly, so the schema is spelled as the landed
-    records spell their keys (``landed_spelling``), with the types of
-    ``schema`` (text for fields it does not declare).  Columns are named as
-    in ``schema``, else as in ``fields``.  A malformed record fails the read
-    rather than turn into a row of nulls.
+    while the API returns ``Name`` and ``ContactId``.  Every record is matched
+    on its own keys, in one pass, so a field that some records leave out
+    (a null the writer did not write) is null there and nowhere else.
+    Types are those of ``schema`` (text for fields it does not declare);
+    columns are named as in ``schema``, else as in ``fields``.  A malformed
+    record or value fails the read rather than turn into nulls.  ``seen``
+    observes for each column whether any record has its key.
     """
     struct = _as_struct(schema)
     declared = {f.name.lower(): f for f in struct.fields}
     wanted = [f for f in (fields if fields is not None else struct.fieldNames()) if f.lower() != ENVELOPE]
-    spelled = landed_spelling(spark, path, layout)
-    read_fields, out = [], []
-    for name in wanted:
-        fld = declared.get(name.lower())
-        key = spelled.get(name.lower(), fld.name if fld else name)
-        read_fields.append(T.StructField(key, fld.dataType if fld else T.StringType()))
-        out.append((key, fld.name if fld else name))
-    rec = T.StructType(read_fields)
-    if layout == "lines":
-        df = spark.read.schema(rec).option("mode", "FAILFAST").json(path)
-    else:
-        page = T.StructType([T.StructField("records", T.ArrayType(rec))])
-        df = (spark.read.schema(page).option("multiLine", "true").option("mode", "FAILFAST").json(path)
-              .select(F.explode("records").alias("r")).select("r.*"))
-    return df.select(*[df[key].alias(name) for key, name in out])
+    out = [(n.lower(), declared[n.lower()].name if n.lower() in declared else n) for n in wanted]
+    types = {key: declared[key].dataType if key in declared else T.StringType() for key, _ in out}
+    rows = _values(spark, path, layout, any(not isinstance(t, T.StringType) for t in types.values()))
+    if seen is not None:
+        rows = rows.observe(seen, *[F.max(F.map_contains_key("text", key)).alias(name) for key, name in out])
+    return rows.select(*[_value(key, types[key]).alias(name) for key, name in out])
 
 
 def to_records(df: DataFrame, object_type: str, url_prefix: str, id_column: str) -> DataFrame:

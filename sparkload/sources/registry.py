@@ -157,19 +157,19 @@ class SourceRegistry:
         if cfg.format != "jdbc":
             return None
         try:
-            rows = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table)).collect()
+            found = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table))
+            rows = found.toDF("column_name", "ordinal_position").collect()  # sources may fold aliases
         except Exception:
             return None
         return tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
 
     def marks(self, spark: SparkSession, source: str, table: str,
-              created: str = "created_at", updated: str = "updated_at") -> Marks:
-        """High-water marks of a target table.  On JDBC the source
+              created: str = "created_at", updated: str = "updated_at", zone: str | None = None) -> Marks:
+        """High-water marks of a target table, as wall clock in ``zone``.  On JDBC the source
         computes the maxima and returns one row."""
         cfg = self.get(source)
         if cfg.format == "jdbc":
             sql = jdbc.marks_query(jdbc.quote_ident(table, cfg.quote), created, updated, cfg.quote)
             df = jdbc.query_one_row(spark, cfg.options, sql)
-            return read_marks(df.select(F.col("max_created_at").alias(created), F.col("max_updated_at").alias(updated)),
-                              created, updated)
-        return read_marks(self.read(spark, source, table), created, updated)
+            return read_marks(df.toDF(created, updated), created, updated, zone)
+        return read_marks(self.read(spark, source, table), created, updated, zone)

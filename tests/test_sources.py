@@ -245,24 +245,38 @@ def test_records_fields_match_api_spelling_and_types(spark, outdir):
         read_records(spark, folder, string_fields(fields), fields).collect()
 
 
-def test_quantiles_fall_back_to_strides_without_window_functions(spark, monkeypatch):
+def test_quantiles_that_fail_fail_the_read(spark, monkeypatch):
     import pytest
 
-    class Stop(Exception):
-        pass
-
     def no_ntile(*args, **kwargs):
         raise RuntimeError("FUNCTION ntile does not exist")
 
-    seen = {}
-
-    def capture(base, dbtable, partitioning=None, bounds=None):
-        seen.update(partitioning=partitioning, bounds=bounds)
-        raise Stop  # stop before the read, which needs a database
-
     monkeypatch.setattr(jdbc, "quantile_predicates", no_ntile)
-    monkeypatch.setattr(jdbc, "query_one_row", lambda s, base, sql: s.sql("SELECT 1L AS lo, 1000L AS hi"))
-    monkeypatch.setattr(jdbc, "reader_options", capture)
-    with pytest.raises(Stop):
+    with pytest.raises(RuntimeError, match="ntile"):
         jdbc.read_table(spark, {"url": "jdbc:mysql://db/smc"}, "ticket", JdbcPartitioning("id", 8, balance="quantiles"))
-    assert seen["partitioning"].column == "id" and seen["bounds"] == (1, 1000)
+
+
+def _land(folder, *lines):
+    import os
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/records.json", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return folder
+
+
+def test_records_are_matched_on_their_own_keys(spark, outdir):
+    from sparkload.sources.records import read_records
+    path = _land(outdir + "/r", '{"Id":"1"}', '{"Id":"2","Name":"x","Born":"2020-02-03"}', "", '{"ID":"3","name":"y","N":5,"Tags":["a","b"]}')
+    rows = read_records(spark, path, "NAME string, id string, born date, n int, tags array<string>").collect()
+    assert [r["id"] for r in rows] == ["1", "2", "3"] and [r["NAME"] for r in rows] == [None, "x", "y"]
+    assert [str(r["born"]) for r in rows] == ["None", "2020-02-03", "None"]
+    assert [r["n"] for r in rows] == [None, None, 5] and rows[2]["tags"] == ["a", "b"]
+
+
+def test_broken_records_fail_the_read(spark, outdir):
+    import pytest
+    from sparkload.sources.records import read_records
+    for k, line in enumerate(['{"Id":', '{"Id":"1","ID":"2"}', '{"Id":"x1"}']):
+        path = _land(f"{outdir}/broken{k}", line)
+        with pytest.raises(Exception):
+            read_records(spark, path, "id int").collect()
