@@ -36,4 +36,4 @@ def sanitize(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     targets = set(string_columns(df) if columns is None else columns)
     if not targets:
         return df
-    return df.select(*[clean_text(df[c]).alias(c) if c in targets else df[c] for c in df.columns])
+    return df.select(*[clean_text(df[f"`{c}`"]).alias(c) if c in targets else df[f"`{c}`"] for c in df.columns])

@@ -29,13 +29,17 @@ from .projection import select_columns
 from .semijoin import DEFAULT_MAX_BROADCAST_KEYS, semi_join
 
 
-def _as_wallclock(df: DataFrame, name: str) -> Column:
+def _as_wallclock(df: DataFrame, name: str, zone: str | None = None) -> Column:
     """A max-able column whose collected value is the wall-clock datetime in
-    the session zone (``timestamp`` → ``timestamp_ntz``; PySpark would
-    otherwise convert a ``timestamp`` through the driver's local zone)."""
+    ``zone``, or else in the session's (``timestamp`` → ``timestamp_ntz``;
+    PySpark would otherwise convert a ``timestamp`` through the driver's local
+    zone).  The shift to ``zone`` goes by the instant, whatever the session's
+    zone is."""
     dtype = column_type(df, name)
     col = df[name]
     if isinstance(dtype, T.TimestampType):
+        if zone is not None:
+            return F.timestamp_add("MICROSECOND", F.unix_micros(F.from_utc_timestamp(col, zone)), F.lit("1970-01-01").cast("timestamp_ntz"))
         return col.cast(T.TimestampNTZType())
     if isinstance(dtype, T.DateType):
         return col.cast(T.TimestampNTZType())
@@ -44,17 +48,19 @@ def _as_wallclock(df: DataFrame, name: str) -> Column:
     raise TypeError(f"watermark column {name!r} has type {dtype.simpleString()}")
 
 
-def watermark(target: DataFrame, created: str = "created_at", updated: str = "updated_at") -> DataFrame:
+def watermark(target: DataFrame, created: str = "created_at", updated: str = "updated_at",
+              zone: str | None = None) -> DataFrame:
     """A3: one row ``(max_created_at, max_updated_at)`` over the target."""
     return target.agg(
-        F.max(_as_wallclock(target, created)).alias("max_created_at"),
-        F.max(_as_wallclock(target, updated)).alias("max_updated_at"),
+        F.max(_as_wallclock(target, created, zone)).alias("max_created_at"),
+        F.max(_as_wallclock(target, updated, zone)).alias("max_updated_at"),
     )
 
 
-def read_marks(target: DataFrame, created: str = "created_at", updated: str = "updated_at") -> Marks:
+def read_marks(target: DataFrame, created: str = "created_at", updated: str = "updated_at",
+               zone: str | None = None) -> Marks:
     """Collect the single watermark row as ``Marks`` (naive datetimes)."""
-    row = watermark(target, created, updated).first()
+    row = watermark(target, created, updated, zone).first()
     def _value(v: dt.datetime | None) -> dt.datetime | None:
         return v if v is None or isinstance(v, dt.datetime) else dt.datetime.combine(v, dt.time(0))
     return Marks(_value(row["max_created_at"]), _value(row["max_updated_at"]))
@@ -100,9 +106,9 @@ def cascade(
     before the join so it filters at the scan.  A ``KeySet`` brings its
     count and key range, which also prunes the child's scan.
     """
-    key_range = None
+    key_range = key_bytes = None
     if isinstance(keys, KeySet):
-        keys, key_count, key_range = keys.frame, keys.count, (keys.low, keys.high)
+        keys, key_count, key_range, key_bytes = keys.frame, keys.count, (keys.low, keys.high), keys.bytes
     filtered = child.where(own_delta) if own_delta is not None else child
-    out = semi_join(filtered, keys, child_key, key, key_count, max_broadcast_keys, salt_buckets, key_range)
+    out = semi_join(filtered, keys, child_key, key, key_count, max_broadcast_keys, salt_buckets, key_range, key_bytes)
     return distinct_rows(out) if distinct else out

@@ -39,18 +39,20 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFram
 
 @dataclass(frozen=True)
 class KeySet:
-    """A materialized distinct key set with its size and range, all observed
+    """A materialized distinct key set with its size (rows, and bytes as text) and range, all observed
     on the write that stored it.  ``low``/``high`` are ``None`` when empty."""
 
     frame: DataFrame
     count: int
     low: Any
     high: Any
+    bytes: int = 0
 
 
 def materialize_keys(spark: SparkSession, keys: DataFrame, key: str, name: str) -> KeySet:
     """Write a key set once to the checkpoint folder; the row count (which
     picks the join strategy) and the key range (which prunes the child's
     scan) come from the same write."""
-    frame, m = _write_once(spark, keys, name, F.min(keys[key]).alias("low"), F.max(keys[key]).alias("high"))
-    return KeySet(frame, int(m.get("rows", 0)), m.get("low"), m.get("high"))
+    frame, m = _write_once(spark, keys, name, F.min(keys[key]).alias("low"), F.max(keys[key]).alias("high"),
+                           F.sum(F.octet_length(keys[key].cast("string"))).alias("bytes"))
+    return KeySet(frame, int(m.get("rows", 0)), m.get("low"), m.get("high"), int(m.get("bytes") or 0))

@@ -5,7 +5,7 @@ left semi join; ``IN`` and an equi join agree that a null key never matches.
 
 Strategy, decided on the driver from a **counted** key set:
 
-* keys ≤ ``max_broadcast_keys``: broadcast hash semi join.  The child is
+* keys ≤ ``max_broadcast_keys`` and ≤ ``MAX_BROADCAST_BYTES``: broadcast hash semi join.  The child is
   filtered where it lies, with no shuffle, so a parent key that owns a third
   of the child rows costs nothing extra.
 * more keys (a first load, or a very busy day): shuffle both sides on the
@@ -24,8 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# 2M long keys build a broadcast hash relation of a few tens of MB.
+# 2M long keys build a broadcast hash relation of a few tens of MB.  Wide
+# keys are bounded by their bytes as well.
 DEFAULT_MAX_BROADCAST_KEYS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 _SALT = "__sparkload_salt"
 # Key types whose collected min/max turn back into the same literal (a
 # timestamp would pass through the driver's local zone).
@@ -56,13 +58,15 @@ def semi_join(
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     salt_buckets: int | None = None,
     key_range: tuple | None = None,
+    key_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``child`` whose ``child_key`` is in ``keys[key]``.
 
     ``keys`` should already be distinct and, when reused, materialized.
     ``key_count`` is its row count if known (e.g. observed while it was
     written); otherwise it is counted here, which is cheap on a
-    materialized key set.  ``key_range`` is the keys' ``(min, max)``: a
+    materialized key set, together with ``key_bytes``, the keys' size as
+    text.  ``key_range`` is the keys' ``(min, max)``: a
     matching child key lies in it, so the range is applied to the child
     first, where it reaches the scan (parquet row-group skipping, a ``WHERE``
     on the source's index); ``(None, None)`` is an empty key set, which
@@ -75,8 +79,11 @@ def semi_join(
         elif isinstance(keys.schema[key].dataType, _EXACT_LITERAL_TYPES):
             child = child.where(child[child_key].between(F.lit(low), F.lit(high)))
     keys = keys.select(keys[key])
-    n = keys.count() if key_count is None else key_count
-    if n <= max_broadcast_keys:
+    small = key_count is None or key_count <= max_broadcast_keys
+    if small and (key_count is None or key_bytes is None):
+        key_count, key_bytes = keys.agg(F.count(F.lit(1)), F.sum(F.octet_length(keys[key].cast("string")))).first()
+        small = key_count <= max_broadcast_keys
+    if small and (key_bytes or 0) <= MAX_BROADCAST_BYTES:
         return child.join(F.broadcast(keys), _join_condition(child, child_key, keys, key), "left_semi")
     if not salt_buckets or salt_buckets <= 1:
         return child.join(keys, _join_condition(child, child_key, keys, key), "left_semi")
