@@ -9,7 +9,6 @@ Layers:
   row counting, lineage cuts;
 * ``sinks``: CSV dialect and output path rules;
 * ``plans``: the manifest, the load jobs, the report and plan checks;
-* ``streaming``: none (see its docstring).
 """
 
 from .context import RunContext, apply_scale_conf, build_session, scratch_root

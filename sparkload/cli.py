@@ -25,7 +25,7 @@ import sys
 from .context import RunContext, apply_scale_conf, build_session
 from .plans import manifest as mf
 from .plans.jobs import Loader
-from .plans.report import ERROR, report_frame
+from .plans.report import lost, report_frame
 from .sources.config import registry_from_json
 
 MANIFESTS = {
@@ -50,8 +50,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--parallel", type=int, default=4, help="extracts submitted at once")
     run.add_argument("--salt-buckets", type=int, default=None, help="explicit salting of large cascades")
     run.add_argument("--records-layout", choices=("lines", "pages"), default="lines")
-    run.add_argument("--stage-overwrites", action="store_true",
-                     help="stage dated files in the checkpoint folder before overwriting them")
+    run.add_argument("--stage-overwrites", action=argparse.BooleanOptionalAction, default=True,
+                     help="stage dated files in the checkpoint folder before overwriting them (the default)")
     run.add_argument("--report", help="write the report as parquet here")
     run.add_argument("--master", default=None)
     sub.add_parser("manifest", help="print the reference manifest as JSON lines")
@@ -117,7 +117,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(r.__dict__, default=str))
     if args.report:
         report_frame(spark, results).write.mode("errorifexists").parquet(args.report)
-    return 1 if any(r.status == ERROR for r in results) else 0
+    return 1 if any(lost(r) for r in results) else 0
 
 
 def _selected(specs: list, tables: str | None) -> list:

@@ -16,15 +16,17 @@ lost executor never re-reads a source that may have moved on.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections import defaultdict
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from .. import functions as fn
 from .. import operators as op
-from ..context import RunContext, spark_context
+from ..context import SCALE_CONF, RunContext, spark_context
 from ..functions.windows import Marks
 from ..sinks import csv as csv_sink
 from ..sinks.paths import FILE_EXTENSION, output_path, write_mode
@@ -54,14 +56,16 @@ class Loader:
     """Runs manifests against a ``SourceRegistry`` for one ``RunContext``.
 
     Options: ``output_format`` ``"csv"`` (the reference's files) or
-    ``"parquet"``; ``max_parallel`` extracts submitted at once (each source
-    may cap its own share, ``SourceConfig.max_parallel_reads``);
+    ``"parquet"``; ``max_parallel`` extracts running at once, children of
+    an increment included (each source may cap the reads it sees at once,
+    ``SourceConfig.max_parallel_reads``);
     ``max_broadcast_keys`` the largest counted key set a cascade broadcasts;
     ``salt_buckets`` explicit salting of cascades above that bound (else AQE
     splits hot keys); ``records_layout`` ``"lines"`` or ``"pages"`` for
     landed CRM records; ``set_session_zone`` pins the session time zone to
-    the run's; ``stage_overwrites`` stages dated files in the checkpoint
-    folder before overwriting them.
+    the run's; ``stage_overwrites`` (the default) stages dated files in the
+    checkpoint folder before overwriting them; without it a rerun writes
+    once, and one whose read fails leaves that day without a file.
     """
 
     def __init__(
@@ -76,7 +80,7 @@ class Loader:
         salt_buckets: int | None = None,
         records_layout: str = "lines",
         set_session_zone: bool = True,
-        stage_overwrites: bool = False,
+        stage_overwrites: bool = True,
     ):
         self.spark = spark
         self.ctx = ctx
@@ -90,6 +94,10 @@ class Loader:
         # checkpoint folder: twice the writes, but a failed source read keeps
         # the day's previous file.
         self.stage_overwrites = stage_overwrites
+        self._slots = threading.BoundedSemaphore(self.max_parallel)
+        for key, value in SCALE_CONF.items():  # a hot key of a cascade is split
+            if key.startswith("spark.sql.adaptive."):
+                spark.conf.set(key, value)
         if set_session_zone:
             # Marks of ``timestamp`` targets are read as wall clock in this zone.
             spark.conf.set("spark.sql.session.timeZone", ctx.time_zone)
@@ -101,19 +109,19 @@ class Loader:
         return self.sources.read(self.spark, spec.source, table or spec.table, derived=derived,
                                  partitioned=not spec.consistent_read)
 
-    def read_records(self, spec: TableSpec) -> DataFrame:
+    def read_records(self, spec: TableSpec, seen: Observation | None = None) -> DataFrame:
         schema = spec.record_schema or records.string_fields(spec.columns or ())
         path = self.sources.path(spec.source, spec.table)
-        return records.read_records(self.spark, path, schema, spec.columns, self.records_layout)
+        return records.read_records(self.spark, path, schema, spec.columns, self.records_layout, seen)
 
     # -- plans -------------------------------------------------------------
 
     def frame(self, spec: TableSpec, marks: Marks | None = None,
-              keys: op.KeySet | None = None, clean: bool = True) -> DataFrame:
+              keys: op.KeySet | None = None, clean: bool = True, seen: Observation | None = None) -> DataFrame:
         """The lazy plan of one extract, ready to write (``clean=False``
         leaves out X1/X2)."""
         x = spec.extract
-        df = self.read_records(spec) if x is Extract.RECORDS else self.read(spec)
+        df = self.read_records(spec, seen) if x is Extract.RECORDS else self.read(spec)
         if x in (Extract.WINDOW, Extract.RECORDS) and spec.window is not None:
             df = df.where(window_predicate(spec.window, df, self.ctx))
         if x is Extract.DISTINCT_KEYS:
@@ -163,7 +171,9 @@ class Loader:
         p = output_path(self.ctx, spec.layout, spec.out_folder(), spec.name)
         return p.removesuffix(FILE_EXTENSION) + ".parquet" if self.output_format == "parquet" else p
 
-    def write(self, spec: TableSpec, df: DataFrame) -> tuple[str, int]:
+    def write(self, spec: TableSpec, df: DataFrame, verify: Callable[[], None] | None = None) -> tuple[str, int]:
+        """Writes the extract's file; ``verify`` runs once the source was
+        read, before a staged overwrite begins, and raises to fail it."""
         path = self.path(spec)
         mode = write_mode(spec.layout)
         known_rows = None
@@ -176,12 +186,18 @@ class Loader:
             # overwrite, which removes the day's previous file when it
             # starts, then starts only after the source was read in full.
             df, known_rows = op.materialize(self.spark, df, f"staged_{spec.name}")
+            if verify is not None:
+                verify()
+                verify = None
         counted, obs = op.observe_rows(df, f"rows_{spec.name}_{spec.layout.value}")
         if self.output_format == "parquet":
             csv_sink.write_parquet(counted, path, mode)
         else:
             csv_sink.write_csv(counted, path, mode, single_file=spec.single_file, row_count=known_rows)
-        return path, int(obs.get.get("rows", 0))
+        rows = int(obs.get.get("rows", 0))
+        if verify is not None:
+            verify()
+        return path, rows
 
     # -- running -----------------------------------------------------------
 
@@ -200,14 +216,24 @@ class Loader:
 
     def run_one(self, spec: TableSpec) -> LoadResult:
         t0 = time.time()
+        seen = Observation() if spec.extract is Extract.RECORDS else None
+
+        def fields_landed() -> None:
+            absent = sorted(k for k, v in seen.get.items() if v is False)
+            if absent:
+                raise ValueError(f"no record has the fields {absent}")
+
         try:
             self._describe(spec)
-            path, rows = self.write(spec, self.frame(spec))
+            with self.sources.gate(spec.source), self._slots:
+                df = self.frame(spec, seen=seen)
+                path, rows = self.write(spec, df, fields_landed) if seen else self.write(spec, df)
             return self._result(spec, OK, path, rows, t0=t0)
         except Exception as e:  # isolate: report and go on
             return self._result(spec, ERROR, error=_message(e), t0=t0)
 
-    def run_family(self, parent: TableSpec, children: list[TableSpec], present: set[str]) -> list[LoadResult]:
+    def run_family(self, parent: TableSpec, children: list[TableSpec],
+                   present: set[tuple[str, str, str]], failed: dict[tuple[str, str], str]) -> list[LoadResult]:
         """G3 for one parent and its children.
 
         The delta is materialized first; then the parent file, the key set and
@@ -219,15 +245,18 @@ class Loader:
         try:
             self._describe(parent)
             marks = self.sources.marks(self.spark, parent.target_source, parent.target_table,
-                                       parent.created, parent.updated)
-            delta, _ = op.materialize(self.spark, self.frame(parent, marks=marks, clean=False),
-                                      f"delta_{parent.name}")
-            if parent.columns is None or parent.key in parent.columns:
-                key_source = delta
-            else:
-                raw = self.read(parent)
-                key_source = raw.where(fn.watermark_delta(raw, marks, self.ctx, parent.created,
-                                                          parent.updated, parent.update_floor))
+                                       parent.created, parent.updated, self.ctx.time_zone)
+            # The source is read once: the key comes along where the file
+            # does not list it, and is dropped from the file.
+            own_key = parent.columns is None or parent.key.lower() in {c.lower() for c in parent.columns}
+            wide = parent if own_key else parent.but(columns=(*parent.columns, parent.key))
+            with self.sources.gate(parent.source), self._slots:
+                delta, _ = op.materialize(self.spark, self.frame(wide, marks=marks, clean=False),
+                                          f"delta_{parent.name}")
+            file_rows = delta
+            if not own_key:
+                file_rows = delta.drop(parent.key)
+                file_rows = op.distinct_rows(file_rows) if parent.distinct else file_rows
         except Exception as e:
             return ([self._result(parent, ERROR, error=_message(e), t0=t0)]
                     + [self._result(c, SKIPPED, error=f"parent {parent.name} failed") for c in children])
@@ -235,19 +264,23 @@ class Loader:
         def parent_file() -> LoadResult:
             try:
                 self._describe(parent)
-                path, rows = self.write(parent, fn.sanitize(delta) if parent.sanitize else delta)
+                with self._slots:
+                    path, rows = self.write(parent, fn.sanitize(file_rows) if parent.sanitize else file_rows)
                 return self._result(parent, OK, path, rows, t0=t0)
             except Exception as e:
                 return self._result(parent, ERROR, error=_message(e), t0=t0)
 
         def one_child(child: TableSpec, keys: op.KeySet) -> LoadResult:
             t1 = time.time()
-            if _catalog_name(child) not in present:
+            if _catalog_of(child) in failed:
+                return self._result(child, ERROR, error=failed[_catalog_of(child)], t0=t1)
+            if _catalog_key(child) not in present:
                 return self._result(child, MISSING, t0=t1)
             try:
                 self._describe(child)
-                child_frame = self.frame(child.but(key=parent.key), marks=marks, keys=keys)
-                cpath, crows = self.write(child, child_frame)
+                with self.sources.gate(child.source), self._slots:
+                    child_frame = self.frame(child.but(key=parent.key), marks=marks, keys=keys)
+                    cpath, crows = self.write(child, child_frame)
                 return self._result(child, OK, cpath, crows, t0=t1)
             except Exception as e:
                 return self._result(child, ERROR, error=_message(e), t0=t1)
@@ -255,8 +288,9 @@ class Loader:
         with ThreadPoolExecutor(self.max_parallel + 1) as pool:
             parent_done = pool.submit(parent_file)
             try:
-                keys = op.materialize_keys(self.spark, op.delta_keys(key_source, parent.key), parent.key,
-                                           f"keys_{parent.name}")
+                with self._slots:
+                    keys = op.materialize_keys(self.spark, op.delta_keys(delta, parent.key), parent.key,
+                                               f"keys_{parent.name}")
             except Exception as e:
                 kids = [self._result(c, ERROR, error=f"keys of {parent.name} failed: {_message(e)}")
                         for c in children]
@@ -264,29 +298,43 @@ class Loader:
                 kids = list(pool.map(lambda c: one_child(c, keys), children))
             return [parent_done.result()] + kids
 
-    def present(self, specs: list[TableSpec]) -> set[str]:
-        """Names found in each catalog; only allow-listed names are
-        looked up and collected."""
+    def present(self, specs: list[TableSpec]) -> tuple[set[tuple[str, str, str]], dict[tuple[str, str], str]]:
+        """The (source, schema, name) found, and the error of each
+        (source, schema) whose catalog could not be asked; only allow-listed
+        names are looked up and collected."""
+        failed: dict[tuple[str, str], str] = {}
         groups: dict[tuple[str, str, bool], list[str]] = defaultdict(list)
         for s in specs:
             if s.target_source:
                 groups[(s.target_source, s.schema, True)].append(_catalog_name(s))
             else:
-                groups[(s.source, s.schema, self.sources.folds_case(self.spark, s.source))].append(s.table)
-
-        def lookup(group) -> set[str]:
+                try:
+                    fold = self.sources.folds_case(self.spark, s.source)
+                except Exception as e:
+                    failed[_catalog_of(s)] = f"catalog of {s.source}: {_message(e)}"
+                    continue
+                groups[(s.source, s.schema, fold)].append(s.table)
+
+        def lookup(group) -> set[tuple[str, str, str]]:
             (source, schema, fold), wanted = group
             wanted = list(dict.fromkeys(wanted))
-            cat = self.sources.catalog(self.spark, source, schema, wanted, fold_case=fold)
-            return set(existing_tables(self.spark, cat, wanted, None, fold_case=fold))
+            try:
+                cat = self.sources.catalog(self.spark, source, schema, wanted, fold_case=fold)
+                names = existing_tables(self.spark, cat, wanted, None, fold_case=fold)
+            except Exception as e:  # the other sources go on
+                failed[source, schema] = f"catalog of {source}: {_message(e)}"
+                return set()
+            return {(source, schema, n) for n in names}
 
         # One catalog query per source and schema, several at once.
         with ThreadPoolExecutor(max(1, min(8, len(groups)))) as pool:
-            return set().union(*pool.map(lookup, groups.items()))
+            return set().union(*pool.map(lookup, groups.items())), failed
 
     def run(self, specs: list[TableSpec]) -> list[LoadResult]:
-        """Run a manifest; returns one result per spec, in manifest order."""
-        present = self.present(specs)
+        """Run a manifest; returns one result per spec, in manifest
+        order but for children, which follow their parent (those without one
+        come last)."""
+        present, failed = self.present(specs)
         by_parent: dict[str, list[TableSpec]] = defaultdict(list)
         for s in specs:
             if s.extract is Extract.CASCADE:
@@ -295,8 +343,9 @@ class Loader:
         for s in specs:
             if s.extract is Extract.CASCADE:
                 continue
-            name = _catalog_name(s) if s.target_source else s.table
-            if name not in present:
+            if _catalog_of(s) in failed:
+                units.append(("failed", s))
+            elif _catalog_key(s) not in present:
                 units.append(("missing", s))
             elif s.extract is Extract.INCREMENT:
                 units.append(("family", s))
@@ -308,14 +357,16 @@ class Loader:
 
         def work(i_unit):
             i, (kind, s) = i_unit
+            if kind == "failed":
+                kids = by_parent.get(s.name, []) if s.extract is Extract.INCREMENT else []
+                return i, [self._result(x, ERROR, error=failed[_catalog_of(s)]) for x in (s, *kids)]
             if kind == "missing":
                 kids = by_parent.get(s.name, []) if s.extract is Extract.INCREMENT else []
                 return i, [self._result(s, MISSING)] + [self._result(c, SKIPPED, error=f"parent {s.name} missing")
                                                         for c in kids]
-            with self.sources.gate(s.source):  # the source's cap on concurrent extracts
-                if kind == "family":
-                    return i, self.run_family(s, by_parent.get(s.name, []), present)
-                return i, [self.run_one(s)]
+            if kind == "family":
+                return i, self.run_family(s, by_parent.get(s.name, []), present, failed)
+            return i, [self.run_one(s)]
 
         with ThreadPoolExecutor(self.max_parallel) as pool:
             for i, res in pool.map(work, enumerate(units)):
@@ -337,6 +388,15 @@ def _catalog_name(spec: TableSpec) -> str:
     return (spec.target_table or spec.table).lower() if spec.target_source else spec.table
 
 
+def _catalog_of(spec: TableSpec) -> tuple[str, str]:
+    """The source and schema whose catalog lists the extract's table."""
+    return spec.target_source or spec.source, spec.schema
+
+
+def _catalog_key(spec: TableSpec) -> tuple[str, str, str]:
+    return (*_catalog_of(spec), _catalog_name(spec))
+
+
 def _message(e: Exception) -> str:
     """The whole error text, for the report."""
     return f"{type(e).__name__}: {str(e).strip()}"

@@ -32,6 +32,12 @@ class LoadResult:
     seconds: float | None = None
 
 
+def lost(result: LoadResult) -> bool:
+    """An extract that should have a file and has none.  A table missing from
+    its catalog is no loss, nor are the children of one."""
+    return result.status == ERROR or (result.status == SKIPPED and not (result.error or "").endswith(" missing"))
+
+
 def report_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     """The report as a frame (one row per manifest entry; bounded)."""
     return local_frame(spark, [astuple(r) for r in results], REPORT_SCHEMA)

@@ -57,7 +57,7 @@ def csv_ready(df: DataFrame) -> DataFrame:
     """Types CSV cannot hold: binary → base64 text, nested → JSON text."""
     cols = []
     for f in df.schema.fields:
-        col = df[f.name]
+        col = df[f"`{f.name}`"]
         if isinstance(f.dataType, T.BinaryType):
             col = F.base64(col).alias(f.name)
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
@@ -76,24 +76,23 @@ def write_csv(
 ) -> bool:
     """Write ``df`` as a CSV directory at ``path``.
 
-    ``single_file`` collapses the output to one part file, but only when the
-    frame's row count (given, or counted here) is within
-    ``max_single_file_rows``; larger frames stay parallel.  Returns whether
-    one file was written.
+    ``single_file`` collapses the output to one part file, written by one
+    task.  A frame whose row count (given, or counted here) is above
+    ``max_single_file_rows`` is refused before anything is written; the
+    layout never depends on the size.  Returns whether one file was written.
     """
     out = csv_ready(df)
-    one = False
     if single_file:
         n = out.count() if row_count is None else row_count
-        one = n <= max_single_file_rows
-        if one:
-            out = out.coalesce(1)
+        if n > max_single_file_rows:
+            raise ValueError(f"{n} rows are too many for a single file (at most {max_single_file_rows}): {path}")
+        out = out.coalesce(1)
     options = dict(CSV_WRITE_OPTIONS)
     if len(out.columns) == 1:
         # A lone empty field is an empty line, which readers skip: quote it.
         options |= {"nullValue": '""', "emptyValue": '""'}
     out.write.mode(mode).options(**options).csv(path)
-    return one
+    return single_file
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -137,10 +137,10 @@ def test_staged_overwrite_keeps_the_previous_file_when_the_source_fails(spark, o
     schema = spark.read.parquet(f"{SF_SMALL}/nation.parquet").schema
     assert read_csv(spark, first.path, schema).count() == 25
     failing = good.but(derived=(("lost", "raise_error('source connection lost')"),))
-    staged = Loader(spark, ctx, _lake(), stage_overwrites=True).run([failing])[0]
+    staged = Loader(spark, ctx, _lake()).run([failing])[0]
     assert staged.status == "error" and "source connection lost" in staged.error
     assert read_csv(spark, first.path, schema).count() == 25  # the day's earlier file is intact
-    plain = Loader(spark, ctx, _lake()).run([failing])[0]
+    plain = Loader(spark, ctx, _lake(), stage_overwrites=False).run([failing])[0]
     assert plain.status == "error"
     assert not os.path.exists(first.path) or not any(p.startswith("part-") for p in os.listdir(first.path))
 

@@ -100,9 +100,9 @@ def test_empty_result_writes_header_only(spark, outdir):
 def test_single_file_is_size_checked(spark, outdir):
     df = spark.range(0, 1000, numPartitions=4)
     path = os.path.join(outdir, "big.csv")
-    one = write_csv(df, path, single_file=True, max_single_file_rows=100)
-    assert one is False
-    assert len([p for p in os.listdir(path) if p.startswith("part-")]) > 1
+    with pytest.raises(ValueError, match="1000 rows are too many"):
+        write_csv(df, path, single_file=True, max_single_file_rows=100)
+    assert not os.path.exists(path)
 
 
 def test_binary_is_base64(spark, outdir):
