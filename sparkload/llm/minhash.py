@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, WORD, col, map_batches, stored, table
 
-BANDS, ROWS, SMALL, PERCENT = 50, 6, 64, 80
+BANDS, ROWS, SMALL, PERCENT = 50, 6, 16, 80
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
