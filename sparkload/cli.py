@@ -72,7 +72,7 @@ RUN_TIME_PLANS = {"increment": "needs the warehouse's marks", "cascade": "needs
 
 def explain(loader: Loader, specs: list, out=None) -> None:
     """The formatted physical plan of each extract, built lazily: schemas,
-    JDBC partition bounds and one CRM record's keys are read, nothing is
+    JDBC partition bounds are read, nothing is
     written."""
     from .plans.explain import plan_text
     out = out or sys.stdout
