@@ -13,7 +13,11 @@ allowed.
 
 Ranks are one row per host and seed kind, edges one row per pair of hosts;
 every round is a join and a partial aggregate, and its result is written to
-the shared folder.  A null url, or one without ``://``, has an empty host and
+the shared folder.  Rounds go on until the ranks are settled: until a round
+changes them by at most ``TOLERANCE`` in sum.  As a round's change is at most
+``FOLLOW`` times that of the one before, what is still missing then is below
+``TOLERANCE * FOLLOW / (1 - FOLLOW)`` = 6e-12 over all hosts, far less than
+``LEAST``; for the same reason there are at most 163 rounds on any graph.  A null url, or one without ``://``, has an empty host and
 path and fits no rule; the empty host takes part like any other.  A null page
 body has no links.  Repeated rows count as often as they occur.
 """
@@ -28,7 +32,10 @@ from .common import LOWER, UPPER, col, lower_ascii, stored, table
 #: (verdict, host, path) of the rules to apply.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-ROUNDS, FOLLOW, LEAST = 10, 0.85, 1e-9
+FOLLOW, LEAST, TOLERANCE = 0.85, 1e-9, 1e-12
+#: Of the SQL form only, which can't loop: it equals the query where ten rounds
+#: settle the verdicts.
+ROUNDS = 10
 HREF = r"""(?i)href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -69,23 +76,28 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return to.groupBy("from_host", "to_host").agg(F.count(F.lit(1)).alias("links"))
 
 
-def spread(spark: SparkSession, seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, follow: float = FOLLOW) -> DataFrame:
-    """(kind, host, rank) after at most ``rounds`` rounds of
+def spread(spark: SparkSession, seeds: DataFrame, edges: DataFrame, follow: float = FOLLOW, tolerance: float = TOLERANCE) -> DataFrame:
+    """(kind, host, rank) after rounds of
     ``rank = (1 - follow) * seed + follow * (share of the ranks of the hosts
-    that point here)``, fewer when a round changes nothing.  seeds: (kind,
-    host, seed), edges: (kind, host, to_host, share)."""
+    that point here)``, until one changes the ranks by at most ``tolerance``
+    in sum.  seeds: (kind, host, seed), edges: (kind, host, to_host, share)."""
     seeds, edges = stored(spark, seeds, "url_seeds"), stored(spark, edges, "url_edges")
-    rank = seeds.select("kind", "host", ((1 - follow) * F.col("seed")).alias("rank"))
-    for _ in range(rounds if edges.take(1) else 0):
+    start = seeds.select("kind", "host", ((1 - follow) * F.col("seed")).alias("rank"), F.lit(0.0).alias("was"))
+    rank = start.select("kind", "host", "rank")
+    change = bound = 2 * (1 - follow) if edges.take(1) else 0.0  # bound: on the change of any graph, whatever the rounding
+    while min(change, bound) > tolerance:
         flow = (rank.join(edges, ["kind", "host"])
-                .select("kind", F.col("to_host").alias("host"), (F.lit(follow) * F.col("rank") * F.col("share")).alias("rank")))
-        start = seeds.select("kind", "host", ((1 - follow) * F.col("seed")).alias("rank"))
-        rank = stored(spark, flow.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "url_rank")
+                .select("kind", F.col("to_host").alias("host"), (F.lit(follow) * F.col("rank") * F.col("share")).alias("rank"), F.lit(0.0).alias("was")))
+        before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("was"))
+        both = flow.unionByName(start).unionByName(before).groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("was").alias("was"))
+        both = stored(spark, both, "url_rank")
+        change, bound = both.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0, bound * follow
+        rank = both.select("kind", "host", "rank")
     return rank
 
 
-def host_verdicts(spark: SparkSession, pages: DataFrame, urls: DataFrame, rounds: int = ROUNDS,
-                  follow: float = FOLLOW, least: float = LEAST) -> DataFrame:
+def host_verdicts(spark: SparkSession, pages: DataFrame, urls: DataFrame, follow: float = FOLLOW,
+                  least: float = LEAST, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust, by_links for each host with a rank."""
     kind = F.when(F.col("by_rule") == "allow", "trust").otherwise("distrust")
     counts = urls.where(F.col("by_rule").isNotNull()).groupBy(kind.alias("kind"), "host").agg(F.count(F.lit(1)).alias("n"))
@@ -97,18 +109,18 @@ def host_verdicts(spark: SparkSession, pages: DataFrame, urls: DataFrame, rounds
             .unionByName(pairs.select(F.lit("distrust").alias("kind"), F.col("to_host").alias("host"), F.col("from_host").alias("to_host"), "links")))
     out = both.groupBy("kind", "host").agg(F.sum("links").alias("all_links"))
     edges = both.join(out, ["kind", "host"]).select("kind", "host", "to_host", (F.col("links") / F.col("all_links")).alias("share"))
-    rank = spread(spark, seeds, edges, rounds, follow)
+    rank = spread(spark, seeds, edges, follow, tolerance)
     of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0))
     hosts = rank.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") > F.lit(least))
     return hosts.withColumn("by_links", F.when(bad, "block").otherwise("allow"))
 
 
-def filter_urls(spark: SparkSession, pages: DataFrame, rules=RULES, rounds: int = ROUNDS, follow: float = FOLLOW,
-                least: float = LEAST) -> DataFrame:
+def filter_urls(spark: SparkSession, pages: DataFrame, rules=RULES, follow: float = FOLLOW,
+                least: float = LEAST, tolerance: float = TOLERANCE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every row."""
     urls = judged(pages, rules)
-    hosts = stored(spark, host_verdicts(spark, pages, urls, rounds, follow, least), "url_hosts")
+    hosts = stored(spark, host_verdicts(spark, pages, urls, follow, least, tolerance), "url_hosts")
     verdict = F.coalesce(F.col("by_rule"), F.col("by_links"), F.lit("allow"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
     return urls.join(hosts, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), zero("trust"), zero("distrust"))

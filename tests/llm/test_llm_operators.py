@@ -202,6 +202,34 @@ def test_distrust_flows_backwards(spark):
     assert out["fan.org"].distrust > 0 and out["fan.org"].verdict == "block" and out["fan.org"].rule is None
 
 
+def test_ranks_of_a_long_chain_are_converged(spark):
+    """Hosts 1 to 14 links from a blocked one, against ranks that are iterated
+    until they stand still."""
+    links = {f"h{i}.org": [f"h{i - 1}.org" if i > 1 else "bad.net"] for i in range(1, 15)}
+    links |= {"bad.net": [], "good.com": ["friend.org", "h1.org"], "friend.org": []}
+    path = {"bad.net": "es/"}
+    pages = [(i, f"http://{h}/{path.get(h, '')}", "".join(f'<a href="http://{t}/">' for t in to)) for i, (h, to) in enumerate(links.items())]
+    out = {r.host: r for r in url_filters.filter_urls(spark, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    back = {h: [f for f, to in links.items() if h in to] for h in links}
+
+    def converged(seed, edges):
+        rank = dict.fromkeys(edges, 0.0)
+        for _ in range(2000):
+            new = {h: (1 - url_filters.FOLLOW) * (h == seed) for h in edges}
+            for h, to in edges.items():
+                for t in to:
+                    new[t] += url_filters.FOLLOW * rank[h] / len(to)
+            rank = new
+        return rank
+
+    trust, distrust = converged("good.com", links), converged("bad.net", back)
+    for h in links:
+        assert abs(out[h].trust - trust[h]) < 1e-11 and abs(out[h].distrust - distrust[h]) < 1e-11
+        want = "block" if h == "bad.net" or (h != "good.com" and distrust[h] > max(trust[h], url_filters.LEAST)) else "allow"
+        assert out[h].verdict == want
+    assert {out[f"h{i}.org"].verdict for i in range(2, 15)} == {"block"} and out["h12.org"].rule is None
+
+
 def test_near_copies_in_crowded_buckets(spark):
     """Crowded buckets hold several components; links must equal brute force."""
     r = random.Random(11)
