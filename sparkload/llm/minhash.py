@@ -30,6 +30,9 @@ A document with fewer than ``k`` words has its whole sequence as one shingle.
 One without words (or with a null text) has an empty set, links to nothing and
 stays.  Rows with the same id count as one document: they are linked when any
 of their texts is.  A null id never stands for a class that has another id.
+
+``dedup`` compares rows, not ids: every row gets a key of its own, and one row
+of each group stays, that with the smallest id (nulls last, then by key).
 """
 
 from __future__ import annotations
@@ -216,10 +219,15 @@ def groups(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = PERC
 
 
 def dedup(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` without those whose group has a smaller id."""
-    gone = groups(spark, docs, k, percent).where("component_id < doc_id").select(F.col("doc_id").alias("__mh_gone")).distinct()
-    gone = stored(spark, gone, "minhash_gone")
-    return docs.join(gone, col(docs, "doc_id") == F.col("__mh_gone"), "left_anti")
+    """One row of each group of near-duplicate rows, whatever their ids."""
+    rows = stored(spark, docs.withColumn("__mh_key", F.monotonically_increasing_id()), "minhash_keyed")  # once: a rerun may number anew
+    keyed = rows.select(F.col("__mh_key").alias("doc_id"), col(rows, "text").alias("text"))
+    found = groups(spark, keyed, k, percent).select(F.col("doc_id").alias("__mh_key"), "component_id")
+    found = stored(spark, found.join(rows.select("__mh_key", col(rows, "doc_id").alias("id")), "__mh_key"), "minhash_found")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("__mh_key"))
+    kept = found.groupBy("component_id").agg(F.min(order).alias("least")).select(F.col("least.__mh_key").alias("__mh_key"))
+    gone = stored(spark, found.select("__mh_key").join(kept, "__mh_key", "left_anti"), "minhash_gone")
+    return rows.join(gone, "__mh_key", "left_anti").drop("__mh_key")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,6 +254,19 @@ def test_near_copies_in_crowded_buckets(spark):
         assert out == label
 
 
+def test_dedup_leaves_one_row_of_each_group(spark):
+    """Rows that repeat their group's smallest id, near copies of them, groups
+    with null ids, and different texts under one id or none."""
+    r = random.Random(5)
+    a, b, c, d, e, f = (" ".join(f"w{r.randrange(5000)}" for _ in range(100)) for _ in range(6))
+    rows = [(1, a, "a")] * 3 + [(7, a + " more", "a"), (None, a, "b")] + [(None, b, "a")] * 3 + [(None, c, "a"), (4, c, "b"), (None, c + " more", "a")]
+    rows += [(9, d, "a"), (9, e, "a"), (2, e, "b"), (None, f, "a"), (None, None, "a"), (None, None, "a")]
+    r.shuffle(rows)
+    out = minhash.dedup(spark, frame(spark, rows).repartition(5)).collect()
+    want = [(1, a), (None, b), (4, c), (9, d), (2, e), (None, f), (None, None), (None, None)]
+    assert sorted(((x.doc_id, x.text) for x in out), key=str) == sorted(want, key=str)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(1, 300).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
     out = minhash.components(spark, links).collect()
