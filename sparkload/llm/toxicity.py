@@ -292,18 +292,20 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> tuple[dict | None, float]:
     """The network and the share of label 1 in its sample.  The driver gets
-    the sample's ids, then its texts."""
+    the sample's ids, then its texts, one for each id."""
     rows = labels.select(col(labels, "doc_id").cast("long").alias("id"), col(labels, "toxic").cast("int").alias("toxic"))
     rows = rows.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
+    doc_id, text = col(docs, "doc_id").cast("long"), col(docs, "text")
+    short = docs.where(F.length(text) <= TRAIN_CHARS).select(doc_id.alias("id"), text.alias("text"))
+    rows = rows.join(short.select("id").distinct(), "id", "left_semi")  # labels without such a text take no place
     label: dict[int, int] = {}
     for value, n in ((1, positives), (0, negatives)):
         some = rows.where((F.col("toxic") > 0) == bool(value)).orderBy(F.xxhash64("id"), "id").limit(n)
         label |= {r.id: value for r in some.collect()}
     if not label:
         return None, 0.0
-    doc_id, text = col(docs, "doc_id").cast("long"), col(docs, "text")
-    found = docs.where(doc_id.isin(list(label)) & (F.length(text) <= TRAIN_CHARS)).select(doc_id.alias("id"), text.alias("text"))
-    texts = dict(sorted(found.limit(2 * (positives + negatives)).collect()))  # ids may repeat
+    found = short.where(F.col("id").isin(list(label))).groupBy("id").agg(F.max("text").alias("text"))  # ids may repeat
+    texts = dict(sorted(found.collect()))
     y = [label[i] for i in texts]
     return train(list(texts.values()), y), sum(y) / len(y) if y else 0.0
 
@@ -320,8 +322,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``."""
+    """The rows of ``docs`` that score below ``threshold``; all rows when the
+    sample has not both kinds of label."""
     p, share = fit(spark, docs, labels)
+    if p is None:
+        return docs
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores = score_texts(p, batch.column("text").to_pylist(), share)

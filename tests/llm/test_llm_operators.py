@@ -283,6 +283,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert out.where("held_out != (crc32(cast(doc_id as string)) % 5 = 0)").count() == 0
 
 
+def test_toxic_sample_of_repeated_ids_and_of_one_label(spark):
+    rows = [(1, "awful words here", "a")] * 200 + [(i, f"text number {i} of a quiet day", "a") for i in range(20, 60)]
+    docs = frame(spark, rows).coalesce(1)
+    labels = spark.createDataFrame([(r, int(r % 2)) for r in {i for i, *_ in rows} | set(range(1000, 1400))], "doc_id long, toxic int")
+    p, share = toxicity.fit(spark, docs, labels, 15, 15)  # one id has more rows than twice the sample
+    assert p is not None and share == 0.5
+    assert toxicity.drop_toxic(spark, docs, labels.where("toxic = 1")).count() == len(rows)
+
+
 def test_toxic_words_never_come_from_other_columns(spark):
     docs = frame(spark, [(i, f"text number {i} of a quiet day", "toxic" if i % 2 else "fine") for i in range(40)])
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
