@@ -39,12 +39,12 @@ from pyspark.sql import Window as W
 
 from ..context import scratch_path
 from .bpe import CHUNKS
-from .common import Memo, col, map_partitions, stored, table, text_of
+from .common import Memo, col, map_partitions, stored, table, text_of, worker_state
 from .token_counts import load, slices
 
 FILE_BYTES = 256 << 20
-#: Parts that a worker remembers, twice (Memo): about 150 bytes each.
-MEMO = 800_000
+#: Bytes of the parts that a worker remembers, twice (Memo).
+MEMO = 96 << 20
 END_ID = 0
 NO_ID = -(1 << 63)
 MANIFEST = "part int, file int, path string, width int, n_records long, n_ids long, n_bytes long"
@@ -154,9 +154,8 @@ class Encoder:
                 yield ids.tobytes()
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return worker_state(("records", path), lambda: Encoder(path))
 
 
 def open_store(folder: str) -> tuple[fs.FileSystem, str]:

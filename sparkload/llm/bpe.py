@@ -28,7 +28,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Memo, col, map_batches, table, text_of
+from .common import Memo, col, map_batches, table, text_of, worker_state
 from .token_counts import slices
 
 #: White space (the Unicode property), as inside a character class.
@@ -91,7 +91,7 @@ class BytePairs:
         self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
         self.digits = {i: str(i) for i in self.bytes_of}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.parts, self.chunks = Memo(self.merge, 100_000), Memo(self.chunk, 250_000)
+        self.parts, self.chunks = Memo(self.merge, 16 << 20), Memo(self.chunk)
 
     def merge(self, part: str) -> bytes:
         """Ids of one part of the pattern, as 32-bit numbers."""
@@ -136,10 +136,9 @@ class BytePairs:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@cache
 def loaded(path: str) -> BytePairs:
     """This worker's vocabulary of a file."""
-    return BytePairs(path)
+    return worker_state(("bpe", path), lambda: BytePairs(path))
 
 
 def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,55 +84,90 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch],
     return map_partitions(df, run, schema)
 
 
-class Memo(dict):
-    """A bounded memo of ``compute(key)``: two generations of at most ``size``
-    entries, the older one dropped when the younger is full.  Frequent keys
-    move over, so they stay; a dropped key is only computed again."""
+_state: list = [None, None]
+
+
+def worker_state(key, make: Callable):
+    """What a worker keeps between tasks (a loaded vocabulary and its memo), of
+    one ``key`` at a time: a worker that goes on to another operator's tasks
+    lets go of the last one's."""
+    if _state[0] != key:
+        _state[:] = None, None
+        _state[:] = key, make()
+    return _state[1]
+
 
-    def __init__(self, compute: Callable, size: int = 400_000):
-        self.compute, self.size, self.old = compute, size, {}
+class Memo(dict):
+    """A memo of ``compute(key)`` in bounded space: two generations of at most
+    ``size`` bytes each, the older one dropped when the younger is full.
+    Frequent keys move over, so they stay; a dropped key is only computed
+    again.  Keys of over ``LONG`` characters are never kept."""
+
+    LONG = 64
+    #: Bytes of an entry besides its characters: the objects and the table's place.
+    ENTRY = 200
+
+    def __init__(self, compute: Callable, size: int = 48 << 20):
+        self.compute, self.size, self.used, self.old = compute, size, 0, {}
+
+    def keep(self, key, value) -> None:
+        cost = self.ENTRY + 2 * len(key) + (len(value) if isinstance(value, bytes) else 8)
+        if len(key) > self.LONG or cost > self.size // 64:
+            return
+        if self.used + cost > self.size:
+            self.old = dict(self)
+            self.clear()
+            self.used = 0
+        self[key] = value
+        self.used += cost
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
+        self.keep(key, value)
         return value
 
-    def fill(self, keys, compute_many: Callable[[list], list]) -> None:
-        """Computes the missing ones of the different ``keys`` in one call.  The memo may
-        grow by the keys of one call beyond its size."""
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        missing = []
-        for key in [k for k in keys if k not in self]:
-            value = self.old.get(key)
+    def values_of(self, keys: list, compute_many: Callable[[list], list]) -> list:
+        """The values of different ``keys``; the missing ones are computed in
+        one call."""
+        found, missing = list(map(self.get, keys)), []
+        for i in [i for i, v in enumerate(found) if v is None]:
+            found[i] = value = self.old.get(keys[i])
             if value is None:
-                missing.append(key)
+                missing.append(i)
             else:
-                self[key] = value
+                self.keep(keys[i], value)
         if missing:
-            self.update(zip(missing, compute_many(missing), strict=True))
+            for i, value in zip(missing, compute_many([keys[i] for i in missing]), strict=True):
+                found[i] = value
+                self.keep(keys[i], value)
+        return found
 
     def of(self, parts: list[list[str]], compute_many: Callable[[list], list]) -> tuple[list, np.ndarray, np.ndarray]:
         """For lists of strings: the values of their different strings, and
         for each string in turn the number of its value and of its list."""
-        flat = pa.array([p for some in parts for p in some], pa.string()).dictionary_encode()
-        keys = flat.dictionary.to_pylist()
-        self.fill(keys, compute_many)
+        flat = pa.array([p for some in parts for p in some], pa.string())
         lists = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), np.int64, len(parts)))
-        return list(map(self.__getitem__, keys)), flat.indices.to_numpy(), lists
+        return self.of_array(flat, lists, compute_many)
+
+    def of_array(self, flat: pa.Array, lists: np.ndarray, compute_many: Callable[[list], list]) -> tuple[list, np.ndarray, np.ndarray]:
+        flat = flat.dictionary_encode()
+        return self.values_of(flat.dictionary.to_pylist(), compute_many), flat.indices.to_numpy(), lists
 
     def joined(self, parts: list[list[str]], compute_many: Callable[[list], list], kind: str) -> list[np.ndarray]:
         """For each list, its strings' values one after another; the values
         are bytes of numbers of a numpy ``kind``."""
-        values, at, lists = self.of(parts, compute_many)
+        return self._joined(*self.of(parts, compute_many), len(parts), kind)
+
+    def joined_array(self, flat: pa.Array, lists: np.ndarray, n_lists: int, compute_many: Callable[[list], list], kind: str) -> list[np.ndarray]:
+        """The same for an array of all strings and the number of each one's list."""
+        return self._joined(*self.of_array(flat, lists, compute_many), n_lists, kind)
+
+    @staticmethod
+    def _joined(values: list, at: np.ndarray, lists: np.ndarray, n_lists: int, kind: str) -> list[np.ndarray]:
         size = np.fromiter(map(len, values), np.int64, len(values)) // np.dtype(kind).itemsize
         numbers, n = np.frombuffer(b"".join(values), kind), size[at]
         places = np.repeat((np.cumsum(size) - size)[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        ends = np.cumsum(np.bincount(lists, n, len(parts)).astype(np.int64))
+        ends = np.cumsum(np.bincount(lists, n, n_lists).astype(np.int64))
         return np.split(numbers[places], ends[:-1])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_output, bpe, fingerprints, license_scan, minhash, mixing, quality_rules, token_counts, toxicity, url_filters
+from . import binary_output, bpe, fingerprints, license_scan, minhash, mixing, packing, quality_rules, target_sampling, token_counts, toxicity, url_filters, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.op1,
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_binary_output": binary_output.op8,
     "op9_minhash": minhash.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_packing": packing.op11,
+    "op12_whitening": whitening.op12,
+    "op13_target_sampling": target_sampling.op13,
 }
 
 ORACLES: dict[str, str] = {

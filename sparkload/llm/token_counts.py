@@ -21,7 +21,7 @@ empty: 0 bytes, 0 tokens.  Repeated rows each get their row.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..context import scratch_path
-from .common import Memo, col, map_batches, stored, table, text_of
+from .common import Memo, col, map_batches, stored, table, text_of, worker_state
 
 LIMIT = 2048
 #: Characters that one call of the library gets.
@@ -63,16 +63,15 @@ def load(path: str):
     return tokenizer
 
 
-_counters: dict[str, Memo] = {}
-
-
-def word_counter(path: str) -> tuple[Memo, object]:
+def word_counter(path: str) -> tuple[Memo, Callable]:
     """This worker's memo of word counts of a tokenizer."""
-    if path not in _counters:
+
+    def make() -> tuple[Memo, Callable]:
         tokenizer = load(path)
         many = lambda words: [len(e) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        _counters[path] = Memo(lambda word: many([word])[0]), many
-    return _counters[path]
+        return Memo(lambda word: many([word])[0]), many
+
+    return worker_state(("counts", path), make)
 
 
 def count_tokens(path: str, texts: list[str]) -> list[int]:

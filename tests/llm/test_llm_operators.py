@@ -54,6 +54,8 @@ def folder(spark, tmp_path_factory):
     schema = "page_id long, url string, html string"
     spark.createDataFrame(pages, schema).withColumns({c: F.lit("clash") for c in ("host", "rule", "rank", "kind")}).write.parquet(f"{root}/odd/pages.parquet")
     spark.createDataFrame([], schema).write.parquet(f"{root}/empty/pages.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{root}/empty/embeddings.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{root}/empty/benchmark.parquet")
     return root
 
 

@@ -1,0 +1,295 @@
+"""Packing, whitening and resampling against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from test_llm_operators import CLASH, ODD, ROWS, frame
+
+from sparkload.llm import common, packing, target_sampling, whitening
+from sparkload.llm.queries import QUERIES
+from sparkload.llm.token_counts import load
+
+SF = "/root/testdata/sf0.001"
+CLASHING = [*CLASH, "length", "seq", "sequence_id", "offset", "number", "before", "start", "piece", "ids", "weight", "rank", "block", "place", "x", "whitened"]
+
+
+def one_by_one(lengths, limit):
+    """Best-two-fit, one sequence after another."""
+    left, out = sorted(lengths), []
+    while left:
+        has, gap = [left.pop()], 0
+        gap = limit - has[0]
+        while True:
+            for x in reversed(sorted(left)):
+                if x <= gap:
+                    left.remove(x)
+                    has.append(x)
+                    gap -= x
+            least = min(has)
+            pairs = [(a + b, a) for i, a in enumerate(left) for j, b in enumerate(left) if i != j and a >= b and least < a + b <= gap + least] if gap and len(has) > 1 else []
+            if not pairs:
+                break
+            total, a = max(pairs)
+            has.remove(least)
+            left.append(least)
+            left.remove(a)
+            left.remove(total - a)
+            has += [a, total - a]
+            gap -= total - least
+            left.sort()
+        out.append(tuple(sorted(has)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_equals_packing_one_by_one(seed):
+    r = random.Random(seed)
+    limit = r.choice([10, 37, 64])
+    lengths = [r.choice([r.randint(1, limit), r.randint(1, max(2, limit // 3)), limit // 2]) for _ in range(120)]
+    counts = np.bincount(lengths, minlength=limit + 1)
+    patterns = packing.plan(counts, limit)
+    got = sorted(tuple(sorted(k for k, n in pattern.items() for _ in range(n))) for times, pattern in patterns for _ in range(times))
+    assert got == one_by_one(lengths, limit)
+
+
+def test_plans_are_short_and_tight_for_many_documents():
+    r = np.random.default_rng(3)
+    lengths = np.minimum(1 + r.lognormal(5, 1.2, 300_000).astype(int), 2048)
+    counts = np.bincount(lengths, minlength=2049) * 1000  # 300 million documents
+    patterns = packing.plan(counts, 2048)
+    assert len(patterns) < 20_000
+    used = sum(times for times, _ in patterns)
+    assert used <= 1.002 * (counts * np.arange(2049)).sum() / 2048
+    again = Counter()
+    for times, pattern in patterns:
+        assert sum(k * n for k, n in pattern.items()) <= 2048
+        for k, n in pattern.items():
+            again[k] += n * times
+    assert again == Counter({k: int(n) for k, n in enumerate(counts) if n})
+
+
+def checked(rows, texts, limit):
+    """Pieces are whole, in place and without gaps."""
+    library = load(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for i, t in texts:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        for k, at in enumerate(range(0, len(ids), limit)):
+            some = ids[at:at + limit]
+            want[i, k, at, len(some), zlib.crc32(struct.pack(f"<{len(some)}I", *some))] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    inside = defaultdict(list)
+    for r in rows:
+        inside[r.sequence_id].append((r.offset, r.length))
+    for some in inside.values():
+        at = 0
+        for offset, length in sorted(some):
+            assert offset == at
+            at += length
+        assert at <= limit
+    return len(inside)
+
+
+def test_packing_of_odd_rows(spark):
+    rows = ROWS + ODD * 3 + [(90 + i, "it's <|endoftext|> don't 'x é́ ñandú İstanbul ½ 3²4 a—b x\x1cy \x85z ＡＢ ÀÉ×÷ ß", None) for i in range(5)]
+    docs = frame(spark, rows, False).withColumns({c: F.lit("clash") for c in CLASHING}).repartition(5)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    n = checked(packing.pack(spark, packing.encode_pieces(docs, path)).collect(), [(i, t) for i, t, _ in rows], 2048)
+    assert n > 1
+    packed = packing.pack(spark, packing.encode_pieces(docs, path, limit=50, with_ids=True), limit=50)
+    sizes = [len(r.ids) for r in packing.sequences(packed).collect()]
+    total = packed.agg(F.sum("length")).first()[0]
+    assert sum(sizes) == total and max(sizes) <= 50 and len(sizes) <= 1.05 * math.ceil(total / 50)
+
+
+def test_packing_of_a_table(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    rows = QUERIES["op11_packing"](spark, SF).collect()
+    n = checked(rows, docs, 2048)
+    assert n <= math.ceil(sum(r.length for r in rows) / 2048) + 1
+
+
+def test_memo_is_bounded_in_bytes():
+    memo = common.Memo(lambda k: k.encode(), 1 << 20)
+    for i in range(200):
+        memo.values_of([f"{i} {j} " + "語" * 30 for j in range(100)] + [f"{i}" + "漢" * 1000], lambda ks: [k.encode() * 4 for k in ks])
+    cost = sum(memo.ENTRY + 2 * len(k) + len(v) for some in (memo, memo.old) for k, v in some.items())
+    assert cost <= 2 << 20 and max(map(len, memo)) <= memo.LONG
+    assert memo.values_of(["a", "漢" * 100], lambda ks: [b"x" for _ in ks]) == [b"x", b"x"]
+
+
+def test_a_worker_keeps_one_state():
+    made = []
+    one = common.worker_state(("a",), lambda: made.append(1) or object())
+    assert common.worker_state(("a",), lambda: made.append(1)) is one and len(made) == 1
+    common.worker_state(("b",), object)
+    assert common.worker_state(("a",), lambda: made.append(1) or object()) is not one
+
+
+# -- whitening ---------------------------------------------------------------
+
+
+def symmetric(values, seed=0):
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values), len(values))))[0]
+    a = q * np.array(values, float) @ q.T
+    return (a + a.T) / 2
+
+
+@pytest.mark.parametrize("values", [[5, 4, 3, 2, 1], [1.0] * 6, [3, 3, 3, 1, 1, 0], [1e8, 1e4, 1, 1e-3], [7], [2, 2], [0, 0, 0],
+                                    [1 + 1e-9 * k for k in range(12)], list(range(1, 65)), [4, -1, -3, 2]])
+def test_leading_components_equal_eigh(values):
+    a = symmetric(values)
+    e, x = whitening.leading(a, min(8, len(values)))
+    want = np.sort(values)[::-1][:len(e)]
+    size = max(abs(np.array(values, float)).max(), 1e-300)
+    assert np.allclose(e, want, rtol=0, atol=1e-13 * size)
+    assert np.abs(x.T @ x - np.eye(len(e))).max() < 1e-13
+    assert np.abs(a @ x - x * e).max() < 1e-13 * len(values) * size
+
+
+def test_polar_factor_is_orthogonal():
+    a = symmetric([3, -2, 1e-9, -1e-7, 5])
+    u = whitening.polar(a)
+    assert np.abs(u @ u - np.eye(5)).max() < 1e-12 and np.allclose(u, np.linalg.svd(a)[0] @ np.linalg.svd(a)[2], atol=1e-6)
+
+
+def plain_whitening(rows):
+    """Over Python integers and numpy's own eigenvalues."""
+    fit = [(i, v) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    x = [[math.floor(1024 * float(np.float32(c))) + 100_000 for c in v] for _, v in fit]
+    n, s = len(x), [sum(c) for c in zip(*x)]
+    z = np.array([[n * c - t for c, t in zip(v, s)] for v in x], float) / n
+    e, q = np.linalg.eigh(z.T @ z / n)
+    e, q = e[::-1][:8], q[:, ::-1][:, :8]
+    total = np.trace(z.T @ z / n)
+    deviation = [sum((n * c - t)**2 for c, t in zip(v, s)) for v in x]
+    return [(i, n, d, w, e / total) for (i, _), d, w in zip(fit, deviation, z @ q / np.sqrt(e))]
+
+
+def test_whitening_against_plain_numbers(spark, tmp_path):
+    r = random.Random(2)
+    rows = [(i, [r.gauss(k, 1 + k) for k in range(12)]) for i in range(300)]
+    rows += [(5, rows[5][1]), (None, rows[6][1]), (None, rows[6][1]), (700, None), (701, []), (702, [None] * 12), (703, [1.0] * 11 + [float("nan")]),
+             (704, [1.0] * 11 + [float("inf")]), (705, [1.0, 2.0]), (706, [3e38] * 12), (707, [1.0] * 11 + [None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit("clash") for c in CLASHING})
+    df.repartition(4).write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = QUERIES["op12_whitening"](spark, str(tmp_path)).collect()
+    want = plain_whitening([(i, v) for i, v in rows if i is None or i < 700])
+    assert len(out) == 8 * len(want) and {x.n for x in out} == {303}
+    signs = {c: 1 for c in range(1, 9)}
+    by = {(x.vec_id, x.component): x for x in out}
+    for i, n, d, w, share in want:
+        for c in range(1, 9):
+            x = by[i, c]
+            if i == 0:
+                signs[c] = 1 if x.whitened * w[c - 1] > 0 else -1
+            assert (x.n, x.deviation, int(x.deviation_exact)) == (n, d, d)
+            assert abs(signs[c] * x.whitened - w[c - 1]) < 1e-9 and abs(x.explained / share[c - 1] - 1) < 1e-9 and x.identity_error < 1e-9
+
+
+def test_whitening_of_flat_and_large_vectors(spark):
+    flat = spark.createDataFrame([(i, [1.0, float(i), 2.0 * i]) for i in range(10)], "vec_id long, embedding array<double>")
+    out = {r.vec_id: r for r in whitening.whiten(spark, flat).collect()}
+    assert all(r.whitened[0] is not None and r.whitened[1:] == [None, None] for r in out.values())
+    assert abs(whitening.identity_error(whitening.whiten(spark, flat))) < 1e-9
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "vec_id long, embedding array<double>")
+    white = whitening.whiten(spark, same)
+    assert [list(r.whitened) for r in white.collect()] == [[None, None]] * 5 and whitening.identity_error(white) == 0.0
+    huge = spark.createDataFrame([(0, [1e12, 0.0]), (1, [-1e12, 1.0]), (2, [0.0, 5.0])], "vec_id long, embedding array<double>")
+    out = whitening.whiten(spark, huge).orderBy("vec_id").collect()
+    x = [[math.floor(1024 * c) + 100_000 for c in v] for v in ([1e12, 0.0], [-1e12, 1.0], [0.0, 5.0])]
+    s = [sum(c) for c in zip(*x)]
+    exact = [sum((3 * c - t)**2 for c, t in zip(v, s)) for v in x]
+    assert [int(r.deviation_exact) for r in out] == exact and [r.deviation for r in out] == [d if d < 1 << 63 else None for d in exact]
+
+
+# -- resampling --------------------------------------------------------------
+
+
+def plain_words(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    out, word = [], ""
+    for c in text + " ":
+        if c in "0123456789" or "a" <= c <= "z" or ord(c) > 127:
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def plain_grams(text):
+    w = plain_words(text)
+    return w, [zlib.crc32(g.encode()) % 10_000 for g in w + [f"{a} {b}" for a, b in zip(w, w[1:])]]
+
+
+def plain_resampling(docs, target):
+    s, t = Counter(), Counter()
+    for n, texts in ((s, [x for _, x in docs]), (t, target)):
+        for text in texts:
+            n.update(plain_grams(text)[1])
+    S, T = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (S + 10_000) / ((s[b] + 1) * (T + 10_000))))
+    rows = []
+    for i, text in docs:
+        w, grams = plain_grams(text)
+        weight = sum(map(gain, grams)) // len(grams) if grams else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        rows.append([i, len(grams), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(w)])
+    able = sorted((r for r in rows if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    rank = {id(r): k for k, r in enumerate(able[:25 * len(able) // 100], 1)}
+    return sorted(((*r[:4], rank.get(id(r))) for r in rows), key=str)
+
+
+def test_resampling_against_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    target = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    out = QUERIES["op13_target_sampling"](spark, SF).collect()
+    assert sorted(((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in out), key=str) == plain_resampling(docs, target)
+
+
+def test_resampling_of_odd_rows(spark):
+    rows = [(i, t) for i, t, _ in ROWS] + [(12, "word " * 30)] * 9 + [(None, " ".join(WORDS) * 2) for WORDS in (["One", "two"] * 15,)] + [(None, None), (40, "\x00é\x00Ä\xa0b " * 12)]
+    rows += [(50 + i, "x" * 70 + " y" * 30 + f" {i} " + "z" * 200 + " é" * 3) for i in range(4)]
+    df = frame(spark, [(i, t, None) for i, t in rows], False).withColumns({c: F.lit("clash") for c in CLASHING}).repartition(3)
+    target = spark.createDataFrame([("river house under y y",), (None,)], "text string")
+    out = target_sampling.draw(spark, target_sampling.weigh(df, target_sampling.bucket_gains(df, target))).collect()
+    assert sorted(((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in out), key=str) == plain_resampling(rows, ["river house under y y", None])
+    drawn = target_sampling.sample(spark, df, target).collect()
+    assert sorted(r["rank"] for r in drawn) == list(range(1, len(drawn) + 1)) and all(r.text for r in drawn)
+
+
+def test_features_of_slices_equal_those_of_whole_texts(monkeypatch):
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["a", "bb", "été", "d" * 90, "7"]) for _ in range(r.randrange(200))).encode() for _ in range(30)] + [None, b"", b"- -", b"q" * 500]
+
+    def counts(size):
+        out = Counter()
+        for doc, bucket, single in target_sampling.features(texts, size):
+            out.update(zip(doc.tolist(), bucket.tolist(), [single] * len(doc)))
+        return out
+
+    for grams in (1, 2, 3):
+        monkeypatch.setattr(target_sampling, "GRAMS", grams)
+        want = Counter()
+        for i, t in enumerate(texts):
+            w = plain_words((t or b"").decode())
+            for n in range(1, grams + 1):
+                want.update((i, zlib.crc32(" ".join(w[j:j + n]).encode()) % 10_000, n == 1) for j in range(len(w) - n + 1))
+        assert counts(1 << 20) == counts(64) == counts(7) == want
+
+
+def test_resampling_with_an_empty_target(spark):
+    df = frame(spark, ROWS, False)
+    gains = target_sampling.bucket_gains(df, df.limit(0))
+    assert (gains <= 0).any() and target_sampling.weigh(df, gains).count() == len(ROWS)
