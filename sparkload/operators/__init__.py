@@ -4,9 +4,10 @@
 from .counting import observe_rows
 from .distinct import distinct_keys, distinct_rows
 from .incremental import cascade, delta, delta_keys, read_marks, watermark
+from .intervals import key_intervals
 from .materialize import KeySet, materialize, materialize_keys
 from .projection import drop_envelope, resolve_columns, select_columns, with_derived
-from .semijoin import DEFAULT_MAX_BROADCAST_KEYS, semi_join
+from .semijoin import DEFAULT_MAX_BROADCAST_KEYS, hot_keys, semi_join
 
 __all__ = [
     "DEFAULT_MAX_BROADCAST_KEYS",
@@ -17,6 +18,8 @@ __all__ = [
     "distinct_keys",
     "distinct_rows",
     "drop_envelope",
+    "hot_keys",
+    "key_intervals",
     "materialize",
     "materialize_keys",
     "observe_rows",

@@ -99,16 +99,21 @@ def cascade(
     distinct: bool = True,
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     salt_buckets: int | None = None,
+    text_ranges: bool = True,
 ) -> DataFrame:
     """Child rows of changed parents.
 
     ``own_delta`` (J3) is the child's own change predicate; it is applied
     before the join so it filters at the scan.  A ``KeySet`` brings its
-    count and key range, which also prunes the child's scan.
+    count and key intervals, which also prune the child's scan
+    (``text_ranges=False``: not by the order of text keys).
     """
     key_range = key_bytes = None
+    intervals = ()
     if isinstance(keys, KeySet):
+        intervals = keys.intervals
         keys, key_count, key_range, key_bytes = keys.frame, keys.count, (keys.low, keys.high), keys.bytes
     filtered = child.where(own_delta) if own_delta is not None else child
-    out = semi_join(filtered, keys, child_key, key, key_count, max_broadcast_keys, salt_buckets, key_range, key_bytes)
+    out = semi_join(filtered, keys, child_key, key, key_count, max_broadcast_keys, salt_buckets, key_range, key_bytes,
+                    intervals, text_ranges)
     return distinct_rows(out) if distinct else out

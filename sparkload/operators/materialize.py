@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..context import scratch_path
+from .intervals import Interval, key_intervals
 
 
 def _write_once(spark: SparkSession, df: DataFrame, name: str, *metrics) -> tuple[DataFrame, dict]:
@@ -40,19 +41,27 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFram
 @dataclass(frozen=True)
 class KeySet:
     """A materialized distinct key set with its size (rows, and bytes as text) and range, all observed
-    on the write that stored it.  ``low``/``high`` are ``None`` when empty."""
+    on the write that stored it.  ``low``/``high`` are ``None`` when empty.  ``intervals``
+    cover the keys more tightly than the range where they leave wide gaps (see
+    operators/intervals.py); empty for types that have none."""
 
     frame: DataFrame
     count: int
     low: Any
     high: Any
     bytes: int = 0
+    intervals: tuple[Interval, ...] = ()
 
 
 def materialize_keys(spark: SparkSession, keys: DataFrame, key: str, name: str) -> KeySet:
     """Write a key set once to the checkpoint folder; the row count (which
-    picks the join strategy) and the key range (which prunes the child's
-    scan) come from the same write."""
+    picks the join strategy) and the key range come from the same write, the
+    intervals (which prune the child's scan) from short aggregations of the
+    stored keys.  Whole numbers that fill half of their range have no gaps
+    worth a look."""
     frame, m = _write_once(spark, keys, name, F.min(keys[key]).alias("low"), F.max(keys[key]).alias("high"),
                            F.sum(F.octet_length(keys[key].cast("string"))).alias("bytes"))
-    return KeySet(frame, int(m.get("rows", 0)), m.get("low"), m.get("high"), int(m.get("bytes") or 0))
+    count, low, high = int(m.get("rows", 0)), m.get("low"), m.get("high")
+    dense = isinstance(low, int) and high - low < 2 * count
+    intervals = ((low, high),) if dense else key_intervals(frame, key, low, high)
+    return KeySet(frame, count, low, high, int(m.get("bytes") or 0), intervals)

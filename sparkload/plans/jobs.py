@@ -60,8 +60,8 @@ class Loader:
     an increment included (each source may cap the reads it sees at once,
     ``SourceConfig.max_parallel_reads``);
     ``max_broadcast_keys`` the largest counted key set a cascade broadcasts;
-    ``salt_buckets`` explicit salting of cascades above that bound (else AQE
-    splits hot keys); ``records_layout`` ``"lines"`` or ``"pages"`` for
+    ``salt_buckets`` explicit salting of the hot keys of cascades above that
+    bound (else AQE splits them); ``records_layout`` ``"lines"`` or ``"pages"`` for
     landed CRM records; ``set_session_zone`` pins the session time zone to
     the run's; ``stage_overwrites`` (the default) stages dated files in the
     checkpoint folder before overwriting them; without it a rerun writes
@@ -163,7 +163,8 @@ class Loader:
     def _cascade(self, spec: TableSpec, child: DataFrame, keys: op.KeySet, own: Column | None) -> DataFrame:
         return op.cascade(child, keys, spec.child_key, spec.key, own_delta=own,
                           distinct=False, max_broadcast_keys=self.max_broadcast_keys,
-                          salt_buckets=self.salt_buckets)
+                          salt_buckets=self.salt_buckets,
+                          text_ranges=self.sources.get(spec.source).format != "jdbc")
 
     # -- writing -----------------------------------------------------------
 

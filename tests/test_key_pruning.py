@@ -1,0 +1,167 @@
+"""Key intervals and hot keys of cascades."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from conftest import SF_SMALL
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sparkload import operators as op
+from sparkload.operators import intervals
+from sparkload.plans.explain import plan_text, pushed_filters
+from sparkload.sources import SourceConfig, SourceRegistry
+
+
+def test_one_old_key_makes_two_ranges(spark, outdir):
+    """A delta of recent keys and one old one reads two stretches of the child."""
+    child = spark.range(0, 200_000, numPartitions=1).selectExpr("id AS parent_id", "id * 2 AS v")
+    path = f"{outdir}/child"
+    child.sortWithinPartitions("parent_id").write.option("parquet.block.size", 64 << 10).parquet(path)
+    delta = spark.range(199_000, 200_000).union(spark.range(17, 18)).withColumnRenamed("id", "k")
+    keys = op.materialize_keys(spark, delta, "k", "outlier")
+    assert keys.intervals == ((17, 17), (199_000, 199_999))
+    out = op.cascade(spark.read.parquet(path), keys, "parent_id", "k", distinct=False)
+    assert out.count() == 1001
+    pushed = " ".join(pushed_filters(out))
+    assert "EqualTo(parent_id,17)" in pushed and "GreaterThanOrEqual(parent_id,199000)" in pushed and "Or(" in pushed
+    # the scan skips the row groups between: far fewer rows come out of it than the child has
+    scanned = spark.read.parquet(path).where(intervals.within(F.col("parent_id"), keys.intervals))
+    node = scanned._jdf.queryExecution().executedPlan()
+    scanned.collect()
+    rows = _output_rows(node)
+    assert rows is not None and rows < 100_000
+
+
+def _output_rows(node):
+    while node is not None:
+        if "Scan" in node.nodeName():
+            m = node.metrics().get("numOutputRows")
+            return m.get().value() if m.isDefined() else None
+        kids = node.children()
+        node = kids.head() if kids.size() else None
+    return None
+
+
+def test_intervals_of_other_types(spark):
+    day = dt.date(2024, 3, 1)
+    dates = [day + dt.timedelta(days=i) for i in range(20)] + [dt.date(2001, 1, 1)]
+    keys = op.materialize_keys(spark, spark.createDataFrame([(d,) for d in dates], "k date"), "k", "dates")
+    assert keys.intervals == ((dt.date(2001, 1, 1),) * 2, (day, day + dt.timedelta(days=19)))
+    texts = [f"SO-2024-{i:05d}" for i in range(300)] + ["SO-1999-00001"]
+    keys = op.materialize_keys(spark, spark.createDataFrame([(t,) for t in texts], "k string"), "k", "texts")
+    assert keys.intervals[0] == ("SO-1999-00001",) * 2 and keys.intervals[1][0] == "SO-2024-00000" and keys.intervals[-1][1] == "SO-2024-00299"
+    numbers = [Decimal(x) for x in (*range(500, 520), 3)]
+    keys = op.materialize_keys(spark, spark.createDataFrame([(x,) for x in numbers], "k decimal(20,0)"), "k", "decimals")
+    assert keys.intervals == ((Decimal(3),) * 2, (Decimal(500), Decimal(519)))
+    reals = op.materialize_keys(spark, spark.createDataFrame([(1.5,), (float("nan"),)], "k double"), "k", "reals")
+    assert reals.intervals == ()
+    child = spark.createDataFrame([(1.5,), (float("nan"),), (2.0,)], "c double")
+    assert op.cascade(child, reals, "c", "k", distinct=False).count() == 2
+    none = op.materialize_keys(spark, spark.range(0).withColumnRenamed("id", "k"), "k", "none")
+    assert none.intervals == () and op.cascade(child, none, "c", "k").count() == 0
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.integers(-2**63, 2**63 - 1), st.integers(0, 50), st.integers(10**9, 10**9 + 500)), min_size=1, max_size=40))
+def test_intervals_hold_every_key(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "k long")
+    found = op.key_intervals(df, "k", min(values), max(values), 4)
+    assert 1 <= len(found) <= 4 and all(a <= b for a, b in found)
+    assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    assert all(any(a <= v <= b for a, b in found) for v in values)
+    assert {a for a, _ in found} | {b for _, b in found} <= set(values)  # tight
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="abé🙂Z\x00", max_size=6), min_size=1, max_size=25))
+def test_text_intervals_hold_every_key(spark, values):
+    order = sorted(values, key=str.encode)
+    df = spark.createDataFrame([(v,) for v in values], "k string")
+    found = op.key_intervals(df, "k", order[0], order[-1], 4)
+    assert all(any(a.encode() <= v.encode() <= b.encode() for a, b in found) for v in values)
+
+
+def test_text_ranges_are_not_sent_to_a_source_with_its_own_order(spark, outdir):
+    """'B' to 'a' is empty where upper and lower case are one."""
+    keys = op.materialize_keys(spark, spark.createDataFrame([("B",), ("a",)], "k string"), "k", "mixed_case")
+    child = spark.createDataFrame([("a", 1), ("B", 2), ("c", 3)], "c string, v int")
+    child.write.parquet(f"{outdir}/c.parquet")
+    lake = spark.read.parquet(f"{outdir}/c.parquet")
+    assert "GreaterThanOrEqual(c" in " ".join(pushed_filters(op.cascade(lake, keys, "c", "k", distinct=False))) or "EqualTo(c" in " ".join(pushed_filters(op.cascade(lake, keys, "c", "k", distinct=False)))
+    plain = op.cascade(lake, keys, "c", "k", distinct=False, text_ranges=False)
+    assert sorted(r.v for r in plain.collect()) == [1, 2]
+    pushed = " ".join(pushed_filters(plain))
+    assert "Than" not in pushed and "EqualTo" not in pushed
+
+
+def test_loader_keeps_text_ranges_from_jdbc(spark, monkeypatch):
+    from sparkload import RunContext
+    from sparkload.plans import Loader
+    from sparkload.plans.manifest import Extract, Layout, TableSpec
+    seen = []
+    monkeypatch.setattr(op, "cascade", lambda *a, **kw: seen.append(kw["text_ranges"]))
+    reg = SourceRegistry([SourceConfig("db", "jdbc", options={"url": "u"}), SourceConfig("lake", "parquet", root=SF_SMALL)])
+    loader = Loader(spark, RunContext(dt.datetime(2024, 1, 2)), reg)
+    for source in ("db", "lake"):
+        loader._cascade(TableSpec("j", source, "s", "t", Extract.CASCADE, Layout.DAILY_INCR, child_key="c"), None, None, None)
+    assert seen == [False, True]
+
+
+def test_dense_keys_keep_one_range(spark):
+    keys = op.materialize_keys(spark, spark.range(50, 400).withColumnRenamed("id", "k"), "k", "dense")
+    assert keys.intervals == ((50, 399),)
+
+
+@pytest.fixture()
+def fixed_plan(spark):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _sizes(df):
+    return sorted((r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()), reverse=True)
+
+
+def test_a_hot_key_alone_is_salted(spark, fixed_plan):
+    """A third of the child under one key, adaptive planning off: no task gets
+    much more than an even share, and cold keys are not repeated."""
+    r = random.Random(1)
+    ids = spark.range(0, 48_000, numPartitions=12)
+    child = ids.selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 4000 END AS parent_id", "id AS v")
+    keys = spark.range(0, 3000).withColumnRenamed("id", "k")
+    assert r and op.hot_keys(child, "parent_id", 16) == [7]
+    plain = op.cascade(child, keys, "parent_id", "k", key_count=10**9, max_broadcast_keys=0, distinct=False)
+    salted = op.cascade(child, keys, "parent_id", "k", key_count=10**9, max_broadcast_keys=0, distinct=False, salt_buckets=32)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    n = plain.count()
+    assert _sizes(plain)[0] > 0.35 * n and _sizes(salted)[0] < 0.2 * n
+    assert "BroadcastHashJoin" not in plan_text(salted, "simple")
+    from sparkload.operators.semijoin import hot_keys
+    even = ids.selectExpr("id % 4000 AS parent_id", "id AS v")
+    assert hot_keys(even, "parent_id", 16) == []
+    joined = op.cascade(even, keys, "parent_id", "k", key_count=10**9, max_broadcast_keys=0, distinct=False, salt_buckets=32)
+    assert "Generate" not in plan_text(joined, "simple") and joined.count() == 36_000
+
+
+def test_hot_null_and_text_keys(spark, fixed_plan):
+    child = spark.range(0, 6000, numPartitions=6).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'hot' ELSE concat('k', id % 500) END AS parent_id", "id AS v")
+    keys = spark.createDataFrame([("hot",), ("k2",), (None,)], "k string")
+    assert op.hot_keys(child, "parent_id", 16) == ["hot"]
+    out = op.cascade(child, keys, "parent_id", "k", key_count=10**9, max_broadcast_keys=0, distinct=False, salt_buckets=8)
+    want = child.where("parent_id IN ('hot', 'k2')")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    stamps = spark.range(10).selectExpr("timestamp_seconds(id) AS k")
+    assert op.hot_keys(stamps, "k", 16) is None
+    both = op.cascade(stamps, stamps.withColumnRenamed("k", "p"), "k", "p", key_count=10**9, max_broadcast_keys=0, distinct=False, salt_buckets=4)
+    assert both.count() == 10
