@@ -263,7 +263,7 @@ def pack(spark: SparkSession, pieces: DataFrame, limit: int = LIMIT) -> DataFram
     for length, n in counts.groupBy("length").agg(F.sum("n")).collect():  # a row for each length
         lengths[length] = n
     slots = Slots(plan(lengths, limit))
-    numbered = pieces.join(counts.drop("n"), ["part", "length"])
+    numbered = pieces.join(counts.drop("n").hint("merge"), ["part", "length"])  # grows with the tasks: no broadcast
     numbered = numbered.select(*[c for c in pieces.columns if c not in ("part", "seq")], (F.col("before") + F.col("seq")).alias("number"))
     kept = [c for c in numbered.columns if c != "number"]
 
