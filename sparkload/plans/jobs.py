@@ -107,7 +107,7 @@ class Loader:
     def read(self, spec: TableSpec, table: str | None = None) -> DataFrame:
         derived = dict(spec.derived) if spec.derived_in_source and table is None else None
         return self.sources.read(self.spark, spec.source, table or spec.table, derived=derived,
-                                 partitioned=not spec.consistent_read)
+                                 partitioned=not spec.consistent_read, schema=spec.schema)
 
     def read_records(self, spec: TableSpec, seen: Observation | None = None) -> DataFrame:
         schema = spec.record_schema or records.string_fields(spec.columns or ())

@@ -54,7 +54,8 @@ def registry_from_dict(doc: Mapping[str, Mapping]) -> SourceRegistry:
         parts = {t: JdbcPartitioning(**p) for t, p in body.get("partitioning", {}).items()}
         default = body.get("default_partitioning")
         options = {k: _expand(str(v)) for k, v in body.get("options", {}).items()}
-        kwargs = {k: body[k] for k in ("root", "path_template", "prefix", "quote", "max_parallel_reads") if k in body}
+        kwargs = {k: body[k] for k in ("root", "path_template", "prefix", "quote", "max_parallel_reads", "auto_partitions")
+                  if k in body}
         configs.append(SourceConfig(name=name, format=body["format"], options=options, partitioning=parts,
                                     default_partitioning=JdbcPartitioning(**default) if default else None, **kwargs))
     return SourceRegistry(configs)

@@ -37,8 +37,11 @@ class SourceConfig:
     partitioning: Mapping[str, jdbc.JdbcPartitioning] = field(default_factory=dict)
     # jdbc: the plan of tables without their own entry in ``partitioning``,
     # used where the table has its key column (e.g. ``id``); others are read
-    # whole.  Without it such tables are read by one task.
+    # whole.  Without it such tables are read by their primary key.
     default_partitioning: jdbc.JdbcPartitioning | None = None
+    # jdbc: ranges at most of a table that is read by its primary key (which
+    # the source's catalog tells); 0 or 1: by one task.
+    auto_partitions: int = 16
     quote: str = "`"
     # Extracts reading this source at once (None: no cap).  With JDBC a read
     # opens one connection per partition, so this times ``num_partitions``
@@ -50,6 +53,7 @@ class SourceRegistry:
     def __init__(self, configs: Iterable[SourceConfig] = ()):
         self._configs: dict[str, SourceConfig] = {}
         self._gates: dict[str, threading.BoundedSemaphore] = {}
+        self._keys: dict[tuple[str, str, str], tuple[str, ...] | None] = {}
         for c in configs:
             self.add(c)
 
@@ -83,15 +87,22 @@ class SourceRegistry:
         table: str,
         derived: Mapping[str, str] | None = None,
         partitioned: bool = True,
+        schema: str | None = None,
     ) -> DataFrame:
         """A lazy scan of ``table``; ``derived`` (JDBC only) evaluates
         source-side expressions inside the source query.  ``partitioned=False``
         reads a JDBC table through one connection: one snapshot, as a single
-        ``SELECT`` sees, where parallel range reads each see their own."""
+        ``SELECT`` sees, where parallel range reads each see their own.  A
+        JDBC table without a plan is read by its primary key, looked up in
+        ``schema``."""
         cfg = self.get(source)
         if cfg.format == "jdbc":
             own = cfg.partitioning.get(table) if partitioned else None
             plan = own or (cfg.default_partitioning if partitioned else None)
+            if partitioned and plan is None and schema and cfg.auto_partitions > 1:
+                key = self.unique_key(spark, source, schema, table)
+                if key:
+                    return jdbc.read_by_key(spark, cfg.options, table, key, cfg.auto_partitions, derived, cfg.quote)
             return jdbc.read_table(spark, cfg.options, table, plan, derived, cfg.quote,
                                    check_column=own is None and plan is not None)
         if derived:
@@ -152,16 +163,19 @@ class SourceRegistry:
         one (JDBC), else ``None``.  One small catalog query; the result has a
         row per key column.  A catalog that cannot be asked (permissions, a
         dialect without these views) also gives ``None``: the key only ever
-        saves a shuffle, it never decides rows."""
+        saves a shuffle or splits a read, it never decides rows.  Asked once
+        for each table."""
         cfg = self.get(source)
         if cfg.format != "jdbc":
             return None
-        try:
-            found = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table))
-            rows = found.toDF("column_name", "ordinal_position").collect()  # sources may fold aliases
-        except Exception:
-            return None
-        return tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
+        if (source, schema, table) not in self._keys:
+            try:
+                found = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table))
+                rows = found.toDF("column_name", "ordinal_position").collect()  # sources may fold aliases
+            except Exception:
+                return None
+            self._keys[source, schema, table] = tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
+        return self._keys[source, schema, table]
 
     def marks(self, spark: SparkSession, source: str, table: str,
               created: str = "created_at", updated: str = "updated_at", zone: str | None = None) -> Marks:

@@ -144,7 +144,7 @@ def test_jdbc_quantile_ranges_balance_a_dense_key_block(spark, monkeypatch):
 def test_jdbc_quantile_option_validation():
     import pytest
     with pytest.raises(ValueError):
-        JdbcPartitioning("id", 4, balance="hash")
+        JdbcPartitioning("id", 4, balance="even")
     assert jdbc.range_predicates("id", []) == []
     assert jdbc.range_predicates("k", ["b", "a", "b"]) == ["`k` < 'a' or `k` is null", "`k` >= 'a' and `k` < 'b'",
                                                           "`k` >= 'b'"]
