@@ -49,7 +49,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--format", choices=("csv", "parquet"), default="csv")
     run.add_argument("--parallel", type=int, default=4, help="extracts submitted at once")
     run.add_argument("--salt-buckets", type=int, default=None, help="explicit salting of large cascades")
-    run.add_argument("--records-layout", choices=("lines", "pages"), default="lines")
+    run.add_argument("--records-layout", choices=("lines", "pages", "whole_pages"), default="lines")
     run.add_argument("--stage-overwrites", action=argparse.BooleanOptionalAction, default=True,
                      help="stage dated files in the checkpoint folder before overwriting them (the default)")
     run.add_argument("--report", help="write the report as parquet here")

@@ -61,7 +61,7 @@ class Loader:
     ``SourceConfig.max_parallel_reads``);
     ``max_broadcast_keys`` the largest counted key set a cascade broadcasts;
     ``salt_buckets`` explicit salting of the hot keys of cascades above that
-    bound (else AQE splits them); ``records_layout`` ``"lines"`` or ``"pages"`` for
+    bound (else AQE splits them); ``records_layout`` ``"lines"``, ``"pages"`` or ``"whole_pages"`` for
     landed CRM records; ``set_session_zone`` pins the session time zone to
     the run's; ``stage_overwrites`` (the default) stages dated files in the
     checkpoint folder before overwriting them; without it a rerun writes
