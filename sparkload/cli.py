@@ -6,6 +6,8 @@
 ``--job`` is ``full`` (G1), ``insert_update`` (G2), ``incremental`` (G3) or
 ``records`` (G4); ``--tables`` limits the run to some tables.  The report
 (G5) is printed as JSON lines and, with ``--report``, written as parquet.
+With ``--ledger`` each extract's result is kept as it ends, and ``--resume``
+with the same ``--as-of`` runs only what is left.
 The exit code is 1 if any extract failed.  Scheduling (the reference's
 time-of-day gates) belongs to the scheduler that calls this command.
 
@@ -51,7 +53,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--salt-buckets", type=int, default=None, help="explicit salting of large cascades")
     run.add_argument("--records-layout", choices=("lines", "pages", "whole_pages"), default="lines")
     run.add_argument("--stage-overwrites", action=argparse.BooleanOptionalAction, default=True,
-                     help="stage dated files in the checkpoint folder before overwriting them (the default)")
+                     help="write dated files beside their place and swap them in when complete (the default)")
+    run.add_argument("--whole-families", action="store_true", help="publish a parent and its children together or not at all")
+    run.add_argument("--ledger", help="folder that keeps each extract's result as it ends")
+    run.add_argument("--resume", action="store_true", help="leave out what the ledger has as done for this --as-of")
     run.add_argument("--report", help="write the report as parquet here")
     run.add_argument("--master", default=None)
     sub.add_parser("manifest", help="print the reference manifest as JSON lines")
@@ -111,7 +116,8 @@ def main(argv: list[str] | None = None) -> int:
     ctx = RunContext(as_of=as_of, time_zone=args.time_zone, output_root=args.output_root)
     loader = Loader(spark, ctx, registry_from_json(args.sources), output_format=args.format,
                     max_parallel=args.parallel, salt_buckets=args.salt_buckets, records_layout=args.records_layout,
-                    stage_overwrites=args.stage_overwrites)
+                    stage_overwrites=args.stage_overwrites, whole_families=args.whole_families,
+                    ledger=args.ledger, resume=args.resume)
     results = loader.run(specs)
     for r in results:
         print(json.dumps(r.__dict__, default=str))

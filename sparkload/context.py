@@ -8,6 +8,7 @@ run is repeatable and testable (no ``current_date()`` inside a plan).
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -109,16 +110,17 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint directory).  Only a local-mode session (tests) with neither
-    set gets a fresh temporary folder; on a cluster a machine-local folder
-    would not survive executor loss, so the setting is required.
+    checkpoint directory).  Only a local-mode session (tests; one process on
+    one machine) with neither set gets a fresh temporary folder; on any
+    cluster, a ``local-cluster`` of several processes included, a machine-local
+    folder would not survive executor loss, so the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark_context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        if sc is None or not sc.master.startswith("local"):
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="sparkload-ckpt-")
         sc.setCheckpointDir(root)

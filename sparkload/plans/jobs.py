@@ -30,12 +30,18 @@ from ..context import SCALE_CONF, RunContext, spark_context
 from ..functions.windows import Marks
 from ..sinks import csv as csv_sink
 from ..sinks.paths import FILE_EXTENSION, output_path, write_mode
+from ..sinks.publish import publish_all, settle, staged_path
 from ..sources import records
 from ..sources.catalog import existing_tables
 from ..sources.registry import SourceRegistry
 from .manifest import Extract, TableSpec, Window
+from .ledger import Ledger
 from .report import ERROR, MISSING, OK, SKIPPED, LoadResult, report_frame
 
+#: Extracts that keep some of what they scan: their output is dealt out anew
+#: before it is written, so its files do not number the scan's splits.
+SELECTIVE = (Extract.WINDOW, Extract.SEMI_STATIC, Extract.INCREMENT, Extract.CASCADE)
+
 
 def window_predicate(w: Window, df: DataFrame, ctx: RunContext) -> Column:
     """The ``Column`` of one window spec."""
@@ -63,9 +69,14 @@ class Loader:
     ``salt_buckets`` explicit salting of the hot keys of cascades above that
     bound (else AQE splits them); ``records_layout`` ``"lines"``, ``"pages"`` or ``"whole_pages"`` for
     landed CRM records; ``set_session_zone`` pins the session time zone to
-    the run's; ``stage_overwrites`` (the default) stages dated files in the
-    checkpoint folder before overwriting them; without it a rerun writes
-    once, and one whose read fails leaves that day without a file.
+    the run's; ``stage_overwrites`` (the default) writes dated files beside
+    their place and swaps them in when they are complete (sinks/publish.py);
+    without it a rerun whose read fails leaves that day without a file.
+    ``rebalance`` (the default) shuffles the rows that a window or cascade has
+    kept into files of the session's advisory size, hot ones split;
+    ``whole_families`` publishes a parent and its children together or not at
+    all; ``ledger`` (a folder) keeps each extract's result as it ends, and with
+    ``resume`` an extract that it has as done is not run again.
     """
 
     def __init__(
@@ -81,6 +92,10 @@ class Loader:
         records_layout: str = "lines",
         set_session_zone: bool = True,
         stage_overwrites: bool = True,
+        rebalance: bool = True,
+        whole_families: bool = False,
+        ledger: str | None = None,
+        resume: bool = False,
     ):
         self.spark = spark
         self.ctx = ctx
@@ -90,10 +105,11 @@ class Loader:
         self.max_broadcast_keys = max_broadcast_keys
         self.salt_buckets = salt_buckets
         self.records_layout = records_layout
-        # Dated files are overwritten only after the extract is staged in the
-        # checkpoint folder: twice the writes, but a failed source read keeps
-        # the day's previous file.
         self.stage_overwrites = stage_overwrites
+        self.rebalance = rebalance
+        self.whole_families = whole_families
+        self.ledger = Ledger(spark, ledger, ctx.run_stamp) if ledger else None
+        self.resume = resume
         self._slots = threading.BoundedSemaphore(self.max_parallel)
         for key, value in SCALE_CONF.items():  # a hot key of a cascade is split
             if key.startswith("spark.sql.adaptive."):
@@ -174,37 +190,48 @@ class Loader:
 
     def write(self, spec: TableSpec, df: DataFrame, verify: Callable[[], None] | None = None) -> tuple[str, int]:
         """Writes the extract's file; ``verify`` runs once the source was
-        read, before a staged overwrite begins, and raises to fail it."""
-        path = self.path(spec)
-        mode = write_mode(spec.layout)
-        known_rows = None
-        single = spec.single_file and self.output_format != "parquet"
-        if single or (self.stage_overwrites and mode == "overwrite"):
-            # Read the source once into the shared checkpoint folder,
-            # counting on the way, and write the file from there.  A single
-            # file's size check needs the count first (counting, then
-            # writing, would read a possibly changing source twice); an
-            # overwrite, which removes the day's previous file when it
-            # starts, then starts only after the source was read in full.
+        read, before a staged copy is swapped in, and raises to fail it."""
+        staged, path, rows = self.write_staged(spec, df, verify)
+        if staged != path:
+            publish_all(self.spark, [(staged, path)])
+        return path, rows
+
+    def write_staged(self, spec: TableSpec, df: DataFrame, verify: Callable[[], None] | None = None,
+                     hold: bool = False) -> tuple[str, str, int]:
+        """Writes the extract's file beside its place, where it overwrites one
+        or is to be held back: (where it is, where it goes, rows)."""
+        path, mode, known_rows = self.path(spec), write_mode(spec.layout), None
+        if self.resume:  # a per-run file of this instant is one that was cut off
+            mode = "overwrite"
+        hold = (hold or (self.stage_overwrites and mode == "overwrite")) and spark_context(self.spark) is not None
+        target = staged_path(path) if hold else path
+        if hold:
+            settle(self.spark, path)
+            mode = "errorifexists"
+        if spec.single_file and self.output_format != "parquet":
+            # A single file's size check needs the count first; counting, then
+            # writing, would read a possibly changing source twice.
             df, known_rows = op.materialize(self.spark, df, f"staged_{spec.name}")
-            if verify is not None:
-                verify()
-                verify = None
+        elif self.rebalance and not spec.distinct and (spec.extract in SELECTIVE or spec.window is not None):
+            df = df.hint("rebalance")  # (a distinct has dealt its rows out)
         counted, obs = op.observe_rows(df, f"rows_{spec.name}_{spec.layout.value}")
         if self.output_format == "parquet":
-            csv_sink.write_parquet(counted, path, mode)
+            csv_sink.write_parquet(counted, target, mode)
         else:
-            csv_sink.write_csv(counted, path, mode, single_file=spec.single_file, row_count=known_rows)
+            csv_sink.write_csv(counted, target, mode, single_file=spec.single_file, row_count=known_rows)
         rows = int(obs.get.get("rows", 0))
         if verify is not None:
             verify()
-        return path, rows
+        return target, path, rows
 
     # -- running -----------------------------------------------------------
 
     def _result(self, spec, status, path=None, rows=None, error=None, t0=None) -> LoadResult:
         secs = None if t0 is None else round(time.time() - t0, 3)
-        return LoadResult(spec.job, spec.schema, spec.name, spec.layout.value, path, rows, status, error, secs)
+        result = LoadResult(spec.job, spec.schema, spec.name, spec.layout.value, path, rows, status, error, secs)
+        if self.ledger is not None:
+            self.ledger.add(result)
+        return result
 
     def _describe(self, spec: TableSpec) -> None:
         """Name the calling thread's jobs after the extract and put them in
@@ -262,16 +289,25 @@ class Loader:
             return ([self._result(parent, ERROR, error=_message(e), t0=t0)]
                     + [self._result(c, SKIPPED, error=f"parent {parent.name} failed") for c in children])
 
-        def parent_file() -> LoadResult:
+        held: list[tuple[TableSpec, str, str, int, float]] = []
+
+        def put(spec: TableSpec, frame: DataFrame, began: float) -> LoadResult | None:
+            """The result of a written extract; ``None`` while it is held back."""
+            if not self.whole_families:
+                path, rows = self.write(spec, frame)
+                return self._result(spec, OK, path, rows, t0=began)
+            held.append((spec, *self.write_staged(spec, frame, hold=True), began))
+            return None
+
+        def parent_file() -> LoadResult | None:
             try:
                 self._describe(parent)
                 with self._slots:
-                    path, rows = self.write(parent, fn.sanitize(file_rows) if parent.sanitize else file_rows)
-                return self._result(parent, OK, path, rows, t0=t0)
+                    return put(parent, fn.sanitize(file_rows) if parent.sanitize else file_rows, t0)
             except Exception as e:
                 return self._result(parent, ERROR, error=_message(e), t0=t0)
 
-        def one_child(child: TableSpec, keys: op.KeySet) -> LoadResult:
+        def one_child(child: TableSpec, keys: op.KeySet) -> LoadResult | None:
             t1 = time.time()
             if _catalog_of(child) in failed:
                 return self._result(child, ERROR, error=failed[_catalog_of(child)], t0=t1)
@@ -280,9 +316,7 @@ class Loader:
             try:
                 self._describe(child)
                 with self.sources.gate(child.source), self._slots:
-                    child_frame = self.frame(child.but(key=parent.key), marks=marks, keys=keys)
-                    cpath, crows = self.write(child, child_frame)
-                return self._result(child, OK, cpath, crows, t0=t1)
+                    return put(child, self.frame(child.but(key=parent.key), marks=marks, keys=keys), t1)
             except Exception as e:
                 return self._result(child, ERROR, error=_message(e), t0=t1)
 
@@ -297,7 +331,27 @@ class Loader:
                         for c in children]
             else:
                 kids = list(pool.map(lambda c: one_child(c, keys), children))
-            return [parent_done.result()] + kids
+            members = [parent_done.result()] + kids
+        return self._release([parent, *children], members, held) if self.whole_families else members
+
+    def _release(self, specs: list[TableSpec], members: list[LoadResult | None],
+                 held: list[tuple[TableSpec, str, str, int, float]]) -> list[LoadResult]:
+        """Publishes a family's files together, or none if one of them failed."""
+        broken = [r for r in members if r is not None and r.status == ERROR]
+        error = f"not published: {broken[0].table_name} of its family failed" if broken else None
+        if held and not error:
+            try:
+                publish_all(self.spark, [(staged, path) for _, staged, path, _, _ in held])
+            except Exception as e:
+                error = _message(e)
+        by_name = {(h[0].name, h[0].layout): h for h in held}
+        out = []
+        for spec, r in zip(specs, members):
+            if r is None:
+                _, _, path, rows, began = by_name[spec.name, spec.layout]
+                r = self._result(spec, SKIPPED if broken else ERROR, error=error, t0=began) if error else self._result(spec, OK, path, rows, t0=began)
+            out.append(r)
+        return out
 
     def present(self, specs: list[TableSpec]) -> tuple[set[tuple[str, str, str]], dict[tuple[str, str], str]]:
         """The (source, schema, name) found, and the error of each
@@ -335,16 +389,23 @@ class Loader:
         """Run a manifest; returns one result per spec, in manifest
         order but for children, which follow their parent (those without one
         come last)."""
-        present, failed = self.present(specs)
+        done = self.ledger.done() if self.ledger is not None and self.resume else {}
+        key = lambda s: (s.job, s.schema, s.name, s.layout.value)
         by_parent: dict[str, list[TableSpec]] = defaultdict(list)
         for s in specs:
             if s.extract is Extract.CASCADE:
                 by_parent[s.parent].append(s)
+        # A family is done as a whole: its members see one delta.
+        family = lambda s: [s, *(by_parent.get(s.name, []) if s.extract is Extract.INCREMENT else [])]
+        heads = [s for s in specs if s.extract is not Extract.CASCADE]
+        finished = [s for s in heads if all(key(x) in done for x in family(s))]
+        left = [x for s in heads if s not in finished for x in family(s)]
+        present, failed = self.present(left)
         units = []
-        for s in specs:
-            if s.extract is Extract.CASCADE:
-                continue
-            if _catalog_of(s) in failed:
+        for s in heads:
+            if s in finished:
+                units.append(("done", s))
+            elif _catalog_of(s) in failed:
                 units.append(("failed", s))
             elif _catalog_key(s) not in present:
                 units.append(("missing", s))
@@ -358,6 +419,8 @@ class Loader:
 
         def work(i_unit):
             i, (kind, s) = i_unit
+            if kind == "done":
+                return i, [done[key(x)] for x in family(s)]
             if kind == "failed":
                 kids = by_parent.get(s.name, []) if s.extract is Extract.INCREMENT else []
                 return i, [self._result(x, ERROR, error=failed[_catalog_of(s)]) for x in (s, *kids)]

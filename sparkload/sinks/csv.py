@@ -54,12 +54,15 @@ DEFAULT_MAX_SINGLE_FILE_ROWS = 1_000_000
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
-    """Types CSV cannot hold: binary → base64 text, nested → JSON text."""
+    """Types CSV cannot hold: binary → base64 text, nested → JSON text, void →
+    empty text."""
     cols = []
     for f in df.schema.fields:
         col = df[f"`{f.name}`"]
         if isinstance(f.dataType, T.BinaryType):
             col = F.base64(col).alias(f.name)
+        elif isinstance(f.dataType, T.NullType):
+            col = col.cast("string").alias(f.name)
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
             col = F.to_json(col).alias(f.name)
         cols.append(col)

@@ -53,7 +53,7 @@ class SourceRegistry:
     def __init__(self, configs: Iterable[SourceConfig] = ()):
         self._configs: dict[str, SourceConfig] = {}
         self._gates: dict[str, threading.BoundedSemaphore] = {}
-        self._keys: dict[tuple[str, str, str], tuple[str, ...] | None] = {}
+        self._keys: dict[tuple[str, str, str], tuple[str, ...]] = {}
         for c in configs:
             self.add(c)
 
@@ -100,8 +100,10 @@ class SourceRegistry:
             own = cfg.partitioning.get(table) if partitioned else None
             plan = own or (cfg.default_partitioning if partitioned else None)
             if partitioned and plan is None and schema and cfg.auto_partitions > 1:
-                key = self.unique_key(spark, source, schema, table)
+                # Asked once for each table; a lookup that failed is asked again.
+                key = self._keys.get((source, schema, table)) or self.unique_key(spark, source, schema, table)
                 if key:
+                    self._keys[source, schema, table] = key
                     return jdbc.read_by_key(spark, cfg.options, table, key, cfg.auto_partitions, derived, cfg.quote)
             return jdbc.read_table(spark, cfg.options, table, plan, derived, cfg.quote,
                                    check_column=own is None and plan is not None)
@@ -163,19 +165,16 @@ class SourceRegistry:
         one (JDBC), else ``None``.  One small catalog query; the result has a
         row per key column.  A catalog that cannot be asked (permissions, a
         dialect without these views) also gives ``None``: the key only ever
-        saves a shuffle or splits a read, it never decides rows.  Asked once
-        for each table."""
+        saves a shuffle or splits a read, it never decides rows."""
         cfg = self.get(source)
         if cfg.format != "jdbc":
             return None
-        if (source, schema, table) not in self._keys:
-            try:
-                found = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table))
-                rows = found.toDF("column_name", "ordinal_position").collect()  # sources may fold aliases
-            except Exception:
-                return None
-            self._keys[source, schema, table] = tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
-        return self._keys[source, schema, table]
+        try:
+            found = jdbc.query_one_row(spark, cfg.options, jdbc.primary_key_query(schema, table))
+            rows = found.toDF("column_name", "ordinal_position").collect()  # sources may fold aliases
+        except Exception:
+            return None
+        return tuple(r["column_name"] for r in sorted(rows, key=lambda r: r["ordinal_position"])) or None
 
     def marks(self, spark: SparkSession, source: str, table: str,
               created: str = "created_at", updated: str = "updated_at", zone: str | None = None) -> Marks:
