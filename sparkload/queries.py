@@ -243,14 +243,27 @@ def q_csv_roundtrip(spark, sf_dir):
     return csv_sink.read_csv(spark, path, docs.schema)
 
 
+def q_distinct_keys_roundtrip(spark, sf_dir):
+    """K4 with null and empty keys among the others: a one-column file."""
+    o = table(spark, sf_dir, "orders")
+    nth = o["o_orderkey"] % 50
+    key = F.when(nth == 0, F.lit(None)).when(nth == 1, F.lit("")).otherwise(F.concat(o["o_orderpriority"], F.lit(" "), (o["o_custkey"] % 90).cast("string")))
+    keys = op.distinct_keys(o.select(key.alias("key")), "key")
+    path = scratch_path(spark, "csv_roundtrip", "distinct_keys")
+    csv_sink.write_csv(keys, path, mode="errorifexists")
+    return csv_sink.read_csv(spark, path, keys.schema)
+
 
 # --------------------------------------------------------------------------
 # job runs: a manifest over the test tables; the report is the result
 
 
 def _report_frame(spark, results) -> DataFrame:
+    """The report, with each file's path below the run's own folder."""
     from .plans.report import report_frame
-    return report_frame(spark, results).select("table_name", "layout", "rows", "status")
+    from .sinks.paths import DATABASE_ROOT, RECORDS_ROOT
+    path = F.regexp_extract("path", f"({DATABASE_ROOT}|{RECORDS_ROOT})/.*$", 0)
+    return report_frame(spark, results).select("table_name", "layout", path.alias("path"), "rows", "status")
 
 
 def _loader(spark, ctx, sources, name):
@@ -434,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_lower": q_catalog_lower,
     "records_scan": q_records_scan,
     "csv_roundtrip": q_csv_roundtrip,
+    "distinct_keys_roundtrip": q_distinct_keys_roundtrip,
     "load_report": q_load_report,
     "job_full": q_job_full,
     "job_insert_update": q_job_insert_update,
@@ -537,17 +551,30 @@ ORACLES: dict[str, str] = {
         f"SELECT {_CUST_COLS} FROM (SELECT * REPLACE (CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name) FROM customer) c"
     ),
     "csv_roundtrip": f"SELECT {_DOC_COLS} FROM documents",
+    # Both are an empty field of the file, which reads as null.
+    "distinct_keys_roundtrip": (
+        "SELECT nullif(key, '') AS key FROM (SELECT DISTINCT CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 50 = 1 THEN '' "
+        "ELSE o_orderpriority || ' ' || (o_custkey % 90) END AS key FROM orders)"
+    ),
 }
 
 
-def _count_row(name: str, layout: str, source: str, where: str = "", prefix: str = "") -> str:
+def _path_sql(name: str, layout: str, folder: str, as_of: str) -> str:
+    """The path of an extract's file, dated by SQL."""
+    if layout == "daily_incr":
+        return f"'mysql_backups/{folder}/daily_incr/{name}/{name}' || strftime(TIMESTAMP '{as_of}', '%Y%m%d%H%M%S') || '.csv'"
+    top = {"records": f"salesforce_backups/{name}", "snapshot": f"mysql_backups/{folder}/{name}"}.get(layout, f"mysql_backups/{folder}/{name}/{layout}")
+    return f"'{top}/{name}' || strftime(TIMESTAMP '{as_of}', '%Y%m%d') || '.csv'"
+
+
+def _count_row(name: str, layout: str, source: str, where: str = "", folder: str = "", as_of: str = "2000-06-15 06:00:00") -> str:
     cond = f" WHERE {where}" if where else ""
-    return (f"SELECT '{name}' AS table_name, '{layout}' AS layout, CAST(count(*) AS BIGINT) AS rows, "
-            f"'ok' AS status FROM {source}{cond}")
+    return (f"SELECT '{name}' AS table_name, '{layout}' AS layout, {_path_sql(name, layout, folder, as_of)} AS path, "
+            f"CAST(count(*) AS BIGINT) AS rows, 'ok' AS status FROM {source}{cond}")
 
 
 def _missing_row(name: str, layout: str, status: str = "missing") -> str:
-    return (f"SELECT '{name}' AS table_name, '{layout}' AS layout, CAST(NULL AS BIGINT) AS rows, "
+    return (f"SELECT '{name}' AS table_name, '{layout}' AS layout, NULL AS path, CAST(NULL AS BIGINT) AS rows, "
             f"'{status}' AS status")
 
 
@@ -556,48 +583,48 @@ _EPOCH = "(SELECT CAST(floor(epoch(ts)) AS BIGINT) AS unixdate FROM events) e"
 
 ORACLES.update({
     "load_report": " UNION ALL ".join([
-        _count_row("customer", "snapshot", "customer"),
-        _count_row("orders", "snapshot", "orders"),
-        _count_row("lineitem", "snapshot", "lineitem"),
+        _count_row("customer", "snapshot", "customer", folder="tpch"),
+        _count_row("orders", "snapshot", "orders", folder="tpch"),
+        _count_row("lineitem", "snapshot", "lineitem", folder="tpch"),
         _missing_row("missing_table", "snapshot"),
     ]),
     "job_full": " UNION ALL ".join([
-        *[_count_row(t, "snapshot", t) for t in ("region", "nation", "customer", "supplier", "part")],
-        _count_row("lineitem_recent", "snapshot", "lineitem", _SEMI),
-        _count_row("lineitem", "snapshot", "lineitem"),
-        _count_row("events", "snapshot", "events"),
+        *[_count_row(t, "snapshot", t, folder="tpch") for t in ("region", "nation", "customer", "supplier", "part")],
+        _count_row("lineitem_recent", "snapshot", "lineitem", _SEMI, folder="tpch"),
+        _count_row("lineitem", "snapshot", "lineitem", folder="tpch"),
+        _count_row("events", "snapshot", "events", folder="tpch"),
         _missing_row("missing_table", "snapshot"),
     ]),
     "job_insert_update": _T + " " + " UNION ALL ".join([
-        _count_row("orders", "insert", "t", _mtd("created_at", "2000-06-15", "05:00:00")),
+        _count_row("orders", "insert", "t", _mtd("created_at", "2000-06-15", "05:00:00"), "smc"),
         _count_row("orders", "update", "t", "updated_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 3 DAY "
                    "AND updated_at <= CAST(DATE '2000-06-15' AS TIMESTAMP) + INTERVAL 5 HOUR "
-                   "AND created_at >= TIMESTAMP '1999-09-01 00:00:00'"),
+                   "AND created_at >= TIMESTAMP '1999-09-01 00:00:00'", "smc"),
         _count_row("orders", "distinct", "(SELECT DISTINCT o_custkey FROM t "
-                   "WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00') k"),
+                   "WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00') k", folder="smc"),
         _count_row("orders_months", "update", "t", "updated_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 3 DAY "
                    "AND updated_at <= CAST(DATE '2000-06-15' AS TIMESTAMP) + INTERVAL 5 HOUR "
-                   "AND created_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 7 MONTH"),
-        _count_row("orders_cols", "insert", "t", _mtd("created_at", "2000-06-15", "05:00:00")),
-        _count_row("poll_data", "snapshot", "events", _mtd("ts", "2024-01-15", "04:40:00")),
+                   "AND created_at >= TIMESTAMP '2000-06-15 06:00:00' - INTERVAL 7 MONTH", "smc"),
+        _count_row("orders_cols", "insert", "t", _mtd("created_at", "2000-06-15", "05:00:00"), "smc"),
+        _count_row("poll_data", "snapshot", "events", _mtd("ts", "2024-01-15", "04:40:00"), "vcoloburst", "2024-01-15 06:00:00"),
         _count_row("tblTransactions", "snapshot", _EPOCH,
-                   _mtd("make_timestamp(unixdate * 1000000)", "2024-01-15", "05:00:00")),
+                   _mtd("make_timestamp(unixdate * 1000000)", "2024-01-15", "05:00:00"), "sslvpn", "2024-01-15 06:00:00"),
     ]),
     "job_incremental": _T + _W + " " + " UNION ALL ".join([
-        _count_row("orders", "daily_incr", f"(SELECT DISTINCT * FROM t, m WHERE {_DELTA}) d"),
+        _count_row("orders", "daily_incr", f"(SELECT DISTINCT * FROM t, m WHERE {_DELTA}) d", folder="smc"),
         _count_row("lineitem", "daily_incr", "(SELECT DISTINCT * FROM lineitem WHERE l_orderkey IN "
-                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA})) c"),
+                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA})) c", folder="smc"),
         _count_row("lineitem_own", "daily_incr", "(SELECT DISTINCT lineitem.* FROM lineitem, m WHERE l_orderkey IN "
                    f"(SELECT o_orderkey FROM t, m WHERE {_DELTA}) "
-                   "AND (l_shipdate >= m.ca OR l_shipdate >= m.ua)) c"),
-        _count_row("orders_floor", "daily_incr", f"(SELECT t.* FROM t, m WHERE {_DELTA_FLOOR}) d"),
+                   "AND (l_shipdate >= m.ca OR l_shipdate >= m.ua)) c", folder="smc"),
+        _count_row("orders_floor", "daily_incr", f"(SELECT t.* FROM t, m WHERE {_DELTA_FLOOR}) d", folder="smc"),
         _count_row("lineitem_floor", "daily_incr", "(SELECT DISTINCT * FROM lineitem WHERE l_orderkey IN "
-                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA_FLOOR})) c"),
+                   f"(SELECT o_orderkey FROM t, m WHERE {_DELTA_FLOOR})) c", folder="smc"),
     ]),
     "job_records": " UNION ALL ".join([
         _count_row("Opportunity", "records", "orders",
-                   "o_orderdate >= CAST(make_date(year(DATE '2001-06-15') - 3, 1, 1) AS TIMESTAMP)"),
-        _count_row("Account", "records", "customer"),
+                   "o_orderdate >= CAST(make_date(year(DATE '2001-06-15') - 3, 1, 1) AS TIMESTAMP)", as_of="2001-06-15 06:00:00"),
+        _count_row("Account", "records", "customer", as_of="2001-06-15 06:00:00"),
         _missing_row("RelatedPartner", "records"),
     ]),
 })

@@ -71,7 +71,7 @@ def test_no_python_in_plans(spark, name):
 SHUFFLES = {
     "snapshot_full": 0, "project_columns": 0, "derived_column": 0, "mtd_created": 0, "mtd_poll": 0,
     "mtd_epoch": 0, "rolling_update_fixed": 0, "rolling_update_months": 0, "last_n_years": 0,
-    "sanitize_text": 0, "records_scan": 0, "csv_roundtrip": 0,
+    "sanitize_text": 0, "records_scan": 0, "csv_roundtrip": 0, "distinct_keys_roundtrip": 0,
     "incr_delta_floor": 0, "semi_static": 0,
     "distinct_keys": 1, "catalog_allowlist": 2, "catalog_lower": 2, "distinct_rows": 1, "watermark": 1, "incr_delta": 1,
     "cascade_delta": 1, "cascade_delta_own": 1, "cascade_delta_floor": 1,
