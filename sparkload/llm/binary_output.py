@@ -8,9 +8,10 @@ them, else 32-bit.  Beside each data file lies an index: doc_id, offset and
 payload length of each frame (signed 64 bits each; a null id is the smallest
 number), so a shuffled reader can seek to any document.
 
-Documents are dealt out by a range shuffle on doc_id and sorted within their
-partition (nulls first, ties by text), so files in the order of the manifest
-hold ascending ids.  A task writes under names of its own and reports them in
+Documents are dealt out by a range shuffle on doc_id and the start of the text
+and sorted within their partition (nulls first, ties by text), so files in the
+order of the manifest hold ascending ids and an id that many rows share is
+split.  A task writes under names of its own and reports them in
 the manifest, which Spark commits: files that the manifest doesn't name, from
 lost or repeated attempts, are not part of the output.  A file is closed at
 ``FILE_BYTES``.  The folder may be on any store that pyarrow opens.
@@ -46,6 +47,7 @@ FILE_BYTES = 256 << 20
 #: Bytes of the parts that a worker remembers, twice (Memo).
 MEMO = 96 << 20
 END_ID = 0
+SPLIT_CHARS = 40
 NO_ID = -(1 << 63)
 MANIFEST = "part int, file int, path string, width int, n_records long, n_ids long, n_bytes long"
 _WIDTH = 1024  # bytes that one table lookup covers
@@ -193,7 +195,8 @@ def write_records(spark: SparkSession, docs: DataFrame, path: str, folder: str,
         yield pa.record_batch([pa.array([row[i] for row in done], k) for i, k in enumerate(kinds)], [c.split()[0] for c in MANIFEST.split(", ")])
 
     rows = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The start of the text splits an id, or the nulls, that many rows have.
+    rows = rows.repartitionByRange("doc_id", F.substring("text", 1, SPLIT_CHARS)).sortWithinPartitions("doc_id", "text")
     return stored(spark, map_partitions(rows, write, MANIFEST), "record_manifest")
 
 
