@@ -21,6 +21,7 @@ import time
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -68,8 +69,8 @@ class Loader:
     ``max_broadcast_keys`` the largest counted key set a cascade broadcasts;
     ``salt_buckets`` explicit salting of the hot keys of cascades above that
     bound (else AQE splits them); ``records_layout`` ``"lines"``, ``"pages"`` or ``"whole_pages"`` for
-    landed CRM records; ``set_session_zone`` pins the session time zone to
-    the run's; ``stage_overwrites`` (the default) writes dated files beside
+    landed CRM records; ``set_session_zone`` pins the session's time zone to
+    the run's while it lasts; ``stage_overwrites`` (the default) writes dated files beside
     their place and swaps them in when they are complete (sinks/publish.py);
     without it a rerun whose read fails leaves that day without a file.
     ``rebalance`` (the default) shuffles the rows that a window or cascade has
@@ -111,12 +112,24 @@ class Loader:
         self.ledger = Ledger(spark, ledger, ctx.run_stamp) if ledger else None
         self.resume = resume
         self._slots = threading.BoundedSemaphore(self.max_parallel)
-        for key, value in SCALE_CONF.items():  # a hot key of a cascade is split
-            if key.startswith("spark.sql.adaptive."):
-                spark.conf.set(key, value)
+        self._settings = {k: v for k, v in SCALE_CONF.items() if k.startswith("spark.sql.adaptive.")}  # a hot key of a cascade is split
         if set_session_zone:
-            # Marks of ``timestamp`` targets are read as wall clock in this zone.
-            spark.conf.set("spark.sql.session.timeZone", ctx.time_zone)
+            # Timestamps are written as wall clock of the run's zone.
+            self._settings["spark.sql.session.timeZone"] = ctx.time_zone
+
+    @contextmanager
+    def session(self):
+        """The session with the run's settings; the caller's come back
+        after it."""
+        conf = self.spark.conf
+        before = {k: conf.get(k, None) for k in self._settings}
+        for k, v in self._settings.items():
+            conf.set(k, v)
+        try:
+            yield self.spark
+        finally:
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
 
     # -- reading -----------------------------------------------------------
 
@@ -389,6 +402,10 @@ class Loader:
         """Run a manifest; returns one result per spec, in manifest
         order but for children, which follow their parent (those without one
         come last)."""
+        with self.session():
+            return self._run(specs)
+
+    def _run(self, specs: list[TableSpec]) -> list[LoadResult]:
         done = self.ledger.done() if self.ledger is not None and self.resume else {}
         key = lambda s: (s.job, s.schema, s.name, s.layout.value)
         by_parent: dict[str, list[TableSpec]] = defaultdict(list)
