@@ -2,7 +2,7 @@
 (A3, F7/F8, J1-J4), counting (A4) and lineage cuts."""
 
 from .counting import observe_rows
-from .distinct import distinct_keys, distinct_rows
+from .distinct import distinct_by_digest, distinct_keys, distinct_rows
 from .incremental import cascade, delta, delta_keys, read_marks, watermark
 from .intervals import key_intervals
 from .materialize import KeySet, materialize, materialize_keys
@@ -15,6 +15,7 @@ __all__ = [
     "cascade",
     "delta",
     "delta_keys",
+    "distinct_by_digest",
     "distinct_keys",
     "distinct_rows",
     "drop_envelope",

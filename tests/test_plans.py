@@ -76,7 +76,7 @@ SHUFFLES = {
     "distinct_keys": 1, "catalog_allowlist": 2, "catalog_lower": 2, "distinct_rows": 1, "watermark": 1, "incr_delta": 1,
     "cascade_delta": 1, "cascade_delta_own": 1, "cascade_delta_floor": 1,
 }
-BROADCASTS = {"semi_static", "cascade_delta", "cascade_delta_own", "cascade_delta_floor"}
+BROADCASTS = {"distinct_rows", "semi_static", "cascade_delta", "cascade_delta_own", "cascade_delta_floor"}
 
 
 def test_every_query_has_a_shuffle_budget():
