@@ -3,19 +3,26 @@
 Over a text's words (A-Z lower-cased), every run of ``K`` = 9 words has eight
 inner pairs of neighbours.  The run is an anchor when its smallest pair, by
 hash, is the first or the last one: a choice that looks at nothing outside the
-run, so the same passage gives the same anchors wherever it stands.  The
-fingerprint is the 32-bit hashes of all anchors in text order, as hexadecimal
-digits; a text without an anchor (short ones) has the hash of its whole
-sequence of words.  Equal texts have equal fingerprints.
+run, so the same passage gives the same anchors wherever it stands.  Short
+texts have few such runs, so texts of fewer than ``SHORT`` = 64 words also take
+runs of three words (two pairs: one of them is the smallest, every run is an
+anchor), and texts of fewer than ``LONG`` = 32 take these alone.  The
+fingerprint is the 32-bit hashes of all anchors, short runs first, in text
+order, as hexadecimal digits; a text without an anchor (under three words)
+has the hash of its whole sequence of words.  Equal texts have equal
+fingerprints.
 
 The likeness of two fingerprints matches anchors by position: the anchors
-they share are listed in the order of either text, those at equal places in
-both lists count, and the likeness is twice their number over the number of
-different anchors of both texts (1 for equal texts).
+they share are listed in the order of either text, and an anchor counts that
+is followed by the same one in both lists (and one for the last).  A passage
+that was moved as a whole thus keeps its anchors but for one.  The likeness is
+twice their number over the number of different anchors of both texts (1 for
+equal texts, 0 without a shared one).
 
 Window minima and run hashes are built by doubling (2, 4, 8 neighbours), so
-the work is linear in the text.  Null texts are empty; texts without words
-have equal fingerprints.
+the work is linear in the text, however long.  Null texts are empty; texts
+without words have equal fingerprints.  Repeated rows follow one another; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +34,7 @@ from pyspark.sql import Window as W
 from .common import WORD, col, lower_ascii, stored, table, text_of
 
 K, PAIRS = 9, 8
+SHORT, LONG = 64, 32
 #: Rows that a range of ids holds on average, and the most ranges: beyond,
 #: ranges grow with the table.
 RANGE_ROWS, RANGES = 1000, 65_536
@@ -51,13 +59,17 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     d = df.select(*kept, F.regexp_extract_all(lower_ascii(F.col(text)), F.lit(WORD), 0).alias("__s_w"))
     d = d.select(*kept, F.transform("__s_w", lambda w: F.xxhash64(w)).alias("__s_h"))
     d = step(d, __s_p=_slide("__s_h", 1, lambda a, b: F.xxhash64(a, b)))
+    n = F.size("__s_h")
+    fine = F.when(n < SHORT, F.transform(_slide("__s_p", 1, lambda a, b: F.xxhash64(a, b)), lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF))))
+    d = step(d, __s_f=F.coalesce(fine, F.array().cast("array<bigint>")))
     d = step(d, __s_m=_slide("__s_p", 1, _least), __s_g=_slide("__s_p", 2, lambda a, b: F.xxhash64(a, b)))
     d = step(d, __s_m=_slide("__s_m", 2, _least), __s_g=_slide("__s_g", 4, lambda a, b: F.xxhash64(a, b)))
     d = step(d, __s_m=_slide("__s_m", 4, _least))
     first, last = (lambda i: F.get("__s_p", i)), (lambda i: F.get("__s_p", i + PAIRS - 1))
     low = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))
     run = lambda m, i: F.when((first(i) == m) | (last(i) == m), low(F.xxhash64(F.get("__s_g", i), last(i))))
-    d = step(d, __s_a=F.filter(F.transform("__s_m", run), lambda x: x.isNotNull()))
+    coarse = F.filter(F.transform("__s_m", run), lambda x: x.isNotNull())
+    d = step(d, __s_a=F.concat("__s_f", F.when(F.size("__s_h") >= LONG, coarse).otherwise(F.array().cast("array<bigint>"))))
     return d.select(*kept, F.when(F.size("__s_a") > 0, F.col("__s_a")).otherwise(F.array(low(F.xxhash64("__s_h")))).alias(out))
 
 
@@ -66,9 +78,12 @@ def fingerprint(anchors: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    same = F.zip_with(F.array_intersect(a, b), F.array_intersect(b, a), lambda x, y: (x == y).cast("int"))
+    shared = lambda x, y: F.array_intersect(x, y)
+    follows = lambda x: F.zip_with(F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0))), F.slice(x, 2, F.size(x)), lambda p, q: F.shiftleft(p, 32).bitwiseOR(q))
+    ours, theirs = shared(a, b), shared(b, a)
+    same = F.when(F.size(ours) > 0, F.size(F.array_intersect(follows(ours), follows(theirs))) + 1).otherwise(0)
     both = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b))
-    return 2.0 * F.aggregate(same, F.lit(0), lambda n, x: n + x) / both
+    return 2.0 * same / both
 
 
 def id_ranges(docs: DataFrame, range_rows: int = RANGE_ROWS, ranges: int = RANGES) -> Column:

@@ -167,8 +167,8 @@ def plain_anchors(text):
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     h = [x(w, 42) for w in text.encode().lower().split()]
     p = [pair(a, b) for a, b in zip(h, h[1:])]
-    out = []
-    for i in range(len(p) - 7):
+    out = [pair(x, y) & 0xFFFFFFFF for x, y in zip(p, p[1:])] if len(h) < 64 else []
+    for i in range(len(p) - 7 if len(h) >= 32 else 0):
         if min(p[i:i + 8], key=signed) in (p[i], p[i + 7]):
             eight = pair(pair(p[i], p[i + 2]), pair(p[i + 4], p[i + 6]))
             out.append(pair(eight, p[i + 7]) & 0xFFFFFFFF)
@@ -182,10 +182,34 @@ def plain_anchors(text):
 
 def plain_likeness(a, b):
     a, b = list(dict.fromkeys(a)), list(dict.fromkeys(b))
-    same = sum(x == y for x, y in zip([x for x in a if x in b], [y for y in b if y in a]))
+    ours, theirs = [x for x in a if x in b], [y for y in b if y in a]
+    same = len(set(zip(ours, ours[1:])) & set(zip(theirs, theirs[1:]))) + bool(ours)
     return 2 * same / (len(a) + len(b))
 
 
+def test_likeness_of_short_and_moved_texts(spark):
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(10**6)}"
+    pairs = []
+    for n in [*range(5, 60)] * 2:  # short texts with a new second half
+        a = [word() for _ in range(n)]
+        pairs.append(("half", " ".join(a), " ".join(a[:n - n // 2] + [word() for _ in range(n // 2)])))
+    for n in (10, 40, 300):  # a passage moved as a whole
+        a = [word() for _ in range(n)]
+        pairs.append(("moved", " ".join(a), " ".join(a[n // 2:] + a[:n // 2])))
+        pairs.append(("other", " ".join(a), " ".join(word() for _ in range(n))))
+        pairs.append(("equal", " ".join(a), " ".join(a)))
+    df = spark.createDataFrame(pairs, "kind string, a string, b string")
+    df = fingerprints.with_anchors(fingerprints.with_anchors(df, "a", "x"), "b", "y")
+    got: dict = {}
+    for row in df.select("kind", "a", "b", fingerprints.likeness(F.col("x"), F.col("y")).alias("l")).collect():
+        assert abs(row.l - plain_likeness(plain_anchors(row.a), plain_anchors(row.b))) < 1e-9
+        got.setdefault(row.kind, []).append(row.l)
+    half = sorted(got["half"])
+    assert half[0] > 0 and 0.3 < half[len(half) // 2] < 0.6
+    assert min(got["moved"]) > 0.5 and max(got["other"]) == 0 and set(got["equal"]) == {1.0}
+
+
 @pytest.mark.parametrize("range_rows", [1000, 2])
 def test_fingerprints_brute_force(spark, folder, range_rows, monkeypatch):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", range_rows)
