@@ -21,7 +21,7 @@ import time
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -31,7 +31,7 @@ from ..context import SCALE_CONF, RunContext, spark_context
 from ..functions.windows import Marks
 from ..sinks import csv as csv_sink
 from ..sinks.paths import FILE_EXTENSION, output_path, write_mode
-from ..sinks.publish import publish_all, settle, staged_path
+from ..sinks.publish import Store, publish_all, settle, staged_path
 from ..sources import records
 from ..sources.catalog import existing_tables
 from ..sources.registry import SourceRegistry
@@ -228,15 +228,26 @@ class Loader:
         elif self.rebalance and not spec.distinct and (spec.extract in SELECTIVE or spec.window is not None):
             df = df.hint("rebalance")  # (a distinct has dealt its rows out)
         counted, obs = op.observe_rows(df, f"rows_{spec.name}_{spec.layout.value}")
-        if self.output_format == "parquet":
-            csv_sink.write_parquet(counted, target, mode)
-        else:
-            csv_sink.write_csv(counted, target, mode, single_file=spec.single_file, row_count=known_rows)
-        rows = int(obs.get.get("rows", 0))
-        if verify is not None:
-            verify()
+        try:
+            if self.output_format == "parquet":
+                csv_sink.write_parquet(counted, target, mode)
+            else:
+                csv_sink.write_csv(counted, target, mode, single_file=spec.single_file, row_count=known_rows)
+            rows = int(obs.get.get("rows", 0))
+            if verify is not None:
+                verify()
+        except Exception:
+            if hold:
+                self._drop(target)
+            raise
         return target, path, rows
 
+    def _drop(self, staged: str) -> None:
+        """Removes a copy that will not be published; what cannot be removed
+        stays hidden beside the outputs."""
+        with suppress(Exception):
+            Store(self.spark).delete(staged)
+
     # -- running -----------------------------------------------------------
 
     def _result(self, spec, status, path=None, rows=None, error=None, t0=None) -> LoadResult:
@@ -352,6 +363,8 @@ class Loader:
         """Publishes a family's files together, or none if one of them failed."""
         broken = [r for r in members if r is not None and r.status == ERROR]
         error = f"not published: {broken[0].table_name} of its family failed" if broken else None
+        for _, staged, _, _, _ in held if broken else ():
+            self._drop(staged)
         if held and not error:
             try:
                 publish_all(self.spark, [(staged, path) for _, staged, path, _, _ in held])
