@@ -18,7 +18,9 @@ lost or repeated attempts, are not part of the output.  A file is closed at
 
 Reading deals out the manifest's files; every frame is checked against both
 checksums, the index and the manifest, and a mismatch raises.  Null texts are
-empty: the end id alone.  Repeated rows are written as often as they occur.
+empty: the end id alone.  Repeated rows are written as often as they occur.  A
+very long text is one frame; an empty table gives no files and no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations

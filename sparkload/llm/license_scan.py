@@ -17,7 +17,8 @@ Exact phrases are found as well, by word position.  Templates and phrases are
 parameters: their words bound what the driver and the joins hold beside the
 documents.  A null or empty text has no words, no block, null positions, no
 labels and score 0.  Rows are kept apart by a row number, so repeated rows
-and ids each get their own result.
+and ids each get their own result.  A very long text is cut into blocks like
+others; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -32,7 +32,11 @@ stays.  Rows with the same id count as one document: they are linked when any
 of their texts is.  A null id never stands for a class that has another id.
 
 ``dedup`` compares rows, not ids: every row gets a key of its own, and one row
-of each group stays, that with the smallest id (nulls last, then by key).
+of each group stays, that with the smallest id (nulls last, then by key).  The
+column name ``__mh_key`` is its own.
+
+A very long text is sketched whole by one task; an empty table gives no rows;
+other columns are ignored by ``groups`` and kept by ``dedup``.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@
 
 Null texts have size 0.  A null source is a source of its own.  Rows that
 repeat an id share its draw.  Empty documents get copies by the same rule but
-add no words.  An empty table gives no rows.  Column names that start with
+add no words.  A very long text is one row like others; its copies stay
+whole.  An empty table gives no rows.  Column names that start with
 ``__mix_`` are the operator's own.
 """
 

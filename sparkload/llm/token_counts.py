@@ -12,10 +12,11 @@ Copies meet in map-side partial aggregates, so a text that a third of all rows
 hold reaches the encoding step once per map task and is encoded once.
 
 Within a text, the library encodes each different word (between white space)
-once per worker and its count is remembered, in bounded space: the tokenizer
+once per worker and its count is remembered, in a space bounded in bytes: the tokenizer
 drops white space before it splits, so counts of words add up.  ``cache_path``
 must be a folder that all executors and later runs can reach.  A null text is
-empty: 0 bytes, 0 tokens.  Repeated rows each get their row.
+empty: 0 bytes, 0 tokens.  Repeated rows each get their row.  A very long text is
+encoded by one task; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

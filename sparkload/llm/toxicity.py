@@ -21,7 +21,8 @@ Scoring is one pass over the rows: nothing is shuffled, and the network
 (a few MB whatever the corpus) goes along with the tasks.  A text without words
 (or null) scores the share of label 1 in the sample; without labels of both
 kinds every text does.  Null labels are left out, repeated ones take the
-largest.  A null id counts as held out.
+largest.  A null id counts as held out.  Repeated rows each get their row; an
+empty table gives no rows; texts are scored whole, however long.
 """
 
 from __future__ import annotations

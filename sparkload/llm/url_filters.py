@@ -23,7 +23,9 @@ changes them by at most ``TOLERANCE`` in sum.  As a round's change is at most
 ``LEAST``; for the same reason n seeded hosts take at most
 142 + 6.2 ln(n) rounds on any graph.  A null url, or one without ``://``, has an empty host and
 path and fits no rule; the empty host takes part like any other.  A null page
-body has no links.  Repeated rows count as often as they occur.
+body has no links.  Repeated rows count as often as they occur.  Very long urls
+and pages are read whole; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
