@@ -111,8 +111,9 @@ class Memo(dict):
         self.compute, self.size, self.used, self.old = compute, size, 0, {}
 
     def keep(self, key, value) -> None:
-        cost = self.ENTRY + 2 * len(key) + (len(value) if isinstance(value, bytes) else 8)
-        if len(key) > self.LONG or cost > self.size // 64:
+        length = len(key) if isinstance(key, str) else 8
+        cost = self.ENTRY + 2 * length + (len(value) if isinstance(value, bytes) else 8)
+        if length > self.LONG or cost > self.size // 64:
             return
         if self.used + cost > self.size:
             self.old = dict(self)
