@@ -47,7 +47,7 @@ from .token_counts import load, slices
 
 FILE_BYTES = 256 << 20
 #: Bytes of the parts that a worker remembers, twice (Memo).
-MEMO = 96 << 20
+MEMO = 160 << 20
 END_ID = 0
 SPLIT_CHARS = 40
 NO_ID = -(1 << 63)

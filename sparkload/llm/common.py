@@ -132,19 +132,33 @@ class Memo(dict):
     def values_of(self, keys: list, compute_many: Callable[[list], list]) -> list:
         """The values of different ``keys``; the missing ones are computed in
         one call."""
-        found, missing = list(map(self.get, keys)), []
-        for i in [i for i, v in enumerate(found) if v is None]:
-            found[i] = value = self.old.get(keys[i])
-            if value is None:
-                missing.append(i)
-            else:
-                self.keep(keys[i], value)
+        found = list(map(self.get, keys))
+        new = [i for i, v in enumerate(found) if v is None]
+        for i in new:
+            found[i] = self.old.get(keys[i])
+        missing = [i for i in new if found[i] is None]
         if missing:
             for i, value in zip(missing, compute_many([keys[i] for i in missing]), strict=True):
                 found[i] = value
-                self.keep(keys[i], value)
+        self.keep_all([keys[i] for i in new], [found[i] for i in new])
         return found
 
+    def keep_all(self, keys: list, values: list) -> None:
+        """``keep`` for many; at once where they are texts and bytes that fit."""
+        if keys and isinstance(values[0], bytes):
+            short = [(k, v) for k, v in zip(keys, values) if len(k) <= self.LONG]
+            cost = self.ENTRY * len(short) + sum(2 * len(k) + len(v) for k, v in short)
+            if self.used + cost > self.size and cost <= self.size:
+                self.old = dict(self)
+                self.clear()
+                self.used = 0
+            if self.used + cost <= self.size:
+                self.update(short)
+                self.used += cost
+                return
+        for k, v in zip(keys, values):
+            self.keep(k, v)
+
     def of(self, parts: list[list[str]], compute_many: Callable[[list], list]) -> tuple[list, np.ndarray, np.ndarray]:
         """For lists of strings: the values of their different strings, and
         for each string in turn the number of its value and of its list."""
