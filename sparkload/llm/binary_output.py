@@ -47,7 +47,9 @@ from .token_counts import load, slices
 
 FILE_BYTES = 256 << 20
 #: Bytes of the parts that a worker remembers, twice (Memo).
-MEMO = 160 << 20
+MEMO = 240 << 20
+#: Characters whose parts are looked up at a time.
+SLICE = 4_000_000
 END_ID = 0
 SPLIT_CHARS = 40
 NO_ID = -(1 << 63)
@@ -153,7 +155,7 @@ class Encoder:
         return [p for piece in self.cut.split(text) for p in ([piece] if piece in self.special else CHUNKS.findall(piece))]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for some in slices(texts):
+        for some in slices(texts, SLICE):
             for ids in self.memo.joined([self.parts(text) for text in some], self.many, self.kind):
                 yield ids.tobytes()
 
