@@ -25,7 +25,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -41,14 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..context import scratch_path
-from .bpe import CHUNKS
+from .bpe import Units
 from .common import Memo, col, map_partitions, stored, table, text_of, worker_state
 from .token_counts import load, slices
 
 FILE_BYTES = 256 << 20
-#: Bytes of the parts that a worker remembers, twice (Memo).
+#: Bytes of the units that a worker remembers, twice (Memo).
 MEMO = 240 << 20
-#: Characters whose parts are looked up at a time.
+#: Characters whose units are looked up at a time.
 SLICE = 4_000_000
 END_ID = 0
 SPLIT_CHARS = 40
@@ -121,15 +120,15 @@ def read_frame(data) -> bytes | None:
 
 class Encoder:
     """Texts to bytes of ids by the tokenizers library.  The vocabulary's
-    pattern never joins the parts of ``CHUNKS``, so each different part is
-    encoded once and remembered, in bounded space.  Parts to encode go to the
-    library as lines: a line end is a part, and an id, of its own."""
+    pattern never joins ``Units``, so each different unit is encoded once and
+    remembered, in bounded space.  Units to encode go to the library as lines: a
+    line end is a unit, and an id, of its own."""
 
     def __init__(self, path: str):
         tokenizer = load(path)
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.cut = Units(self.special)
         self.kind = "<u2" if self.width == 2 else "<u4"
         self.encode = lambda texts: [np.array(e.ids, self.kind) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         self.line_end = self.encode(["\n"])[0]
@@ -149,14 +148,9 @@ class Encoder:
             out |= {p: data[a + self.width:b] for p, a, b in zip(group, at, at[1:])}
         return [out[p] for p in parts]
 
-    def parts(self, text: str) -> list[str]:
-        if not self.cut or not any(s in text for s in self.special):
-            return CHUNKS.findall(text)
-        return [p for piece in self.cut.split(text) for p in ([piece] if piece in self.special else CHUNKS.findall(piece))]
-
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for some in slices(texts, SLICE):
-            for ids in self.memo.joined([self.parts(text) for text in some], self.many, self.kind):
+            for ids in self.cut.ids(some, self.memo, self.many, self.kind):
                 yield ids.tobytes()
 
 

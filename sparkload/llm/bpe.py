@@ -8,8 +8,9 @@ whose symbols have changed meanwhile are skipped when they come up.  Decoding
 concatenates the vocabulary's byte strings and reads them as UTF-8.
 
 The ids equal those of the tokenizers library for the same file (tested on
-random and odd texts and on the code points below 0x3000).  Parts between white
-space are encoded once per worker and remembered, in a space bounded in bytes.
+random and odd texts and on the code points below 0x3000).  Texts are cut into
+units (``Units``); each is encoded once per worker and remembered, in a space
+bounded in bytes.
 Spark deals out the rows; nothing is shuffled.  Null texts are empty: no ids.
 Repeated rows, and rows that repeat an id or have none, each get their row; a
 very long text is one row of one task; an empty table gives no rows; other
@@ -24,10 +25,11 @@ import re
 import sys
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +72,72 @@ def byte_symbols() -> list[str]:
     return out
 
 
+_WHITE, _LETTER, _DIGIT, _MARK, _WIDE = range(5)
+_CLASS = np.full(256, _MARK, np.uint8)
+_CLASS[list(b" \t\n\v\f\r")] = _WHITE
+_CLASS[list(b"0123456789")] = _DIGIT
+_CLASS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = _LETTER
+_CLASS[128:] = _CLASS[ord("'")] = _WIDE  # contractions have an apostrophe
+#: White space beyond ASCII.
+WIDE_SPACE = re.compile(f"[{''.join(c for c in SPACE if c > chr(127))}\u2000-\u200a]")
+
+
+def cut_units(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The units of UTF-8 texts without special strings and white space beyond
+    ASCII, and the number of each one's text.  A unit is a run of letters, of
+    digits or of marks, with the space before it; or white space as in
+    ``CHUNKS``.  Words with an apostrophe or other characters than ASCII and the
+    letters of Latin-1 (the pairs C3 80 to C3 BF but for two signs) are units as a
+    whole."""
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    n = len(data)
+    kind = _CLASS[data]
+    wide = np.flatnonzero(data[:-1] == 0xC3)
+    wide = wide[(data[wide + 1] != 0x97) & (data[wide + 1] != 0xB7)]
+    kind[wide] = kind[wide + 1] = _LETTER
+    first = np.zeros(n + 1, bool)  # of a text
+    first[0] = first[ends] = True
+    change = first[:n].copy()
+    change[1:] |= kind[1:] != kind[:-1]
+    at = np.flatnonzero(change)  # runs of one kind
+    white = kind[at] == _WHITE
+    after = np.r_[False, white[:-1]] & ~first[at] & ~white  # runs after white space
+    word = after | (first[at] & ~white)
+    number = np.cumsum(word) - 1
+    whole = np.zeros(int(word.sum()) + 1, bool)
+    whole[number[kind[at] == _WIDE]] = True
+    cut = np.zeros(n, bool)
+    cut[at[white | (word & ~(after & (data[at - 1] == 32))) | (~white & ~word & ~whole[number])]] = True
+    cut[at[after] - 1] = True  # the last white space goes with the word if a space
+    starts = np.flatnonzero(cut)
+    units = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, n).astype(np.int32)), pa.py_buffer(data))
+    return units, np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, ends), prepend=0))
+
+
+class Units:
+    """Texts as units that the vocabulary's pattern never joins: its special
+    strings, and units of ``cut_units`` or, for texts with special strings or
+    white space beyond ASCII, parts of ``CHUNKS``."""
+
+    def __init__(self, special: dict[str, int]):
+        self.special = special
+        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
+
+    def split(self, text: str) -> list[str]:
+        if not any(s in text for s in self.special):
+            return CHUNKS.findall(text)
+        return [c for piece in self.cut.split(text) for c in ([piece] if piece in self.special else CHUNKS.findall(piece))]
+
+    def ids(self, texts: list[str], memo: Memo, compute_many: Callable[[list], list], kind: str) -> Iterator[np.ndarray]:
+        """Each text's ids, from its units' ids."""
+        odd = [any(s in t for s in self.special) or not t.isascii() and WIDE_SPACE.search(t) is not None for t in texts]
+        plain = [t.encode() for t, o in zip(texts, odd) if not o]
+        cut = iter(memo.joined_array(*cut_units(plain), len(plain), compute_many, kind))
+        split = iter(memo.joined([self.split(t) for t, o in zip(texts, odd) if o], compute_many, kind))
+        return (next(split if o else cut) for o in odd)
+
+
 class BytePairs:
     """A byte-level BPE vocabulary of a tokenizers file."""
 
@@ -93,8 +161,8 @@ class BytePairs:
             raise ValueError("special strings with options aren't supported")
         self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
         self.digits = {i: str(i) for i in self.bytes_of}
-        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.parts, self.chunks = Memo(self.merge, 16 << 20), Memo(self.chunk)
+        self.cut = Units(self.special)
+        self.parts, self.units = Memo(self.merge, 8 << 20), Memo(self.unit, 24 << 20)
 
     def merge(self, part: str) -> bytes:
         """Ids of one part of the pattern, as 32-bit numbers."""
@@ -119,20 +187,15 @@ class BytePairs:
                 heappush(queue, rank * n + h)
         return array("i", [x for x in ids if x >= 0]).tobytes()
 
-    def chunk(self, chunk: str) -> bytes:
-        if chunk in self.special:
-            return array("i", [self.special[chunk]]).tobytes()
-        return b"".join(map(self.parts.__getitem__, pattern().findall(chunk)))
-
-    def split(self, text: str) -> list[str]:
-        """Special strings and chunks."""
-        if not self.cut or not any(s in text for s in self.special):
-            return CHUNKS.findall(text)
-        return [c for piece in self.cut.split(text) for c in ([piece] if piece in self.special else CHUNKS.findall(piece))]
+    def unit(self, unit: str) -> bytes:
+        if unit in self.special:
+            return array("i", [self.special[unit]]).tobytes()
+        parts = pattern().findall(unit)
+        return self.merge(unit) if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
         for some in slices(texts):
-            for ids in self.chunks.joined([self.split(text) for text in some], lambda chunks: list(map(self.chunk, chunks)), "i"):
+            for ids in self.cut.ids(some, self.units, lambda units: list(map(self.unit, units)), "i"):
                 yield ids.tolist()
 
     def decode(self, ids: list[int]) -> str:

@@ -32,6 +32,26 @@ def test_ids_equal_the_library():
     assert [own.decode(ids) for ids in want] == [library.decode(ids, skip_special_tokens=False) for ids in want] == some
 
 
+def test_units_join_to_the_text_and_words_with_marks_share_theirs():
+    r = random.Random(7)
+    bits = [*"ab 1'\n\t\r.,(!é×÷ñÿ漢\x1c\x00", "  ", " the", "12", "don't", "ß", "’"]
+    some = ["", *("".join(r.choices(bits, k=r.randrange(30))) for _ in range(3000)), ""]
+    units, of = bpe.cut_units([t.encode() for t in some])
+    joined = [""] * len(some)
+    for unit, k in zip(units.to_pylist(), of.tolist()):
+        joined[k] += unit
+    assert joined == some
+    library, encoder = token_counts.load(BYTES), binary_output.Encoder(BYTES)
+    want = [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert [np.frombuffer(b, "<u2").tolist() for b in encoder(some)] == want
+    pairs = bpe.BytePairs(BYTES)
+    assert list(pairs.encode(some)) == want
+    encoder = binary_output.Encoder(BYTES)
+    words = ["mañana", "garden", "été", "x"]
+    list(encoder([" ".join(w + m for w in words for m in ("", ",", ".", "!", "12", ", (", ")"))]))
+    assert set(encoder.memo) == {f" {w}" for w in words} | {"mañana", ",", ".", "!", "12", " (", ")"}  # not a unit for each word and mark
+
+
 def test_counts_of_words_add_up():
     library, some = token_counts.load(WORDS), texts(2000, 2)
     plain = [re.sub(r"[\x20\x09-\x0d]+", " ", t).strip(" ") for t in some]
