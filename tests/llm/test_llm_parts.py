@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from sparkload.llm import binary_output, bpe, minhash, quality_rules, token_counts, toxicity
+from sparkload.llm import binary_output, bpe, common, minhash, quality_rules, token_counts, toxicity
 from sparkload.llm.common import Memo
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +52,17 @@ def test_units_join_to_the_text_and_words_with_marks_share_theirs():
     assert set(encoder.memo) == {f" {w}" for w in words} | {"mañana", ",", ".", "!", "12", " (", ")"}  # not a unit for each word and mark
 
 
+def test_a_worker_lets_go_of_another_functions_state():
+    pairs = bpe.BytePairs(BYTES)
+    assert 2 * (pairs.units.size + pairs.parts.size) <= 64 << 20  # two generations
+    common.begin_task("one")
+    state = common.worker_state("k", object)
+    common.begin_task("one")
+    assert common.worker_state("k", object) is state  # the next task of the same stage
+    common.begin_task("two")
+    assert common._state == [None, None]
+
+
 def test_counts_of_words_add_up():
     library, some = token_counts.load(WORDS), texts(2000, 2)
     plain = [re.sub(r"[\x20\x09-\x0d]+", " ", t).strip(" ") for t in some]
